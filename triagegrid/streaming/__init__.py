@@ -1,0 +1 @@
+"""The report plans are batch only; dated snapshots (``sources.sinks``) are the one feature over time."""
