@@ -11,6 +11,7 @@ from triagegrid.plans import r7_team_daily as R7
 from triagegrid.plans.r1_adhoc_sdt import adhoc_sdt_tickets
 from triagegrid.plans.r3_daily_tickets import daily_tickets
 from triagegrid.plans.r6_missing_cause import missing_cause
+from triagegrid.session import materialise
 from triagegrid.sources.sinks import as_of_rows
 
 _PEOPLE = "(SELECT * FROM user_dim WHERE active = 1 AND user_default_group IS NOT NULL)"
@@ -163,6 +164,7 @@ def r5a(t):
     return _detail(t)
 
 
+SITE_COLUMNS = ["WO_TicketID", "WO_Status", "Fault_Severity_Level", W.AGING, W.BUCKET, "WO_CreateYear"]
 _SITES = """, s1 AS (SELECT *, avg("Aging (Hrs)") OVER (PARTITION BY "SiteID") AS site_mean, row_number() OVER (PARTITION BY "SiteID"
     ORDER BY list_position(['Critical','Moderate','Major','Minor','Low','Alarm Clearing'], "Fault_Severity_Level") NULLS LAST, "WO_TicketID") AS n
     FROM d WHERE "SiteDown" = 'isYes' AND "SiteID" IS NOT NULL),
@@ -202,7 +204,8 @@ def r5c(t):
         LEFT JOIN m ON m.g = x.g""",
 )
 def r5d(t):
-    detail = _detail(t)
+    """Row labels and sites both come from the detail, so it is written once, as the whole report does."""
+    detail = materialise(_detail(t).select("Workgroup", "SiteDown", "SiteID", *SITE_COLUMNS))
     return rounded(W.workgroup_grid(detail, W.unique_sites(detail), AS_OF), "Average (Hrs)")
 
 

@@ -100,7 +100,8 @@ def resolve_id_lists(
     for i, c in enumerate(columns):
         out = left_by_key(out, f"__ids_{i}", resolved, "ids", {"text": f"__text_{i}"}, df.columns[:2])
     changed = {c: F.coalesce(F.col(f"__text_{i}"), as_col(c)) for i, c in enumerate(columns)}
-    return out.withColumns(changed).select(*[F.col(f"`{c}`") for c in df.columns])
+    helpers = [f"__{kind}_{i}" for kind in ("ids", "text") for i in range(len(columns))]
+    return out.withColumns(changed).drop(*helpers)
 
 
 def _join_slots(slots: Column, sep: str) -> Column:

@@ -30,13 +30,14 @@ def left_by_key(
     right = dim.where(as_col(dim_key).isNotNull()).select(
         as_col(dim_key).alias("__dim_key"),
         F.pmod(F.xxhash64(as_col(dim_key)), F.lit(1)).alias("__dim_spread"),
-        *[as_col(c).alias(f"__take_{i}") for i, c in enumerate(take)],
+        *[as_col(c).alias(out) for c, out in take.items()],
     )
+    if clash := set(take.values()) & set(df.columns):
+        raise ValueError(f"columns already there: {sorted(clash)}")
     joined = left.join(
         right, (F.col("__key") == F.col("__dim_key")) & (F.col("__spread") == F.col("__dim_spread")), "left"
     )
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in take.values()]
-    return joined.select(*kept, *[F.col(f"__take_{i}").alias(out) for i, out in enumerate(take.values())])
+    return joined.drop("__key", "__spread", "__dim_key", "__dim_spread")
 
 
 def one_per_key(dim: DataFrame, key: str, value: str, strict: bool = False) -> DataFrame:
@@ -97,8 +98,7 @@ def backfilled_parent(
     )
     key_if_missing = F.when(as_col(order_col).isNull(), as_col(key))
     joined = left_by_key(df, key_if_missing, found, "__k", {"__v": "__found"}, spread_by)
-    filled = joined.withColumn(order_col, F.coalesce(as_col(order_col), F.col("__found"), F.lit("")))
-    return filled.select(*[F.col(f"`{c}`") for c in df.columns])
+    return joined.withColumn(order_col, F.coalesce(as_col(order_col), F.col("__found"), F.lit(""))).drop("__found")
 
 
 def branch_lookup(

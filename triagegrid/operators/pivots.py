@@ -55,35 +55,86 @@ def distinct_axis(df: DataFrame, column: str, exclude: list | None = None) -> Da
     return rows.distinct().orderBy(c)
 
 
-def with_total(
-    df: DataFrame, rows: list[str], measures: list[Measure], require: list[str] | None = None, total: str = TOTAL
-) -> DataFrame:
-    """Measures per row key plus one grand-total row.
-
-    Rows with a null key, or a null in a ``require`` column, take no part. A measure is blank where no row satisfies
-    its condition. Means are kept as sum and count until the end, so a total is the mean over rows.
-    """
-    keyed = df.where(reduce(operator.and_, [as_col(c).isNotNull() for c in [*rows, *(require or [])]]))
+def _parts(measures: list[Measure]) -> dict[str, Column]:
+    """The mergeable pieces of the measures: rows seen, values counted, and the sum behind a mean."""
     parts = {}
     for i, m in enumerate(measures):
         value = m.value if m.when is None else F.when(m.when, m.value)
-        seen = F.count("*") if m.when is None else F.count(F.when(m.when, 1))
-        parts[f"__seen_{i}"] = seen
+        parts[f"__seen_{i}"] = F.count("*") if m.when is None else F.count(F.when(m.when, 1))
         parts[f"__count_{i}"] = F.count(value)
         if m.how == "mean":
             parts[f"__sum_{i}"] = F.sum(value.cast("double"))
-    base = keyed.groupBy(*[as_col(c) for c in rows]).agg(*[p.alias(n) for n, p in parts.items()])
-    grand = base.agg(*[F.sum(n).alias(n) for n in parts])
-    labels = [F.lit(total if i == 0 else "").alias(c) for i, c in enumerate(rows)]
-    texts = base.withColumns({c: as_col(c).cast("string") for c in rows})
-    both = texts.unionByName(grand.where(F.col("__seen_0").isNotNull()).select(*labels, *parts))
+    return parts
+
 
-    def cell(i: int, m: Measure) -> Column:
+def _cells(measures: list[Measure]) -> dict[str, Column]:
+    """The measures from their pieces; blank where no row satisfied the condition."""
+    cells = {}
+    for i, m in enumerate(measures):
+        count = F.col(f"__count_{i}")
         if m.how == "mean":
-            return F.when(F.col(f"__count_{i}") > 0, F.col(f"__sum_{i}") / F.col(f"__count_{i}"))
-        return F.when(F.col(f"__seen_{i}") > 0, F.col(f"__count_{i}"))
+            cells[m.name] = F.when(count > 0, F.col(f"__sum_{i}") / count)
+        else:
+            cells[m.name] = F.when(F.col(f"__seen_{i}") > 0, count)
+    return cells
+
+
+def _with_keys(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.where(reduce(operator.and_, [as_col(c).isNotNull() for c in columns]))
+
 
-    return both.select(*[as_col(c) for c in rows], *[cell(i, m).alias(m.name) for i, m in enumerate(measures)])
+def with_total(
+    df: DataFrame, rows: list[str], measures: list[Measure], require: list[str] | None = None, total: str = TOTAL
+) -> DataFrame:
+    """Measures per row key plus one grand-total row.
+
+    Rows with a null key, or a null in a ``require`` column, take no part. A measure is blank where no row satisfies
+    its condition. Means are kept as sum and count until the end, so a total is the mean over rows. The total is a
+    second grouping set over the aggregated rows, not over the detail.
+    """
+    keyed = _with_keys(df, [*rows, *(require or [])])
+    keys = [as_col(c).cast("string").alias(f"__row_{i}") for i, c in enumerate(rows)]
+    parts = _parts(measures)
+    base = keyed.groupBy(*keys).agg(*[p.alias(n) for n, p in parts.items()])
+    keys = [F.col(f"__row_{i}") for i in range(len(rows))]
+    both = base.groupingSets([keys, []], *keys).agg(
+        F.grouping_id().alias("__level"), *[F.sum(n).alias(n) for n in parts]
+    )
+    labels = [
+        F.when(F.col("__level") == 0, k).otherwise(F.lit(total if i == 0 else "")).alias(rows[i])
+        for i, k in enumerate(keys)
+    ]
+    # The grand-total set gives a row even for no input at all; a report of nothing has no total.
+    seen = both.where(F.col("__seen_0").isNotNull())
+    return seen.select(*labels, *[c.alias(n) for n, c in _cells(measures).items()])
+
+
+def with_inner_rows(
+    df: DataFrame, outer: str, inner: str, labels: list[str], measures: list[Measure], exclude: list | None = None
+) -> DataFrame:
+    """Measures per ``outer`` value found in the data and per listed ``inner`` label, blank rows included.
+
+    One aggregation of the detail gives both the row labels and the cells; the inner labels are laid out from the
+    aggregated rows. No join with an axis is needed.
+    """
+    keyed = _with_keys(df, [outer])
+    if exclude:
+        keyed = keyed.where(~as_col(outer).isin(list(exclude)))
+    parts = _parts(measures)
+    base = keyed.groupBy(as_col(outer).alias("__outer"), as_col(inner).alias("__inner")).agg(
+        *[p.alias(n) for n, p in parts.items()]
+    )
+    cells = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(_cells(measures).values())])
+    picked = [F.max(F.when(F.col("__inner") == v, cells)).alias(f"__row_{i}") for i, v in enumerate(labels)]
+    wide = base.groupBy("__outer").agg(*picked)
+    laid = F.posexplode(F.array(*[F.col(f"__row_{i}") for i in range(len(labels))])).alias("__pos", "__cells")
+    long = wide.select("__outer", laid)
+    label = F.get(F.array(*[F.lit(v) for v in labels]), F.col("__pos"))
+    return long.orderBy("__outer", "__pos").select(
+        F.col("__outer").alias(outer),
+        label.alias(inner),
+        *[F.col(f"__cells.c{i}").alias(m.name) for i, m in enumerate(measures)],
+    )
 
 
 def pivot_with_total(

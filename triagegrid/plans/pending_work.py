@@ -20,7 +20,15 @@ from triagegrid.operators.lookups import (
     left_by_key,
     processor_group,
 )
-from triagegrid.operators.pivots import TOTAL, Measure, axis_values, distinct_axis, pivot_with_total, with_total
+from triagegrid.operators.pivots import (
+    TOTAL,
+    Measure,
+    axis_values,
+    distinct_axis,
+    pivot_with_total,
+    with_inner_rows,
+    with_total,
+)
 from triagegrid.operators.predicates import since_year
 from triagegrid.plans.common import columns_as, known_people, label_of, processors_of
 from triagegrid.sources.sinks import write_report
@@ -228,12 +236,7 @@ def workgroup_severity_grid(detail: DataFrame, statuses: list[str] | None = None
     """R5f: workgroup and service-affecting type by all measures."""
     statuses = axis_values(detail, "WO_BusinessStatus") if statuses is None else statuses
     measures = _severity_measures(statuses)
-    table = with_total(detail, ["Workgroup", AFFECTING], measures)
-    axis = distinct_axis(detail, "Workgroup", exclude=["NOC"])
-    keys = ["Workgroup", AFFECTING]
-    grid = dense_grid_over(
-        axis, table, keys, [m.name for m in measures], inner=fixed.AFFECTING_AXIS, total_row=None
-    )
+    grid = with_inner_rows(detail, "Workgroup", AFFECTING, fixed.AFFECTING_AXIS, measures, exclude=["NOC"])
     return _headed(grid, statuses)
 
 
