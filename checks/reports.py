@@ -11,7 +11,7 @@ from triagegrid.plans import r7_team_daily as R7
 from triagegrid.plans.r1_adhoc_sdt import adhoc_sdt_tickets
 from triagegrid.plans.r3_daily_tickets import daily_tickets
 from triagegrid.plans.r6_missing_cause import missing_cause
-from triagegrid.session import materialise
+from triagegrid.session import stored
 from triagegrid.sources.sinks import as_of_rows
 
 _PEOPLE = "(SELECT * FROM user_dim WHERE active = 1 AND user_default_group IS NOT NULL)"
@@ -154,6 +154,11 @@ def _detail(t):
     return W.prepared(t, AS_OF, FIRST_YEAR)
 
 
+def _stored_detail(t):
+    """The detail written once, as the whole report does before its pivots."""
+    return stored(_detail(t), "pending-detail")
+
+
 def _with_detail(rest: str) -> str:
     """A query over the prepared detail ``d``."""
     return f"WITH grouped AS ({GROUPED}), d AS ({PREPARED}) {rest}"
@@ -164,7 +169,6 @@ def r5a(t):
     return _detail(t)
 
 
-SITE_COLUMNS = ["WO_TicketID", "WO_Status", "Fault_Severity_Level", W.AGING, W.BUCKET, "WO_CreateYear"]
 _SITES = """, s1 AS (SELECT *, avg("Aging (Hrs)") OVER (PARTITION BY "SiteID") AS site_mean, row_number() OVER (PARTITION BY "SiteID"
     ORDER BY list_position(['Critical','Moderate','Major','Minor','Low','Alarm Clearing'], "Fault_Severity_Level") NULLS LAST, "WO_TicketID") AS n
     FROM d WHERE "SiteDown" = 'isYes' AND "SiteID" IS NOT NULL),
@@ -204,8 +208,7 @@ def r5c(t):
         LEFT JOIN m ON m.g = x.g""",
 )
 def r5d(t):
-    """Row labels and sites both come from the detail, so it is written once, as the whole report does."""
-    detail = materialise(_detail(t).select("Workgroup", "SiteDown", "SiteID", *SITE_COLUMNS))
+    detail = _stored_detail(t)
     return rounded(W.workgroup_grid(detail, W.unique_sites(detail), AS_OF), "Average (Hrs)")
 
 
@@ -232,7 +235,7 @@ _MEASURES = (
         FROM (VALUES ('SA'), ('PSA'), ('All')) x(k) LEFT JOIN m ON m."Service Affecting Type" = x.k""",
 )
 def r5e(t):
-    return rounded(W.severity_grid(_detail(t), STATUSES), "With FRT Average (Hrs)", "Average (Hrs)")
+    return rounded(W.severity_grid(_stored_detail(t), STATUSES), "With FRT Average (Hrs)", "Average (Hrs)")
 
 
 @check(
@@ -245,7 +248,7 @@ def r5e(t):
         CROSS JOIN (VALUES ('SA'), ('PSA')) x(k) LEFT JOIN m ON m."Workgroup" = w.g AND m."Service Affecting Type" = x.k""",
 )
 def r5f(t):
-    return rounded(W.workgroup_severity_grid(_detail(t), STATUSES), "With FRT Average (Hrs)", "Average (Hrs)")
+    return rounded(W.workgroup_severity_grid(_stored_detail(t), STATUSES), "With FRT Average (Hrs)", "Average (Hrs)")
 
 
 def _nvl(c: str) -> str:

@@ -146,8 +146,7 @@ def split_first(t):
     "SELECT ticketid, [x FOR x IN string_split(processors, ';') IF contains(x, 'FFS')][1] AS hit FROM wo_processor",
 )
 def first_with_code(t):
-    hit = S.first_item_with(S.list_items("processors"), "FFS")
-    return t["wo_processor"].select("ticketid", hit.alias("hit"))
+    return t["wo_processor"].select("ticketid", S.first_item_with("processors", "FFS").alias("hit"))
 
 
 @check(

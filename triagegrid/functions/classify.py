@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from triagegrid.functions import fixed
-from triagegrid.functions.scalars import as_col, duration_text, first_item_with, list_items, map_values, strip_text
+from triagegrid.functions.scalars import as_col, duration_text, first_item_with, map_values, strip_text
 
 
 def instant(value: datetime | str | Column) -> Column:
@@ -42,9 +43,14 @@ def aging_bucket(hours: Column | str) -> Column:
 
 
 def first_rule(text: Column | str, rules: list[tuple[str, str]]) -> Column:
-    """Label of the first pattern that matches; null when none does."""
+    """Label of the first pattern that matches; null when none does. Plain words need no regex engine."""
     text = as_col(text)
-    return F.coalesce(*[F.when(text.rlike(pattern), label) for label, pattern in rules])
+
+    def hit(pattern: str) -> Column:
+        return text.contains(pattern) if re.fullmatch(r"\w+", pattern) else text.rlike(pattern)
+
+    (label, pattern), *rest = rules
+    return reduce(lambda w, rule: w.when(hit(rule[1]), rule[0]), rest, F.when(hit(pattern), label))
 
 
 def workgroup(
@@ -80,8 +86,10 @@ def affecting_type(site_down: Column | str) -> Column:
 
 def coded_item(text: Column | str, codes: list[str] = fixed.LIST_CODES) -> Column:
     """Codes are tried in order; the first one found anywhere gives the first item that contains it."""
-    items = list_items(text)
-    return F.coalesce(*[first_item_with(items, code) for code in dict.fromkeys(codes)])
+    text = as_col(text)
+    first, *rest = dict.fromkeys(codes)
+    best = reduce(lambda w, code: w.when(text.contains(code), code), rest, F.when(text.contains(first), first))
+    return first_item_with(text, best)
 
 
 def severity_rank(label: Column | str, order: list[str] = fixed.SEVERITY_ORDER) -> Column:

@@ -87,12 +87,16 @@ def trimmed_items(c: Column | str, sep: str = ";") -> Column:
 
 
 def first_item(c: Column | str, sep: str = ";") -> Column:
-    return F.get(list_items(c, sep), F.lit(0))
+    return F.substring_index(as_col(c), sep, 1)
 
 
-def first_item_with(items: Column, code: str) -> Column:
-    """The first list item that contains ``code``."""
-    return F.get(F.filter(items, lambda x: F.contains(x, F.lit(code))), F.lit(0))
+def first_item_with(c: Column | str, code: Column | str, sep: str = ";") -> Column:
+    """The first list item that contains ``code``: the one around the code's first occurrence in the text."""
+    text, code = as_col(c), F.lit(code) if isinstance(code, str) else code
+    at = F.position(code, text)
+    before = F.substring_index(F.substring(text, F.lit(1), at - 1), sep, -1)
+    after = F.substring_index(F.substring(text, at, F.length(text)), sep, 1)
+    return F.when(at > 0, F.concat(before, after))
 
 
 def matches(c: Column | str, pattern: str) -> Column:

@@ -51,8 +51,8 @@ def child_lists(
 def child_lists_of(
     parents: DataFrame, parent_key: str, children: DataFrame, key: str, lists: dict, **options
 ) -> DataFrame:
-    """``child_lists`` for the given parents only: other children are dropped before they are grouped."""
-    return child_lists(keys_only(children, key, parents, parent_key), key, lists, **options)
+    """``child_lists`` for the given parents only, each listed once: other children are dropped before the grouping."""
+    return child_lists(keys_only(children, key, parents, parent_key, unique=True), key, lists, **options)
 
 
 def with_child_lists(df: DataFrame, key: str, lists: DataFrame, lists_key: str, spread_by: list[str]) -> DataFrame:

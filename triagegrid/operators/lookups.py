@@ -189,10 +189,15 @@ def first_match(
     return found.withColumn(out, F.coalesce(as_col(out), F.lit(default)))
 
 
-def keys_only(df: DataFrame, key: str, allowed: DataFrame, allowed_key: str) -> DataFrame:
-    """Rows whose key occurs in another result; an empty result leaves nothing."""
+def keys_only(
+    df: DataFrame, key: Column | str, allowed: DataFrame, allowed_key: str, unique: bool = False
+) -> DataFrame:
+    """Rows whose key occurs in another result; an empty result leaves nothing.
+
+    Copies of a key in the other result are combined before the shuffle, unless it is ``unique``.
+    """
     listed = allowed.select(as_col(allowed_key).alias("__allowed"))
-    return df.join(listed, as_col(key) == F.col("__allowed"), "left_semi")
+    return df.join(listed if unique else listed.distinct(), as_col(key) == F.col("__allowed"), "left_semi")
 
 
 def merge_left(df: DataFrame, right: DataFrame, key: str) -> DataFrame:

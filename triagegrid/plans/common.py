@@ -29,7 +29,7 @@ def processors_of(df: DataFrame, tables, dim: str, out: str, key: str = "ticketi
 def handled_by(df: DataFrame, tables, dim: str, group: str = fixed.REPORT_TEAM_GROUP) -> DataFrame:
     """Rows whose current processors name the group; the pattern filters the processor scan, not the joined rows."""
     matching = tables[dim].where(F.col("processors").like(f"%{group}%"))
-    return keys_only(df, "ticketid", matching, "ticketid")
+    return keys_only(df, "ticketid", matching, "ticketid", unique=True)
 
 
 def known_people(tables) -> DataFrame:

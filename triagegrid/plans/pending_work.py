@@ -49,7 +49,7 @@ def selected_work_orders(
         & since_year(wo, "createtime", first_year, zone)
     )
     members = tables["user_dim"].where(F.col("user_default_group") == origin_group)
-    return keys_only(wo, F.col("wo002_user_wo002").try_cast("long"), members, "user_id")
+    return keys_only(wo, F.col("wo002_user_wo002").try_cast("long"), members, "user_id", unique=True)
 
 
 def _joined(tables, wo: DataFrame) -> DataFrame:

@@ -2,23 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triagegrid.functions import fixed
-from triagegrid.functions.scalars import clean_assignment, local_text
+from triagegrid.functions.scalars import has_separator, local_text
 from triagegrid.operators.lists import child_lists_of, resolve_id_lists, with_child_lists
 from triagegrid.operators.predicates import id_in_list, id_in_text
 from triagegrid.plans.common import columns_as, known_people, label_of, processors_of, user_name
 
 
+def _assigned(text: str, names: str, label: str) -> Column:
+    """The names of an id list, or the label of a single code."""
+    return F.when(has_separator(text), F.col(names)).otherwise(F.col(label))
+
+
 def adhoc_sdt_tickets(tables, ident: str, zone: str = fixed.LOCAL_ZONE, exact: bool = False) -> DataFrame:
     assigned = (id_in_list if exact else id_in_text)("createassignto_", ident)
     sdt = tables["sdt_ticket"].where(assigned)
+    df = resolve_id_lists(
+        sdt.withColumns({"create_names": F.col("createassignto_"), "transfer_names": F.col("transferto_")}),
+        ["create_names", "transfer_names"],
+        tables["group_dim"].where(F.col("active") == 1),
+        known_people(tables),
+        prefixes={"create_names": ["group:"], "transfer_names": ["user:", "group:"]},
+    )
     children = child_lists_of(
         sdt, "ticketid", tables["work_order"], "parentticketid", {"SUBPROCESS_WO": ("orderid", "ticketid")}
     )
-    df = with_child_lists(sdt, "ticketid", children, "parentticketid", ["orderid"])
+    df = with_child_lists(df, "ticketid", children, "parentticketid", ["orderid"])
     df = label_of(df, tables, "assign_to", "createassignto_", "create_label")
     df = label_of(df, tables, "assign_to", "transferto_", "transfer_label")
     df = processors_of(df, tables, "sdt_processor", "CURRENTPROCESSOR")
@@ -36,8 +48,8 @@ def adhoc_sdt_tickets(tables, ident: str, zone: str = fixed.LOCAL_ZONE, exact: b
             "CLOSETIME": local_text("sdt005_submit_sdt005", zone),
             "DETAILS": "details_",
             "SUBPROCESS_WO": "SUBPROCESS_WO",
-            "CREATEASSIGNTO": clean_assignment("createassignto_", F.col("create_label")),
-            "TRANSFERTO": clean_assignment("transferto_", F.col("transfer_label")),
+            "CREATEASSIGNTO": _assigned("createassignto_", "create_names", "create_label"),
+            "TRANSFERTO": _assigned("transferto_", "transfer_names", "transfer_label"),
             "CURRENTPROCESSOR": "CURRENTPROCESSOR",
             "LASTOPERATOR": "last_name",
             "ORIGINATOR": "origin_name",
@@ -49,11 +61,4 @@ def adhoc_sdt_tickets(tables, ident: str, zone: str = fixed.LOCAL_ZONE, exact: b
             "REMARKS": "remarks_",
         },
     )
-    named = resolve_id_lists(
-        report,
-        ["CREATEASSIGNTO", "TRANSFERTO"],
-        tables["group_dim"].where(F.col("active") == 1),
-        known_people(tables),
-        prefixes={"TRANSFERTO": ["user:", "group:"]},
-    )
-    return named.orderBy(F.col("CREATETIME").asc_nulls_last())
+    return report.orderBy(F.col("CREATETIME").asc_nulls_last())

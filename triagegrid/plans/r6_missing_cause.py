@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from triagegrid.functions import fixed
 from triagegrid.functions.scalars import local_text, local_time, or_else, strip_text
-from triagegrid.operators.lists import child_lists_of, with_child_lists
+from triagegrid.operators.lists import child_lists, with_child_lists
 from triagegrid.operators.lookups import branch_lookup, either_key_lookup, keys_only, left_by_key, lookup
 from triagegrid.operators.predicates import any_missing, equals_none, since_year
 from triagegrid.plans.common import columns_as, label_of, processors_of
@@ -36,11 +36,9 @@ def missing_cause(
     tt = selected_tickets(tables, first_year, zone, strict)
     active = tables["site"].where(F.col("active") == 1)
     children = processors_of(
-        keys_only(tables["work_order"], "parentticketid", tt, "ticketid"), tables, "wo_processor", "processors"
+        keys_only(tables["work_order"], "parentticketid", tt, "ticketid", unique=True), tables, "wo_processor", "processors"
     )
-    lists = child_lists_of(
-        tt,
-        "ticketid",
+    lists = child_lists(
         children,
         "parentticketid",
         {

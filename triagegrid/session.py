@@ -53,3 +53,10 @@ def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of executors and later readers do not recompute."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Rows written below the shared folder and read back: cut lineage, columnar, and prunable by each reader."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
