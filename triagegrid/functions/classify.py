@@ -57,7 +57,7 @@ def workgroup(
     group: Column | str, processor: Column | str, rules: list[tuple[str, str]] = fixed.WORKGROUP_RULES
 ) -> Column:
     group = as_col(group)
-    return first_rule(F.when(group == "NA", as_col(processor)).otherwise(group), rules)
+    return F.when(group == "NA", first_rule(processor, rules)).otherwise(first_rule(group, rules))
 
 
 def area_from_group(group: Column | str) -> Column:
@@ -94,9 +94,8 @@ def coded_item(text: Column | str, codes: list[str] = fixed.LIST_CODES) -> Colum
 
 def severity_rank(label: Column | str, order: list[str] = fixed.SEVERITY_ORDER) -> Column:
     """Position in the ordered category; labels outside it have none."""
-    label = as_col(label)
-    first, *rest = enumerate(order)
-    return reduce(lambda w, p: w.when(label == p[1], p[0]), rest, F.when(label == first[1], first[0]))
+    place = F.array_position(F.array(*[F.lit(v) for v in order]), as_col(label))
+    return F.nullif(place, F.lit(0).cast("long")).cast("int") - 1
 
 
 def listed_severity(label: Column | str, order: list[str] = fixed.SEVERITY_ORDER) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -104,11 +102,13 @@ def matches(c: Column | str, pattern: str) -> Column:
 
 
 def map_values(c: Column | str, mapping: dict[str, str], other: Column | None = None) -> Column:
-    """Replace the listed values; the rest is kept, or becomes ``other``."""
+    """Replace the listed values; the rest is kept, or becomes ``other``.
+
+    A literal map names the input once or twice, where a CASE would repeat it per value.
+    """
     c = as_col(c)
-    first, *rest = mapping.items()
-    chain = reduce(lambda w, kv: w.when(c == kv[0], kv[1]), rest, F.when(c == first[0], first[1]))
-    return chain.otherwise(c if other is None else other)
+    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, c), c if other is None else other)
 
 
 def to_number(c: Column | str, kind: str = "double") -> Column:

@@ -36,8 +36,9 @@ def adhoc_sdt_tickets(tables, ident: str, zone: str = fixed.LOCAL_ZONE, exact: b
     df = processors_of(df, tables, "sdt_processor", "CURRENTPROCESSOR")
     df = user_name(df, tables, "lastoperator", "last_name")
     df = user_name(df, tables, "originator", "origin_name")
-    report = columns_as(
-        df,
+    # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.
+    return columns_as(
+        df.orderBy(F.col("createtime").asc_nulls_last()),
         {
             "ORDERID": "orderid",
             "CREATETITLE": "createtitle_",
@@ -61,4 +62,3 @@ def adhoc_sdt_tickets(tables, ident: str, zone: str = fixed.LOCAL_ZONE, exact: b
             "REMARKS": "remarks_",
         },
     )
-    return report.orderBy(F.col("CREATETIME").asc_nulls_last())

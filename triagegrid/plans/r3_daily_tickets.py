@@ -32,8 +32,9 @@ def daily_tickets(tables, start: str, end: str, zone: str = fixed.LOCAL_ZONE) ->
         df, "ticketid", tables["ticket_associate"], "associateticketid", {"sourceticketid": "source"}, ["orderid"]
     )
     df = lookup(df, "source", tables["ticket_order"], "ticketid", "orderid", "parent", strict=True)
-    report = columns_as(
-        df,
+    # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.
+    return columns_as(
+        df.orderBy(F.col("orderid").asc_nulls_last()),
         {
             "ParentTicketID": "parent",
             "TicketID": "orderid",
@@ -64,4 +65,3 @@ def daily_tickets(tables, start: str, end: str, zone: str = fixed.LOCAL_ZONE) ->
             "Remarks": "remarks_",
         },
     )
-    return report.orderBy(F.col("TicketID").asc_nulls_last())

@@ -69,8 +69,9 @@ def missing_cause(
         df, "ticketid", tables["ticket_associate"], "associateticketid", {"sourceticketid": "source"}, ["orderid"]
     )
     df = lookup(df, "source", tables["ticket_order"], "ticketid", "orderid", "parent", strict=True)
-    report = columns_as(
-        df,
+    # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.
+    return columns_as(
+        df.orderBy(F.col("orderid").asc_nulls_last()),
         {
             "Parent Ticket ID": "parent",
             "Ticket ID": "orderid",
@@ -102,7 +103,6 @@ def missing_cause(
             "Relationship Type": or_else("isassociated_", "NA"),
         },
     )
-    return report.orderBy(F.col("Ticket ID").asc_nulls_last())
 
 
 def append_missing_cause(tables, history: str, as_of: str, **options) -> str:
