@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.base import check, one_of
+from triagegrid.operators import lists
 from triagegrid.operators import lookups as L
 from triagegrid.operators.builder import TableQuery
-from triagegrid.operators.lists import resolve_id_lists
 from triagegrid.operators.pivots import group_mean
 from triagegrid.plans.common import known_people, label_of, processors_of, team_tasks, user_name
 from triagegrid.plans.r7_team_daily import escalation_times
@@ -177,7 +177,7 @@ def id_list_names(t):
     two = sdt.select(F.concat("orderid", F.lit("#")).alias("orderid"), F.lit(None).cast("string").alias("names"),
                      F.replace("createassignto_", F.lit("group:"), F.lit("")).alias("other"))
     both = one.unionByName(two).where(F.contains(F.coalesce("names", "other"), F.lit(";")))
-    named = resolve_id_lists(
+    named = lists.resolve_id_lists(
         both, ["names", "other"], t["group_dim"].where("active = 1"), known_people(t),
         prefixes={"names": ["user:", "group:"]},
     )
@@ -190,7 +190,7 @@ def id_list_names(t):
          FROM trouble_ticket t WHERE t.ticketid = w.parentticketid), '') AS parent FROM work_order w""",
 )
 def backfill_parent(t):
-    df = L.backfilled_parent(t["work_order"], "parentorderid_", "parentticketid", t["trouble_ticket"], ["orderid"])
+    df = lists.backfilled_parent(t["work_order"], "parentorderid_", "parentticketid", t["trouble_ticket"], ["orderid"])
     return df.select("orderid", F.col("parentorderid_").alias("parent"))
 
 

@@ -49,7 +49,7 @@ def test_backfilled_parent(spark):
     df = frame(spark, [("w1", 1, "TT-9"), ("w2", 1, None), ("w3", 2, None), ("w4", None, None), ("w5", 7, None)],
                "w STRING, p BIGINT, o STRING")
     tt = frame(spark, [(1, "TT-1"), (2, "TT-2b"), (2, "TT-2a")], "ticketid BIGINT, orderid STRING")
-    got = {r.w: r.o for r in L.backfilled_parent(df, "o", "p", tt, ["w"]).collect()}
+    got = {r.w: r.o for r in lists.backfilled_parent(df, "o", "p", tt, ["w"]).collect()}
     assert got == {"w1": "TT-9", "w2": "TT-1", "w3": "TT-2a;TT-2b", "w4": "", "w5": ""}
 
 
@@ -161,6 +161,18 @@ def test_child_lists_of_a_hot_parent_stay_whole(spark):
     assert len(rest) == len({r.p for r in rest}) and {r.piece for r in rest} == {0}
 
 
+def test_child_lists_of_hot_copies_stay_whole(spark):
+    """One parent with 1000 copies of one child: the copies are cut into runs."""
+    kids = spark.range(1000).select(F.lit(1).alias("p"), F.lit("same").alias("v"), F.lit(0).alias("o"))
+    kids = kids.unionByName(spark.createDataFrame([(1, "zz", 9), (2, "b", 1)], "p INT, v STRING, o INT"))
+    made = lists.child_lists(kids, "p", {"vs": ("v", "o"), "os": ("o", "o")}, piece_rows=100).collect()
+    items = [v for r in made if r.p == 1 for v in r.vs.split(",")]
+    assert sorted(items) == ["same"] * 1000 + ["zz"]
+    assert len([r for r in made if r.p == 1]) > 3
+    assert all(len(r.os.split(",")) == len(r.vs.split(",")) for r in made)
+    assert [tuple(r) for r in made if r.p == 2] == [(2, 0, "b", "1")]
+
+
 def test_range_ends_and_open_tickets(spark):
     rows = [
         ("start", "2021-12-08 16:00:00"),

@@ -20,32 +20,59 @@ def child_lists(
 ) -> DataFrame:
     """Joined child values per parent key: ``lists`` maps an output name to (value, order).
 
-    No cell holds more than about ``piece_rows`` items. A parent with more children is split by a hash of the child
-    over several rows numbered by ``piece``, so no task ever holds a hot parent and nothing is left out; all other
-    parents have the one piece 0. The table of hot parents has at most rows / ``piece_rows`` rows.
+    No cell holds many more than ``piece_rows`` items. A parent with more children than that gets several rows numbered
+    by ``piece``, so no task ever holds a hot parent and nothing is left out; all other parents have the one piece 0.
+    There are at most rows / ``piece_rows`` hot parents, so their table is small enough to broadcast. When it turns out
+    empty, AQE drops the branch that splits them.
     """
+    values = {f"__value_{i}": as_col(v).cast("string") for i, (v, _) in enumerate(lists.values())}
+    orders = {f"__order_{i}": as_col(o) for i, (_, o) in enumerate(lists.values())}
+    cells = [*values, *orders]
     items = children.where(as_col(key).isNotNull()).select(
-        as_col(key).alias("__parent"),
-        *[as_col(v).cast("string").alias(f"__value_{i}") for i, (v, _) in enumerate(lists.values())],
-        *[as_col(o).alias(f"__order_{i}") for i, (_, o) in enumerate(lists.values())],
+        as_col(key).alias("__parent"), *[c.alias(n) for n, c in {**values, **orders}.items()]
     )
-    counts = children.where(as_col(key).isNotNull()).groupBy(as_col(key).alias("__hot")).agg(F.count("*").alias("__n"))
-    hot = counts.where(F.col("__n") > piece_rows).select(
-        "__hot", F.ceil(F.col("__n") / piece_rows).alias("__pieces")
+    counts = items.groupBy(F.col("__parent").alias("__hot")).agg(F.count("*").alias("__n"))
+    hot = F.broadcast(
+        counts.where(F.col("__n") > piece_rows).select("__hot", F.ceil(F.col("__n") / piece_rows).alias("__pieces"))
     )
-    hashed = F.xxhash64(*[f"__value_{i}" for i in range(len(lists))], *[f"__order_{i}" for i in range(len(lists))])
-    piece = F.when(F.col("__pieces").isNull(), F.lit(0)).otherwise(F.pmod(hashed, F.col("__pieces")))
-    placed = items.join(F.broadcast(hot), F.col("__parent") == F.col("__hot"), "left").withColumn("piece", piece)
+    is_hot = F.col("__parent") == F.col("__hot")
+
+    def ordered(i: int, *more: str) -> Column:
+        """Order, value and further fields of the children that have a value, in order."""
+        fields = [F.col(f"__order_{i}").alias("order"), F.col(f"__value_{i}").alias("value"), *more]
+        held = F.when(F.col(f"__value_{i}").isNotNull(), F.struct(*fields))
+        return F.sort_array(F.collect_list(held))
+
+    def joined(names: Column) -> Column:
+        return F.when(F.size(names) > 0, F.array_join(names, sep))
+
+    plain = {out: joined(F.transform(ordered(i), lambda p: p["value"])) for i, out in enumerate(lists)}
+    cold_lists = (
+        items.join(hot, is_hot, "left_anti")
+        .groupBy("__parent")
+        .agg(*[c.alias(out) for out, c in plain.items()])
+        .select(F.col("__parent").alias(key), F.lit(0).cast("bigint").alias("piece"), *lists)
+    )
+    # Copies of one child are counted before the shuffle and cut into runs, so that a run has at most piece_rows items.
+    copies = items.join(hot, is_hot, "inner").groupBy("__parent", "__pieces", *cells).agg(F.count("*").alias("__n"))
+    last_run = F.ceil(F.col("__n") / piece_rows) - 1
+    runs = copies.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
+    length = F.least(F.lit(piece_rows), F.col("__n") - F.col("__run") * piece_rows).cast("int")
+    piece = F.pmod(F.xxhash64(*cells, "__run"), F.col("__pieces"))
+    # One struct as the group key: rows that arrive partitioned by the parent alone are then still spread by piece.
+    slot = F.struct(F.col("__parent").alias("parent"), piece.alias("piece")).alias("slot")
 
-    def joined(i: int) -> Column:
-        pair = F.when(F.col(f"__value_{i}").isNotNull(), F.struct(f"__order_{i}", f"__value_{i}"))
-        ordered = F.transform(F.sort_array(F.collect_list(pair)), lambda p: p[f"__value_{i}"])
-        return F.when(F.size(ordered) > 0, F.array_join(ordered, sep))
+    def repeated(i: int) -> Column:
+        runs_of = F.transform(ordered(i, "__length"), lambda p: F.array_repeat(p["value"], p["__length"]))
+        return joined(F.flatten(runs_of))
 
-    # One struct as the group key: rows that arrive partitioned by the parent alone are then still spread by piece.
-    slot = F.struct(F.col("__parent").alias("parent"), F.col("piece")).alias("slot")
-    made = placed.groupBy(slot).agg(*[joined(i).alias(out) for i, out in enumerate(lists)])
-    return made.select(F.col("slot.parent").alias(key), F.col("slot.piece").alias("piece"), *lists)
+    hot_lists = (
+        runs.withColumn("__length", length)
+        .groupBy(slot)
+        .agg(*[repeated(i).alias(out) for i, out in enumerate(lists)])
+        .select(F.col("slot.parent").alias(key), F.col("slot.piece").alias("piece"), *lists)
+    )
+    return cold_lists.unionByName(hot_lists)
 
 
 def child_lists_of(
@@ -61,6 +88,29 @@ def with_child_lists(df: DataFrame, key: str, lists: DataFrame, lists_key: str,
     return left_by_key(df, key, lists, lists_key, {c: c for c in names}, spread_by)
 
 
+def backfilled_parent(
+    df: DataFrame,
+    order_col: str,
+    key: str,
+    tt: DataFrame,
+    spread_by: list[str],
+    tt_key: str = "ticketid",
+    tt_order: str = "orderid",
+    unique: bool = False,
+) -> DataFrame:
+    """Fill a missing parent order id by ticket id; several finds are joined by ``;``, none gives an empty text.
+
+    Rows that hold an id look nothing up: their key is null and spreads. ``unique`` says that each ticket id occurs
+    once, which saves the grouping of the finds.
+    """
+    found = tt.select(as_col(tt_key).alias("__k"), as_col(tt_order).alias("__v"))
+    if not unique:
+        found = child_lists(found.distinct(), "__k", {"__v": ("__v", "__v")}, sep=";")
+    key_if_missing = F.when(as_col(order_col).isNull(), as_col(key))
+    joined = left_by_key(df, key_if_missing, found, "__k", {"__v": "__found"}, spread_by)
+    return joined.withColumn(order_col, F.coalesce(as_col(order_col), F.col("__found"), F.lit(""))).drop("__found")
+
+
 def resolve_id_lists(
     df: DataFrame,
     columns: list[str],

@@ -84,23 +84,6 @@ def parent_fallback(
     return joined.withColumn(out, F.coalesce(as_col(parent_order), F.col("__found"))).drop("__found")
 
 
-def backfilled_parent(
-    df: DataFrame, order_col: str, key: str, tt: DataFrame, spread_by: list[str], tt_key="ticketid", tt_order="orderid"
-) -> DataFrame:
-    """Fill a missing parent order id by ticket id; several finds are joined by ``;``, none gives an empty text.
-
-    Rows that hold an id look nothing up: their key is null and spreads.
-    """
-    found = (
-        tt.where(as_col(tt_order).isNotNull())
-        .groupBy(as_col(tt_key).alias("__k"))
-        .agg(F.array_join(F.array_sort(F.collect_set(as_col(tt_order))), ";").alias("__v"))
-    )
-    key_if_missing = F.when(as_col(order_col).isNull(), as_col(key))
-    joined = left_by_key(df, key_if_missing, found, "__k", {"__v": "__found"}, spread_by)
-    return joined.withColumn(order_col, F.coalesce(as_col(order_col), F.col("__found"), F.lit(""))).drop("__found")
-
-
 def branch_lookup(
     df: DataFrame, branches: list[tuple[Column, Column, bool]], dim: DataFrame, dim_key: str, value: str, out: str
 ) -> DataFrame:
@@ -194,11 +177,18 @@ def keys_only(
 ) -> DataFrame:
     """Rows whose key occurs in another result; an empty result leaves nothing.
 
-    Copies of a key in the other result are combined before the shuffle, unless it is ``unique``.
+    Copies of a key in the other result are combined before the shuffle, unless it is ``unique``. The second join key
+    is always 0; it gives both sides their own exchange, so that AQE can split a hot key of ``df``.
     """
     listed = allowed.select(as_col(allowed_key).alias("__allowed"))
-    return df.join(listed if unique else listed.distinct(), as_col(key) == F.col("__allowed"), "left_semi")
+    key = as_col(key)
+    if unique:
+        return df.join(listed, key == F.col("__allowed"), "left_semi")
+    listed = listed.distinct().withColumn("__zero", F.pmod(F.xxhash64("__allowed"), F.lit(1)))
+    same = (key == F.col("__allowed")) & (F.pmod(F.xxhash64(key), F.lit(1)) == F.col("__zero"))
+    return df.join(listed, same, "left_semi")
 
 
 def merge_left(df: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return df.join(right, key, "left")
+    """Attach an aggregate to the detail it came from."""
+    return left_by_key(df, key, right, key, {c: c for c in right.columns if c != key}, df.columns)

@@ -51,9 +51,8 @@ def team_tasks(tables, nodes: list[str], group: str = fixed.REPORT_TEAM_GROUP) -
     """Task log rows of the given nodes that were assigned to a group whose name contains ``group``."""
     names = one_per_key(tables["user_group"], "code", "label").where(F.upper("__v").like(f"%{group}%"))
     tasks = tables["ticket_task"].where(F.col("nodeid").isin(nodes))
-    return tasks.join(names, braced_value("assignto") == F.col("__k"), "inner").drop("__k").withColumnRenamed(
-        "__v", "assign_group"
-    )
+    named = lookup(tasks, braced_value("assignto"), names, "__k", "__v", "assign_group", unique=True)
+    return named.where(F.col("assign_group").isNotNull())
 
 
 def columns_as(df: DataFrame, names: dict[str, Column | str]) -> DataFrame:

@@ -13,8 +13,8 @@ from triagegrid.functions.scalars import as_col, local_text, local_time
 from triagegrid.operators.dedupe import worst_per_key
 from triagegrid.operators.edits import insert_columns
 from triagegrid.operators.grids import dense_grid, dense_grid_over
+from triagegrid.operators.lists import backfilled_parent
 from triagegrid.operators.lookups import (
-    backfilled_parent,
     group_directory,
     keys_only,
     left_by_key,
@@ -71,6 +71,12 @@ def _joined(tables, wo: DataFrame) -> DataFrame:
     return processors_of(df, tables, "wo_processor", "WO_CurrentProcessor")
 
 
+def _with_parent_id(df: DataFrame, tables) -> DataFrame:
+    return backfilled_parent(
+        df, "parentorderid_", "parentticketid", tables["trouble_ticket"], ["orderid"], unique=True
+    )
+
+
 def _tt_columns(zone: str) -> dict[str, Column | str]:
     return {
         "TT_FaultFirstOccurTime": local_text("tt_first", zone),
@@ -89,7 +95,7 @@ def pending_flat(
 ) -> DataFrame:
     """One row per pending work order; the group comes from the first current processor."""
     df = _joined(tables, selected_work_orders(tables, first_year, origin_group, zone))
-    df = backfilled_parent(df, "parentorderid_", "parentticketid", tables["trouble_ticket"], ["orderid"])
+    df = _with_parent_id(df, tables)
     df = processor_group(df, "WO_CurrentProcessor", group_directory(known_people(tables)), "processor_group", codes=[])
     return columns_as(
         df,
@@ -127,7 +133,7 @@ def prepared(
 ) -> DataFrame:
     """The classified detail that all pending-work pivots read."""
     df = _joined(tables, selected_work_orders(tables, first_year, origin_group, zone))
-    df = backfilled_parent(df, "parentorderid_", "parentticketid", tables["trouble_ticket"], ["orderid"])
+    df = _with_parent_id(df, tables)
     df = processor_group(df, "WO_CurrentProcessor", group_directory(known_people(tables)), "processor_group")
     df = df.withColumn("aging", C.aging_hours(local_time("createtime", zone), as_of))
     base = columns_as(

@@ -38,7 +38,7 @@ def adhoc_sdt_tickets(tables, ident: str, zone: str = fixed.LOCAL_ZONE, exact: b
     df = user_name(df, tables, "originator", "origin_name")
     # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.
     return columns_as(
-        df.orderBy(F.col("createtime").asc_nulls_last()),
+        df.orderBy(F.col("createtime").asc_nulls_last(), "orderid"),
         {
             "ORDERID": "orderid",
             "CREATETITLE": "createtitle_",

@@ -34,7 +34,7 @@ def daily_tickets(tables, start: str, end: str, zone: str = fixed.LOCAL_ZONE) ->
     df = lookup(df, "source", tables["ticket_order"], "ticketid", "orderid", "parent", strict=True)
     # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.
     return columns_as(
-        df.orderBy(F.col("orderid").asc_nulls_last()),
+        df.orderBy(F.col("orderid").asc_nulls_last(), "parent"),
         {
             "ParentTicketID": "parent",
             "TicketID": "orderid",

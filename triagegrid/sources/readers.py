@@ -72,7 +72,7 @@ def csv_all_text(
     """CSV, every column text. Lines with too many fields are skipped, short ones filled with nulls.
 
     The first ``skip_rows`` lines and the header of each file are recognised by their text, as Spark itself does for
-    headers, so no line numbers are needed. With ``fields`` the files have no header.
+    headers, so no line numbers are needed. With ``fields`` the files have no header. A record is one line.
     """
     lines = spark.read.text(path)
     first = spark.read.text(min(lines.inputFiles()))
@@ -86,7 +86,7 @@ def csv_all_text(
     count = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + F.lit(1)
     kept = body.where(count <= len(fields))
     ddl = ", ".join(f"`{name}` STRING" for name in fields)
-    parsed = kept.select(F.from_csv("value", ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("row"))
+    parsed = kept.select(F.from_csv("value", ddl, {"sep": sep, "mode": "PERMISSIVE", "escape": '"'}).alias("row"))
     return rename(parsed.select(*[F.col(f"row.`{name}`").alias(name) for name in fields]), names)
 
 

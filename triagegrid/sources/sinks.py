@@ -14,7 +14,8 @@ from triagegrid.sources.readers import rename
 def write_csv(df: DataFrame, path: str, report_date: str) -> str:
     """CSV with a header and empty texts for nulls, in a folder named after the report date."""
     target = os.path.join(path, f"report_date={report_date}")
-    df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(target)
+    options = {"header": True, "nullValue": "", "emptyValue": "", "escape": '"'}
+    df.write.mode("overwrite").options(**options).csv(target)
     return target
 
 
