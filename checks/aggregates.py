@@ -30,7 +30,7 @@ def _tickets(t):
 )
 def child_list(t):
     made = lists.child_lists(t["work_order"], "parentticketid", {"children": ("orderid", "ticketid")})
-    df = lists.with_child_lists(t["trouble_ticket"], "ticketid", made, "parentticketid", ["orderid"])
+    df = lists.with_child_lists(t["trouble_ticket"], "ticketid", made, "parentticketid")
     return df.select("orderid", "children")
 
 
@@ -46,7 +46,7 @@ def child_value_lists(t):
     made = lists.child_lists(
         wo, "parentticketid", {"statuses": ("processstatus", "processstatus"), "processors": ("processors", "processors")}
     )
-    df = lists.with_child_lists(t["trouble_ticket"], "ticketid", made, "parentticketid", ["orderid"])
+    df = lists.with_child_lists(t["trouble_ticket"], "ticketid", made, "parentticketid")
     return df.select("orderid", "statuses", "processors")
 
 

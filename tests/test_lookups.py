@@ -138,7 +138,7 @@ def test_child_lists(spark):
     made = lists.child_lists(kids, "p", {"vs": ("v", "o")})
     assert rows_of(made) == [(1, 0, "a,c"), (2, 0, None), (3, 0, "z")]
     parents = frame(spark, [(1,), (2,), (4,)], "t BIGINT")
-    assert rows_of(lists.with_child_lists(parents, "t", made, "p", ["t"])) == [(1, "a,c"), (2, None), (4, None)]
+    assert rows_of(lists.with_child_lists(parents, "t", made, "p")) == [(1, "a,c"), (2, None), (4, None)]
     few = lists.child_lists_of(parents, "t", kids, "p", {"vs": ("v", "o")})
     assert [r.p for r in few.orderBy("p").collect()] == [1, 2]
 

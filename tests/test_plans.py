@@ -69,6 +69,17 @@ def test_hot_keys_can_be_split(spark, no_broadcast):
     assert len(re.findall(r"Exchange hashpartitioning\(__dim_key#\d+L?, __dim_spread#\d+L", text)) == 1
 
 
+def test_joins_on_the_own_id_share_a_partitioning(spark, no_broadcast):
+    """Child lists and processors are both attached by ticket id: the tickets are shuffled once."""
+    tables = Tables(spark, FOLDER)
+    made = lists.child_lists(tables["work_order"], "parentticketid", {"c": ("orderid", "ticketid")})
+    df = lists.with_child_lists(tables["trouble_ticket"].select("ticketid", "orderid"), "ticketid", made, "parentticketid")
+    df = lookups.lookup(df, "ticketid", tables["tt_processor"], "ticketid", "processors", "p", unique=True, own_id=True)
+    text = plan(df, "simple")
+    assert len(re.findall(r"Exchange hashpartitioning\(ticketid#", text)) == 1
+    assert len(re.findall(r"SortMergeJoin \[ticketid#", text)) == 2
+
+
 def test_skew_join_splits_a_hot_key(spark, no_broadcast):
     """One key in half of the rows: AQE reads its partition in several pieces."""
     df = spark.range(0, 400_000, 1, 8).select(
@@ -83,7 +94,7 @@ def test_skew_join_splits_a_hot_key(spark, no_broadcast):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        joined = lookups.lookup(df, "k", dim, "id", "v", "out", spread_by=["x"])
+        joined = lookups.lookup(df, "k", dim, "id", "v", "out")
         assert joined.where(F.col("out").isNotNull()).count() == 400_000
         counted = joined.agg(F.count("out"), F.max("x"))
         counted.collect()

@@ -82,10 +82,10 @@ def child_lists_of(
     return child_lists(keys_only(children, key, parents, parent_key, unique=True), key, lists, **options)
 
 
-def with_child_lists(df: DataFrame, key: str, lists: DataFrame, lists_key: str, spread_by: list[str]) -> DataFrame:
-    """Attach the lists; parents without children get nulls, one with several pieces gets one row per piece."""
+def with_child_lists(df: DataFrame, key: str, lists: DataFrame, lists_key: str) -> DataFrame:
+    """Attach the lists by the parents' own id. Parents without children get nulls, several pieces give as many rows."""
     names = [c for c in lists.columns if c not in (lists_key, "piece")]
-    return left_by_key(df, key, lists, lists_key, {c: c for c in names}, spread_by)
+    return left_by_key(df, key, lists, lists_key, {c: c for c in names})
 
 
 def backfilled_parent(

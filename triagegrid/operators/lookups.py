@@ -16,28 +16,36 @@ NULL_SPREAD = 256
 
 
 def left_by_key(
-    df: DataFrame, key: Column | str, dim: DataFrame, dim_key: str, take: dict[str, str], spread_by: list[str]
+    df: DataFrame,
+    key: Column | str,
+    dim: DataFrame,
+    dim_key: str,
+    take: dict[str, str],
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Left equi join that keeps rows without a key from piling up in one partition.
+    """Left equi join that adds the ``take`` columns of the right side under new names.
+
+    Give ``spread_by`` when the key can be null or hot. A second join key is then 0 for every row that can match and a
+    hash of those columns for rows whose key is null, so that these do not pile up in one partition. It also gives both
+    sides their own exchange, which is what AQE needs to split a hot key. On the right it is computed rather than a
+    literal 0, since a literal would be folded out of the join keys.
 
-    A second join key is 0 for every row that can match and a hash of ``spread_by`` for rows whose key is null.
-    It also gives both sides their own exchange, which is what AQE needs to split a hot key. On the right it is
-    computed rather than a literal 0, since a literal would be folded out of the join keys.
+    Without ``spread_by`` the join is on the key alone. That suits the table's own id: several such joins in a row share
+    one partitioning, and tables bucketed by the id are not shuffled at all.
     """
-    key = as_col(key)
-    spread = F.pmod(F.xxhash64(*[as_col(c) for c in spread_by]), F.lit(NULL_SPREAD)) + 1
-    left = df.withColumns({"__key": key, "__spread": F.when(key.isNull(), spread).otherwise(F.lit(0).cast("long"))})
-    right = dim.where(as_col(dim_key).isNotNull()).select(
-        as_col(dim_key).alias("__dim_key"),
-        F.pmod(F.xxhash64(as_col(dim_key)), F.lit(1)).alias("__dim_spread"),
-        *[as_col(c).alias(out) for c, out in take.items()],
-    )
     if clash := set(take.values()) & set(df.columns):
         raise ValueError(f"columns already there: {sorted(clash)}")
-    joined = left.join(
-        right, (F.col("__key") == F.col("__dim_key")) & (F.col("__spread") == F.col("__dim_spread")), "left"
+    right = dim.where(as_col(dim_key).isNotNull()).select(
+        as_col(dim_key).alias("__dim_key"), *[as_col(c).alias(out) for c, out in take.items()]
     )
-    return joined.drop("__key", "__spread", "__dim_key", "__dim_spread")
+    key = as_col(key)
+    if not spread_by:
+        return df.join(right, key == F.col("__dim_key"), "left").drop("__dim_key")
+    spread = F.pmod(F.xxhash64(*[as_col(c) for c in spread_by]), F.lit(NULL_SPREAD)) + 1
+    left = df.withColumns({"__key": key, "__spread": F.when(key.isNull(), spread).otherwise(F.lit(0).cast("long"))})
+    right = right.withColumn("__dim_spread", F.pmod(F.xxhash64("__dim_key"), F.lit(1)))
+    same = (F.col("__key") == F.col("__dim_key")) & (F.col("__spread") == F.col("__dim_spread"))
+    return left.join(right, same, "left").drop("__key", "__spread", "__dim_key", "__dim_spread")
 
 
 def one_per_key(dim: DataFrame, key: str, value: str, strict: bool = False) -> DataFrame:
@@ -63,17 +71,18 @@ def lookup(
     out: str,
     strict: bool = False,
     unique: bool = False,
-    spread_by: list[str] | None = None,
+    own_id: bool = False,
 ) -> DataFrame:
     """Add ``out``: the dimension's value for the key, null when there is none.
 
-    ``unique`` says that the dimension holds each key once, which saves its aggregation.
+    ``unique`` says that the dimension holds each key once, which saves its aggregation; ``own_id`` that ``df`` holds
+    each key once too and never a null.
     """
     if unique:
         source = dim.select(as_col(dim_key).alias("__k"), as_col(value).alias("__v"))
     else:
         source = one_per_key(dim, dim_key, value, strict)
-    return left_by_key(df, key, source, "__k", {"__v": out}, spread_by or df.columns[:2])
+    return left_by_key(df, key, source, "__k", {"__v": out}, None if own_id else df.columns[:2])
 
 
 def parent_fallback(

@@ -22,8 +22,8 @@ def label_of(df: DataFrame, tables, dim: str, key: Column | str, out: str) -> Da
 
 
 def processors_of(df: DataFrame, tables, dim: str, out: str, key: str = "ticketid") -> DataFrame:
-    """Current processors of a ticket; the table holds each ticket once."""
-    return lookup(df, key, tables[dim], "ticketid", "processors", out, unique=True)
+    """Current processors of a ticket; both tables hold each ticket once."""
+    return lookup(df, key, tables[dim], "ticketid", "processors", out, unique=True, own_id=True)
 
 
 def handled_by(df: DataFrame, tables, dim: str, group: str = fixed.REPORT_TEAM_GROUP) -> DataFrame:

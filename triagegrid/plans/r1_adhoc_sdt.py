@@ -30,10 +30,10 @@ def adhoc_sdt_tickets(tables, ident: str, zone: str = fixed.LOCAL_ZONE, exact: b
     children = child_lists_of(
         sdt, "ticketid", tables["work_order"], "parentticketid", {"SUBPROCESS_WO": ("orderid", "ticketid")}
     )
-    df = with_child_lists(df, "ticketid", children, "parentticketid", ["orderid"])
+    df = with_child_lists(df, "ticketid", children, "parentticketid")
+    df = processors_of(df, tables, "sdt_processor", "CURRENTPROCESSOR")
     df = label_of(df, tables, "assign_to", "createassignto_", "create_label")
     df = label_of(df, tables, "assign_to", "transferto_", "transfer_label")
-    df = processors_of(df, tables, "sdt_processor", "CURRENTPROCESSOR")
     df = user_name(df, tables, "lastoperator", "last_name")
     df = user_name(df, tables, "originator", "origin_name")
     # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.

@@ -24,7 +24,7 @@ def daily_tickets(tables, start: str, end: str, zone: str = fixed.LOCAL_ZONE) ->
     children = child_lists_of(
         tt, "ticketid", tables["work_order"], "parentticketid", {"SubProcessWO": ("orderid", "ticketid")}
     )
-    df = with_child_lists(tt, "ticketid", children, "parentticketid", ["orderid"])
+    df = with_child_lists(tt, "ticketid", children, "parentticketid")
     df = label_of(df, tables, "data_source", "causeofoutage_", "cause")
     df = label_of(df, tables, "severity", "currentseverity_", "severity")
     df = user_name(df, tables, "originator", "creator")

@@ -47,7 +47,8 @@ def missing_cause(
             "SubProcessWO_CurrentProcessor": ("processors", "processors"),
         },
     )
-    df = with_child_lists(tt, "ticketid", lists, "parentticketid", ["orderid"])
+    df = with_child_lists(tt, "ticketid", lists, "parentticketid")
+    df = processors_of(df, tables, "tt_processor", "processors")
     site, other = F.col("siteid_"), F.col("site_")
     df = branch_lookup(
         df,
@@ -64,7 +65,6 @@ def missing_cause(
     )
     df = either_key_lookup(df, ("siteid_", "site_"), active, "site_id", "province_name", "found_province")
     df = label_of(df, tables, "assign_to", "assignto_", "assigned")
-    df = processors_of(df, tables, "tt_processor", "processors")
     df = left_by_key(
         df, "ticketid", tables["ticket_associate"], "associateticketid", {"sourceticketid": "source"}, ["orderid"]
     )
