@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 GIVEN = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -274,6 +275,17 @@ SOURCES: dict[str, list[tuple[str, str | None, dict[str, str]]]] = {
 
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def open_given(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given file. Its schema is read from the footer once per process."""
+    path = os.path.join(folder, f"{name}.parquet")
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 class Tables(dict):
     """Canonical and given tables by name, each opened on first use."""
 
@@ -289,7 +301,7 @@ class Tables(dict):
                 part = rows.selectExpr(*[f"{e.format(ts='TIMESTAMP_NTZ')} AS {c}" for c, e in cells.items()])
                 df = part if df is None else df.unionByName(part)
         else:
-            df = self.spark.read.parquet(os.path.join(self.folder, f"{name}.parquet"))
+            df = open_given(self.spark, self.folder, name)
         self[name] = df
         return df
 

@@ -12,7 +12,11 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def build_session(app: str = "triagegrid", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the report plans expect; cluster sizing is left to the caller."""
+    """A session with the settings the report plans expect; cluster sizing is left to the caller.
+
+    Wide report rows make long generated methods, which HotSpot leaves uncompiled by default. A local session lifts that
+    limit; on a cluster the same flag belongs in ``spark.executor.extraJavaOptions``.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -22,6 +26,8 @@ def build_session(app: str = "triagegrid", master: str | None = None, **conf: st
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
