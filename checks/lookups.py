@@ -42,10 +42,8 @@ def parent_fallback(t):
        LEFT JOIN ticket_associate a ON a.associateticketid = t.ticketid""",
 )
 def association_fan_out(t):
-    df = L.left_by_key(
-        t["trouble_ticket"], "ticketid", t["ticket_associate"], "associateticketid", {"sourceticketid": "source"},
-        ["orderid"],
-    )
+    take = {"sourceticketid": "source"}
+    df = L.fan_out_left(t["trouble_ticket"], "ticketid", t["ticket_associate"], "associateticketid", take)
     return df.select("orderid", "source")
 
 

@@ -173,6 +173,19 @@ def test_child_lists_of_hot_copies_stay_whole(spark):
     assert [tuple(r) for r in made if r.p == 2] == [(2, 0, "b", "1")]
 
 
+def test_fan_out_of_a_hot_key_stays_whole(spark):
+    """Key 1 has 900 distinct matches and 500 copies of one more; all come out, spread over parts."""
+    df = frame(spark, [(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "k BIGINT, n STRING")
+    many = spark.range(900).select(F.lit(1).cast("bigint").alias("m"), F.col("id").alias("s"))
+    many = many.unionByName(spark.range(500).select(F.lit(1).cast("bigint").alias("m"), F.lit(-7).cast("bigint").alias("s")))
+    many = many.unionByName(frame(spark, [(2, 5), (2, 5), (2, None), (None, 9), (8, 1)], "m BIGINT, s BIGINT"))
+    wanted = df.join(many, F.col("k") == F.col("m"), "left").select("k", "n", "s")
+    for hot_rows in (1, 7, 100, 10_000):
+        got = L.fan_out_left(df, "k", many, "m", {"s": "s"}, hot_rows)
+        assert got.columns == ["k", "n", "s"]
+        assert got.exceptAll(wanted).count() == 0 and wanted.exceptAll(got).count() == 0
+
+
 def test_range_ends_and_open_tickets(spark):
     rows = [
         ("start", "2021-12-08 16:00:00"),

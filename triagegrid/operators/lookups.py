@@ -13,6 +13,7 @@ from triagegrid.functions.classify import coded_item
 from triagegrid.functions.scalars import as_col, first_item, has_separator
 
 NULL_SPREAD = 256
+HOT_ROWS = 1_000_000
 
 
 def left_by_key(
@@ -48,6 +49,50 @@ def left_by_key(
     return left.join(right, same, "left").drop("__key", "__spread", "__dim_key", "__dim_spread")
 
 
+def fan_out_left(
+    df: DataFrame, key: str, many: DataFrame, many_key: str, take: dict[str, str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Left join with one output row per match, for a right side in which one key may hold very many rows.
+
+    AQE cannot split the right side of a left join. So a key with more than ``hot_rows`` matches is split here: its
+    matches are dealt over numbered parts and its left rows are repeated once per part; a repeated row that meets no
+    match in its part is dropped, as the key has matches in others. Copies of a match travel once, with their number.
+    There are at most rows / ``hot_rows`` hot keys, so their table is small enough to broadcast.
+    """
+    names = {c: f"__take_{i}" for i, c in enumerate(take)}
+    pairs = (
+        many.where(as_col(many_key).isNotNull())
+        .select(as_col(many_key).alias("__many"), *[as_col(c).alias(n) for c, n in names.items()])
+        .groupBy("__many", *names.values())
+        .agg(F.count("*").alias("__copies"))
+    )
+    sizes = pairs.groupBy(F.col("__many").alias("__hot")).agg(F.sum("__copies").alias("__n"))
+    hot = sizes.where(F.col("__n") > hot_rows).select("__hot", F.ceil(F.col("__n") / hot_rows).alias("__parts"))
+    zero = F.lit(0).cast("bigint")
+
+    def counted(parts) -> Column:
+        return F.explode(F.sequence(zero, parts - 1))
+
+    left = df.join(F.broadcast(hot), as_col(key) == F.col("__hot"), "left")
+    left = left.withColumn("__part", counted(F.coalesce("__parts", F.lit(1))))
+    runs = pairs.withColumn("__run", counted(F.ceil(F.col("__copies") / hot_rows)))
+    size = F.least(F.lit(hot_rows), F.col("__copies") - F.col("__run") * hot_rows)
+    of = hot.withColumnsRenamed({"__hot": "__of_key", "__parts": "__of"})
+    right = runs.join(F.broadcast(of), F.col("__many") == F.col("__of_key"), "left")
+    dealt = F.pmod(F.xxhash64(*names.values(), "__run"), F.col("__of"))
+    right = right.select(
+        "__many",
+        F.when(F.col("__of").isNull(), zero).otherwise(dealt).alias("__to"),
+        size.alias("__size"),
+        *names.values(),
+    )
+    joined = left.join(right, (as_col(key) == F.col("__many")) & (F.col("__part") == F.col("__to")), "left")
+    kept = joined.where(F.col("__hot").isNull() | F.col("__many").isNotNull())
+    copied = kept.withColumn("__copy", counted(F.coalesce("__size", F.lit(1))))
+    helpers = ["__hot", "__parts", "__part", "__many", "__to", "__size", "__copy"]
+    return copied.drop(*helpers).withColumnsRenamed({n: take[c] for c, n in names.items()})
+
+
 def one_per_key(dim: DataFrame, key: str, value: str, strict: bool = False) -> DataFrame:
     """One value per key: the smallest, or an error on two different ones when ``strict``.
 

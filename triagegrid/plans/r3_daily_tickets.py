@@ -9,7 +9,7 @@ from triagegrid.functions import fixed
 from triagegrid.functions.classify import area_code, business_status, technology_label
 from triagegrid.functions.scalars import local_text
 from triagegrid.operators.lists import child_lists_of, with_child_lists
-from triagegrid.operators.lookups import left_by_key, lookup
+from triagegrid.operators.lookups import fan_out_left, lookup
 from triagegrid.operators.predicates import open_in_range
 from triagegrid.plans.common import columns_as, label_of, user_name
 
@@ -28,9 +28,7 @@ def daily_tickets(tables, start: str, end: str, zone: str = fixed.LOCAL_ZONE) ->
     df = label_of(df, tables, "data_source", "causeofoutage_", "cause")
     df = label_of(df, tables, "severity", "currentseverity_", "severity")
     df = user_name(df, tables, "originator", "creator")
-    df = left_by_key(
-        df, "ticketid", tables["ticket_associate"], "associateticketid", {"sourceticketid": "source"}, ["orderid"]
-    )
+    df = fan_out_left(df, "ticketid", tables["ticket_associate"], "associateticketid", {"sourceticketid": "source"})
     df = lookup(df, "source", tables["ticket_order"], "ticketid", "orderid", "parent", strict=True)
     # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.
     return columns_as(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from triagegrid.functions import fixed
 from triagegrid.functions.scalars import local_text, local_time, or_else, strip_text
 from triagegrid.operators.lists import child_lists, with_child_lists
-from triagegrid.operators.lookups import branch_lookup, either_key_lookup, keys_only, left_by_key, lookup
+from triagegrid.operators.lookups import branch_lookup, either_key_lookup, fan_out_left, keys_only, lookup
 from triagegrid.operators.predicates import any_missing, equals_none, since_year
 from triagegrid.plans.common import columns_as, label_of, processors_of
 from triagegrid.sources.sinks import write_snapshot
@@ -65,9 +65,7 @@ def missing_cause(
     )
     df = either_key_lookup(df, ("siteid_", "site_"), active, "site_id", "province_name", "found_province")
     df = label_of(df, tables, "assign_to", "assignto_", "assigned")
-    df = left_by_key(
-        df, "ticketid", tables["ticket_associate"], "associateticketid", {"sourceticketid": "source"}, ["orderid"]
-    )
+    df = fan_out_left(df, "ticketid", tables["ticket_associate"], "associateticketid", {"sourceticketid": "source"})
     df = lookup(df, "source", tables["ticket_order"], "ticketid", "orderid", "parent", strict=True)
     # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.
     return columns_as(
