@@ -155,8 +155,8 @@ def _detail(t):
 
 
 def _stored_detail(t):
-    """The detail written once, as the whole report does before its pivots."""
-    return stored(_detail(t), "pending-detail")
+    """The detail written once before its pivots, as the whole report does; here only the columns the grids read."""
+    return stored(_detail(t).select(*W.GRID_COLUMNS), "pending-detail")
 
 
 def _with_detail(rest: str) -> str:

@@ -35,6 +35,21 @@ from triagegrid.sources.sinks import write_report
 
 STATUS = "running"
 AGING, BUCKET, AFFECTING = "Aging (Hrs)", "Aging Grp", "Service Affecting Type"
+# What the workgroup and severity grids read of the detail.
+GRID_COLUMNS = [
+    "WO_TicketID",
+    "WO_Status",
+    "WO_BusinessStatus",
+    "Fault_Severity_Level",
+    AGING,
+    BUCKET,
+    "Workgroup",
+    AFFECTING,
+    "SiteID",
+    "SiteDown",
+    "TT_FaultRecoveryTime",
+    "WO_CreateYear",
+]
 
 
 def selected_work_orders(
