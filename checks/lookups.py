@@ -43,7 +43,7 @@ def parent_fallback(t):
 )
 def association_fan_out(t):
     take = {"sourceticketid": "source"}
-    df = L.fan_out_left(t["trouble_ticket"], "ticketid", t["ticket_associate"], "associateticketid", take)
+    df = L.fan_out_left(t["trouble_ticket"], "ticketid", t["ticket_associate"], "associateticketid", take, ["orderid"])
     return df.select("orderid", "source")
 
 

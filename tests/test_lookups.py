@@ -53,6 +53,16 @@ def test_backfilled_parent(spark):
     assert got == {"w1": "TT-9", "w2": "TT-1", "w3": "TT-2a;TT-2b", "w4": "", "w5": ""}
 
 
+def test_backfill_of_a_hot_ticket(spark, monkeypatch):
+    monkeypatch.setattr(lists.child_lists, "__defaults__", (",", 5))
+    df = frame(spark, [("w1", 1, None), ("w2", 2, None)], "w STRING, p BIGINT, o STRING")
+    tt = spark.range(20).select(F.lit(1).cast("bigint").alias("ticketid"), F.col("id").cast("string").alias("orderid"))
+    got = lists.backfilled_parent(df, "o", "p", tt, ["w"]).collect()
+    found = [v for r in got if r.w == "w1" for v in r.o.split(";")]
+    assert sorted(found) == sorted(str(i) for i in range(20))
+    assert [r.o for r in got if r.w == "w2"] == [""]
+
+
 def users(spark):
     rows = [(5, "Ann", "TSC"), (3, "Ann", "WFS"), (1, "Bob", "FFS"), (9, "TSC", "OPM"), (8, "Cy", None)]
     return frame(spark, rows, "user_id BIGINT, fullname STRING, user_default_group STRING")
@@ -149,8 +159,9 @@ def test_child_lists_of_a_hot_parent_stay_whole(spark):
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 400).alias("p"), F.col("id").alias("v")
     )
     made = lists.child_lists(kids, "p", {"vs": ("v", "v")}, piece_rows=100).collect()
-    hot = [r for r in made if r.p == -1]
-    assert {r.piece for r in hot} == set(range(10))
+    assert [(r.piece, r.vs) for r in made if r.p == -1 and r.vs is None] == [(0, None)]
+    hot = [r for r in made if r.p == -1 and r.vs]
+    assert {r.piece for r in hot} == set(range(1, 11))
     assert max(len(r.vs.split(",")) for r in hot) < 200
     items = sorted(int(v) for r in hot for v in r.vs.split(","))
     assert items == list(range(0, 3000, 3))
@@ -166,6 +177,8 @@ def test_child_lists_of_hot_copies_stay_whole(spark):
     kids = spark.range(1000).select(F.lit(1).alias("p"), F.lit("same").alias("v"), F.lit(0).alias("o"))
     kids = kids.unionByName(spark.createDataFrame([(1, "zz", 9), (2, "b", 1)], "p INT, v STRING, o INT"))
     made = lists.child_lists(kids, "p", {"vs": ("v", "o"), "os": ("o", "o")}, piece_rows=100).collect()
+    assert [r.piece for r in made if r.p == 1 and r.vs is None] == [0]
+    made = [r for r in made if r.vs]
     items = [v for r in made if r.p == 1 for v in r.vs.split(",")]
     assert sorted(items) == ["same"] * 1000 + ["zz"]
     assert len([r for r in made if r.p == 1]) > 3
@@ -181,11 +194,26 @@ def test_fan_out_of_a_hot_key_stays_whole(spark):
     many = many.unionByName(frame(spark, [(2, 5), (2, 5), (2, None), (None, 9), (8, 1)], "m BIGINT, s BIGINT"))
     wanted = df.join(many, F.col("k") == F.col("m"), "left").select("k", "n", "s")
     for hot_rows in (1, 7, 100, 10_000):
-        got = L.fan_out_left(df, "k", many, "m", {"s": "s"}, hot_rows)
+        got = L.fan_out_left(df, "k", many, "m", {"s": "s"}, ["n"], hot_rows)
         assert got.columns == ["k", "n", "s"]
         assert got.exceptAll(wanted).count() == 0 and wanted.exceptAll(got).count() == 0
 
 
+def test_pieces_do_not_multiply_a_fan_out(spark):
+    parents = frame(spark, [(1,), (2,)], "t BIGINT")
+    kids = spark.range(40).select(F.lit(1).cast("bigint").alias("p"), F.col("id").alias("v"))
+    made = lists.child_lists(kids, "p", {"vs": ("v", "v")}, piece_rows=10)
+    pieces = made.count()
+    many = spark.range(30).select(F.lit(1).cast("bigint").alias("m"), F.col("id").alias("s"))
+    df = lists.with_child_lists(parents, "t", made, "p", piece="piece")
+    out = L.fan_out_left(df, lists.first_piece_key("t", "piece"), many, "m", {"s": "s"}, ["t", "piece"], 7)
+    rows = out.where("t = 1").collect()
+    assert pieces > 1 and len(rows) == 30 + pieces - 1
+    assert sorted(r.s for r in rows if r.s is not None) == list(range(30))
+    assert sorted(int(v) for r in rows if r.vs for v in r.vs.split(",")) == list(range(40))
+    assert [r.s for r in out.where("t = 2").collect()] == [None]
+
+
 def test_range_ends_and_open_tickets(spark):
     rows = [
         ("start", "2021-12-08 16:00:00"),

@@ -20,8 +20,9 @@ def child_lists(
 ) -> DataFrame:
     """Joined child values per parent key: ``lists`` maps an output name to (value, order).
 
-    No cell holds many more than ``piece_rows`` items. A parent with more children than that gets several rows numbered
-    by ``piece``, so no task ever holds a hot parent and nothing is left out; all other parents have the one piece 0.
+    No cell holds many more than ``piece_rows`` items. A parent with more children than that gets a first row, piece 0,
+    without a list and its list in pieces from 1 on, so no task ever holds a hot parent and nothing is left out. All
+    other parents have their list in the one piece 0.
     There are at most rows / ``piece_rows`` hot parents, so their table is small enough to broadcast. When it turns out
     empty, AQE drops the branch that splits them.
     """
@@ -32,9 +33,8 @@ def child_lists(
         as_col(key).alias("__parent"), *[c.alias(n) for n, c in {**values, **orders}.items()]
     )
     counts = items.groupBy(F.col("__parent").alias("__hot")).agg(F.count("*").alias("__n"))
-    hot = F.broadcast(
-        counts.where(F.col("__n") > piece_rows).select("__hot", F.ceil(F.col("__n") / piece_rows).alias("__pieces"))
-    )
+    large = counts.where(F.col("__n") > piece_rows)
+    hot = F.broadcast(large.select("__hot", F.ceil(F.col("__n") / piece_rows).alias("__pieces")))
     is_hot = F.col("__parent") == F.col("__hot")
 
     def ordered(i: int, *more: str) -> Column:
@@ -58,7 +58,7 @@ def child_lists(
     last_run = F.ceil(F.col("__n") / piece_rows) - 1
     runs = copies.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
     length = F.least(F.lit(piece_rows), F.col("__n") - F.col("__run") * piece_rows).cast("int")
-    piece = F.pmod(F.xxhash64(*cells, "__run"), F.col("__pieces"))
+    piece = F.pmod(F.xxhash64(*cells, "__run"), F.col("__pieces")) + 1
     # One struct as the group key: rows that arrive partitioned by the parent alone are then still spread by piece.
     slot = F.struct(F.col("__parent").alias("parent"), piece.alias("piece")).alias("slot")
 
@@ -72,7 +72,12 @@ def child_lists(
         .agg(*[repeated(i).alias(out) for i, out in enumerate(lists)])
         .select(F.col("slot.parent").alias(key), F.col("slot.piece").alias("piece"), *lists)
     )
-    return cold_lists.unionByName(hot_lists)
+    first_rows = large.select(
+        F.col("__hot").alias(key),
+        F.lit(0).cast("bigint").alias("piece"),
+        *[F.lit(None).cast("string").alias(out) for out in lists],
+    )
+    return cold_lists.unionByName(hot_lists).unionByName(first_rows)
 
 
 def child_lists_of(
@@ -82,10 +87,23 @@ def child_lists_of(
     return child_lists(keys_only(children, key, parents, parent_key, unique=True), key, lists, **options)
 
 
-def with_child_lists(df: DataFrame, key: str, lists: DataFrame, lists_key: str) -> DataFrame:
-    """Attach the lists by the parents' own id. Parents without children get nulls, several pieces give as many rows."""
-    names = [c for c in lists.columns if c not in (lists_key, "piece")]
-    return left_by_key(df, key, lists, lists_key, {c: c for c in names})
+def with_child_lists(
+    df: DataFrame, key: str, lists: DataFrame, lists_key: str, piece: str | None = None
+) -> DataFrame:
+    """Attach the lists by the parents' own id. Parents without children get nulls, several pieces give as many rows.
+
+    With ``piece`` the number of the piece is kept under that name, so that later joins can treat the first row of a
+    parent apart from its further pieces.
+    """
+    take = {c: c for c in lists.columns if c not in (lists_key, "piece")}
+    if piece:
+        take["piece"] = piece
+    return left_by_key(df, key, lists, lists_key, take)
+
+
+def first_piece_key(key: str, piece: str) -> Column:
+    """The parent's id on its first row (piece 0 or no children) only, so that a fan-out is not multiplied by the further pieces."""
+    return F.when(F.coalesce(F.col(piece), F.lit(0)) == 0, as_col(key))
 
 
 def backfilled_parent(
@@ -105,7 +123,8 @@ def backfilled_parent(
     """
     found = tt.select(as_col(tt_key).alias("__k"), as_col(tt_order).alias("__v"))
     if not unique:
-        found = child_lists(found.distinct(), "__k", {"__v": ("__v", "__v")}, sep=";")
+        pairs = found.where(F.col("__v").isNotNull()).distinct()
+        found = child_lists(pairs, "__k", {"__v": ("__v", "__v")}, sep=";").where(F.col("__v").isNotNull())
     key_if_missing = F.when(as_col(order_col).isNull(), as_col(key))
     joined = left_by_key(df, key_if_missing, found, "__k", {"__v": "__found"}, spread_by)
     return joined.withColumn(order_col, F.coalesce(as_col(order_col), F.col("__found"), F.lit(""))).drop("__found")

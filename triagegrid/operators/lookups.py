@@ -50,13 +50,20 @@ def left_by_key(
 
 
 def fan_out_left(
-    df: DataFrame, key: str, many: DataFrame, many_key: str, take: dict[str, str], hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    key: Column | str,
+    many: DataFrame,
+    many_key: str,
+    take: dict[str, str],
+    spread_by: list[str],
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join with one output row per match, for a right side in which one key may hold very many rows.
 
     AQE cannot split the right side of a left join. So a key with more than ``hot_rows`` matches is split here: its
     matches are dealt over numbered parts and its left rows are repeated once per part; a repeated row that meets no
     match in its part is dropped, as the key has matches in others. Copies of a match travel once, with their number.
+    Rows without a key are spread by a hash of ``spread_by``.
     There are at most rows / ``hot_rows`` hot keys, so their table is small enough to broadcast.
     """
     names = {c: f"__take_{i}" for i, c in enumerate(take)}
@@ -73,8 +80,10 @@ def fan_out_left(
     def counted(parts) -> Column:
         return F.explode(F.sequence(zero, parts - 1))
 
-    left = df.join(F.broadcast(hot), as_col(key) == F.col("__hot"), "left")
+    left = df.withColumn("__key", as_col(key)).join(F.broadcast(hot), F.col("__key") == F.col("__hot"), "left")
     left = left.withColumn("__part", counted(F.coalesce("__parts", F.lit(1))))
+    aside = -1 - F.pmod(F.xxhash64(*[as_col(c) for c in spread_by]), F.lit(NULL_SPREAD))
+    left = left.withColumn("__part", F.when(F.col("__key").isNull(), aside).otherwise(F.col("__part")))
     runs = pairs.withColumn("__run", counted(F.ceil(F.col("__copies") / hot_rows)))
     size = F.least(F.lit(hot_rows), F.col("__copies") - F.col("__run") * hot_rows)
     of = hot.withColumnsRenamed({"__hot": "__of_key", "__parts": "__of"})
@@ -86,10 +95,10 @@ def fan_out_left(
         size.alias("__size"),
         *names.values(),
     )
-    joined = left.join(right, (as_col(key) == F.col("__many")) & (F.col("__part") == F.col("__to")), "left")
+    joined = left.join(right, (F.col("__key") == F.col("__many")) & (F.col("__part") == F.col("__to")), "left")
     kept = joined.where(F.col("__hot").isNull() | F.col("__many").isNotNull())
     copied = kept.withColumn("__copy", counted(F.coalesce("__size", F.lit(1))))
-    helpers = ["__hot", "__parts", "__part", "__many", "__to", "__size", "__copy"]
+    helpers = ["__key", "__hot", "__parts", "__part", "__many", "__to", "__size", "__copy"]
     return copied.drop(*helpers).withColumnsRenamed({n: take[c] for c, n in names.items()})
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from triagegrid.functions import fixed
 from triagegrid.functions.scalars import local_text, local_time, or_else, strip_text
-from triagegrid.operators.lists import child_lists, with_child_lists
+from triagegrid.operators.lists import child_lists, first_piece_key, with_child_lists
 from triagegrid.operators.lookups import branch_lookup, either_key_lookup, fan_out_left, keys_only, lookup
 from triagegrid.operators.predicates import any_missing, equals_none, since_year
 from triagegrid.plans.common import columns_as, label_of, processors_of
@@ -47,7 +47,7 @@ def missing_cause(
             "SubProcessWO_CurrentProcessor": ("processors", "processors"),
         },
     )
-    df = with_child_lists(tt, "ticketid", lists, "parentticketid")
+    df = with_child_lists(tt, "ticketid", lists, "parentticketid", piece="piece")
     df = processors_of(df, tables, "tt_processor", "processors")
     site, other = F.col("siteid_"), F.col("site_")
     df = branch_lookup(
@@ -65,7 +65,14 @@ def missing_cause(
     )
     df = either_key_lookup(df, ("siteid_", "site_"), active, "site_id", "province_name", "found_province")
     df = label_of(df, tables, "assign_to", "assignto_", "assigned")
-    df = fan_out_left(df, "ticketid", tables["ticket_associate"], "associateticketid", {"sourceticketid": "source"})
+    df = fan_out_left(
+        df,
+        first_piece_key("ticketid", "piece"),
+        tables["ticket_associate"],
+        "associateticketid",
+        {"sourceticketid": "source"},
+        ["orderid", "piece"],
+    )
     df = lookup(df, "source", tables["ticket_order"], "ticketid", "orderid", "parent", strict=True)
     # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.
     return columns_as(
