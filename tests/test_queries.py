@@ -6,7 +6,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks import ORACLES, QUERIES
 from checks.compare import compare, open_tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,14 +19,14 @@ def db():
     return open_tables(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, db, name):
-    outcome = compare(spark, db, FOLDER, queries()[name], oracle_sql()[name])
+    outcome = compare(spark, db, FOLDER, QUERIES[name], ORACLES[name])
     assert outcome.problem == ""
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_gives_the_grid(spark):
