@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from triagegrid.llm.common import mix, shingle_sets, signed, stored, word_hashes
 
@@ -40,6 +41,11 @@ def least_overlap(n: int, share: int) -> int:
     return -(-n * share // 100)
 
 
+def least_shared(n: int, m: int, share: int) -> int:
+    """Shingles that linked sets of n and m have in common."""
+    return -(-(n + m) * share // (100 + share))
+
+
 def signature(shingles: np.ndarray) -> int:
     """A hash of a set; its sign keeps it a long."""
     if not len(shingles):
@@ -103,35 +109,44 @@ class Order:
 
 
 def _leading(size: int, share: int, order: Order) -> Callable:
-    """The leading shingles of each class in the global order."""
+    """The leading shingles of each class in the global order.
+
+    ``room`` is the most that a set can share from this shingle on. It is negative where that is too little for a partner of the same
+    size or a larger one, as of two linked sets the smaller shares a shingle before that place.
+    """
+
+    def rows(parts: list[tuple]) -> pd.DataFrame:
+        key, cls, often, room = (np.concatenate(x) for x in zip(*parts))
+        return pd.DataFrame({"key": signed(key), "cls": cls, "often": often, "room": room})
 
     def run(batches):
         seen = set()
         for df in batches:
-            keys, cls, often = [], [], []
+            parts, held = [], 0
             for x in sets_of(df["text"].tolist(), size):
-                s = signature(x)
-                if not len(x) or s in seen:
+                s, n = signature(x), len(x)
+                if not n or s in seen:
                     continue
                 if len(seen) >= 100_000:
                     seen.clear()
                 seen.add(s)
                 rank = order.rank(x)
-                first = np.lexsort((x, rank))[: len(x) - least_overlap(len(x), share) + 1]
-                keys.append(x[first])
-                often.append(rank[first] >= 0)
-                cls.append(np.full(len(first), s, np.int64))
-                if sum(map(len, keys[-64:])) > 500_000:
-                    yield pd.DataFrame({"key": signed(np.concatenate(keys)), "cls": np.concatenate(cls), "often": np.concatenate(often)})
-                    keys, cls, often = [], [], []
-            if keys:
-                yield pd.DataFrame({"key": signed(np.concatenate(keys)), "cls": np.concatenate(cls), "often": np.concatenate(often)})
+                first = np.lexsort((x, rank))[: n - least_overlap(n, share) + 1]
+                room = np.arange(n, n - len(first), -1, dtype=np.int32)
+                room[room < least_shared(n, n, share)] *= -1
+                parts.append((x[first], np.full(len(first), s, np.int64), rank[first] >= 0, room))
+                held += len(first)
+                if held > 500_000:
+                    yield rows(parts)
+                    parts, held = [], 0
+            if parts:
+                yield rows(parts)
 
     return run
 
 
-def _segments(size: int, order: Order, bits) -> Callable:
-    """The fragments of the sets of texts that the filter lets through."""
+def _segments(size: int, order: Order, bits, first: bool) -> Callable:
+    """The first fragment, or all others, of the sets of texts that the filter lets through."""
 
     def run(batches):
         words = bits.value
@@ -144,7 +159,7 @@ def _segments(size: int, order: Order, bits) -> Callable:
                 for doc, x in zip(part["doc_id"].tolist(), sets_of(part["text"].tolist(), size)):
                     rank = order.rank(x)
                     piece = np.where(rank < 0, (x >> np.uint64(62)).astype(np.int64) % LIGHT_FRAGMENTS, LIGHT_FRAGMENTS)
-                    out += [(doc, int(f), signed(x[piece == f])) for f in np.unique(piece)]
+                    out += [(doc, int(f), signed(x[piece == f])) for f in np.unique(piece) if (f == 0) == first]
                 yield pd.DataFrame(out, columns=["doc_id", "fragment", "shingles"])
 
     return run
@@ -165,23 +180,32 @@ def _filter(spark, ids: DataFrame):
 
 
 def links(pairs: DataFrame, texts: DataFrame, size: int, share: int, order: Order) -> DataFrame:
-    """Of candidate pairs (a, na, b, nb) of document ids with their set sizes, those whose summed fragment overlaps reach the share."""
+    """Of candidate pairs (a, na, b, nb) of document ids with their set sizes, those whose summed fragment overlaps reach the share.
+
+    The first fragment is counted for all pairs; those that can't reach the share even if the rest is equal go. The other fragments
+    are counted for the rest.
+    """
     spark = pairs.sparkSession
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    parts = stored(
-        texts.mapInPandas(_segments(size, order, _filter(spark, ids)), "doc_id long, fragment int, shingles array<long>"), "segments"
-    )
-    left = parts.select(F.col("doc_id").alias("a"), "fragment", F.col("shingles").alias("x"))
-    right = parts.select(F.col("doc_id").alias("b"), "fragment", F.col("shingles").alias("y"))
-    overlap = F.size(F.array_intersect("x", "y"))
-    return (
-        pairs.join(left, "a")
-        .join(right, ["b", "fragment"])
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.sum(overlap).alias("both"))
-        .filter(100 * F.col("both") >= share * (F.col("na") + F.col("nb") - F.col("both")))
-        .select("a", "b")
-    )
+
+    def overlaps(pairs: DataFrame, first: bool) -> DataFrame:
+        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        read = _segments(size, order, _filter(spark, ids), first)
+        parts = stored(texts.mapInPandas(read, "doc_id long, fragment int, shingles array<long>"), "segments")
+        left = parts.select(F.col("doc_id").alias("a"), "fragment", F.col("shingles").alias("x"))
+        right = parts.select(F.col("doc_id").alias("b"), "fragment", F.col("shingles").alias("y"))
+        joined = pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
+        both = F.sum(F.size(F.array_intersect("x", "y")))
+        return joined.groupBy("a", "b").agg(both.alias("more"), F.sum(F.size("x")).alias("xs"), F.sum(F.size("y")).alias("ys"))
+
+    def reaches(shared: F.Column) -> F.Column:
+        return (100 + share) * shared >= share * (F.col("na") + F.col("nb"))
+
+    zero = F.lit(0)
+    begun = pairs.join(overlaps(pairs, True), ["a", "b"], "left").na.fill(0, ["more", "xs", "ys"])
+    begun = begun.withColumn("rest", F.least(F.col("na") - F.col("xs"), F.col("nb") - F.col("ys")))
+    left = stored(begun.filter(reaches(F.col("more") + F.col("rest"))).select("a", "b", "na", "nb", F.col("more").alias("begun")), "pairs")
+    done = left.join(overlaps(left, False), ["a", "b"], "left")
+    return done.filter(reaches(F.col("begun") + F.coalesce("more", zero))).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -217,38 +241,41 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
     order = Order(spark, [tuple(r) for r in repeated.orderBy(F.desc("n"), "doc_id").limit(ORDERED).collect()])
     classes = stored(sets.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id")), "classes")
 
-    leading = stored(texts.mapInPandas(_leading(size, share, order), "key long, cls long, often boolean"), "leading")
-    ends = [F.min("cls").alias("hub"), F.max("cls").alias("last")]
-    often = leading.filter("often").select("key", "cls")
-    hubs = often.groupBy("key").agg(*ends).filter("hub <> last")
-    light = leading.filter("NOT often").select("key", "cls")
-    whole = light.withColumn("hub", F.expr("min(cls) OVER (PARTITION BY key)")).withColumn("last", F.expr("max(cls) OVER (PARTITION BY key)"))
-    shared = stored(
-        often.join(hubs, "key").union(whole.filter("hub <> last").select("key", "cls", "hub", "last")).select("key", "cls", "hub").distinct(),
-        "shared",
-    )
+    leading = stored(texts.mapInPandas(_leading(size, share, order), "key long, cls long, often boolean, room int"), "leading")
+    ends = {"hub": F.min(F.when(F.col("room") > 0, F.struct("cls", "room"))), "low": F.min("cls"), "high": F.max("cls")}
+    several = "hub IS NOT NULL AND low <> high"
+    often = leading.filter("often").select("key", "cls", "room")
+    hubs = often.groupBy("key").agg(*(x.alias(n) for n, x in ends.items())).filter(several)
+    light = leading.filter("NOT often").select("key", "cls", "room")
+    whole = light.withColumns({n: x.over(Window.partitionBy("key")) for n, x in ends.items()})
+    columns = ["key", "cls", "room", "hub"]
+    shared = stored(often.join(hubs, "key").filter(several).select(columns).union(whole.filter(several).select(columns)), "shared")
 
     def sized(pairs: DataFrame) -> DataFrame:
-        """Pairs of classes as pairs of their smallest ids, when their sizes allow a link."""
+        """Pairs of classes as pairs of their smallest ids, where sizes and room allow a link."""
         a = classes.select(F.col("cls").alias("p"), F.col("doc_id").alias("a"), F.col("n").alias("na"))
         b = classes.select(F.col("cls").alias("q"), F.col("doc_id").alias("b"), F.col("n").alias("nb"))
         fit = 100 * F.least("na", "nb") >= share * F.greatest("na", "nb")
-        return pairs.join(a, "p").join(b, "q").filter(fit).select("a", "na", "b", "nb")
+        room = (100 + share) * F.col("room") >= share * (F.col("na") + F.col("nb"))
+        return pairs.join(a, "p").join(b, "q").filter(fit & room).select("a", "na", "b", "nb")
 
-    near = shared.filter("cls <> hub").select(F.col("cls").alias("p"), F.col("hub").alias("q")).distinct()
-    found = stored(links(stored(sized(near), "pairs"), texts, size, share, order), "links")
+    room = F.max(F.least(F.abs("room"), F.col("hub.room"))).alias("room")
+    near = shared.filter("cls <> hub.cls").groupBy(F.col("cls").alias("p"), F.col("hub.cls").alias("q")).agg(room)
+    tried = stored(sized(near), "pairs")
+    found = stored(links(tried, texts, size, share, order), "links")
     joined = components(found)
 
     of_class = classes.join(joined, "doc_id", "left").select("cls", F.coalesce("component", "doc_id").alias("component"))
-    placed = stored(shared.select("key", "cls").join(of_class, "cls"), "placed")
+    placed = stored(shared.select("key", "cls", "room").join(of_class, "cls"), "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
     open_ = stored(placed.join(mixed, "key").join(classes.select("cls", "n"), "cls"), "open")
-    p = open_.select("key", F.col("cls").alias("p"), F.col("component").alias("c"), F.col("n").alias("m"))
-    q = open_.select("key", F.col("cls").alias("q"), F.col("component").alias("d"), F.col("n").alias("k"))
-    fit = 100 * F.least("m", "k") >= share * F.greatest("m", "k")
-    across = p.join(q, "key").filter((F.col("c") < F.col("d")) & fit).select("p", "q").distinct()
-    tried = near.union(near.select("q", "p"))
-    across = stored(sized(across.join(tried, ["p", "q"], "left_anti")), "pairs")
+    p = open_.select("key", F.col("cls").alias("p"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("room").alias("r"))
+    q = open_.select("key", F.col("cls").alias("q"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("room").alias("t"))
+    fit = (100 * F.least("m", "k") >= share * F.greatest("m", "k")) & (F.greatest("r", "t") > 0)
+    fit = fit & ((100 + share) * F.least(F.abs("r"), F.abs("t")) >= share * (F.col("m") + F.col("k")))
+    across = p.join(q, "key").filter((F.col("c") < F.col("d")) & fit).groupBy("p", "q").agg(F.lit(1 << 30).alias("room"))
+    known = tried.select("a", "b").union(tried.select("b", "a"))
+    across = stored(sized(across).join(known, ["a", "b"], "left_anti"), "pairs")
     more = found if across.isEmpty() else stored(found.union(links(across, texts, size, share, order)), "links")
     final = joined if more is found else components(more)
 
