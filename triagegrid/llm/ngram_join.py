@@ -273,7 +273,7 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
     q = open_.select("key", F.col("cls").alias("q"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("room").alias("t"))
     fit = (100 * F.least("m", "k") >= share * F.greatest("m", "k")) & (F.greatest("r", "t") > 0)
     fit = fit & ((100 + share) * F.least(F.abs("r"), F.abs("t")) >= share * (F.col("m") + F.col("k")))
-    across = p.join(q, "key").filter((F.col("c") < F.col("d")) & fit).groupBy("p", "q").agg(F.lit(1 << 30).alias("room"))
+    across = p.join(q, "key").filter((F.col("c") < F.col("d")) & fit).groupBy("p", "q").agg(F.lit(1 << 40).alias("room"))
     known = tried.select("a", "b").union(tried.select("b", "a"))
     across = stored(sized(across).join(known, ["a", "b"], "left_anti"), "pairs")
     more = found if across.isEmpty() else stored(found.union(links(across, texts, size, share, order)), "links")
