@@ -1 +1,10 @@
-"""Operators for large training-data pipelines. Nothing else in the library imports this subpackage."""
+"""Operators for large training-data pipelines. Nothing else in the library imports this subpackage.
+
+Functions that run in tasks travel by value, so executors need no copy of this package on their path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,7 +10,9 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from triagegrid.session import new_path, stored  # noqa: F401
 
@@ -146,3 +148,26 @@ def shingle_sets(words: np.ndarray, starts: np.ndarray, size: int) -> Iterator[n
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+#: Bits of a filter of ids or hashes. It only spares work: what passes is joined exactly afterwards.
+FILTER_BITS = 1 << 24
+
+
+def id_filter(df: DataFrame, column: str):
+    """Broadcast bits of a column of longs, combined on the executors; at most FILTER_BITS / 64 rows reach the driver."""
+
+    def bits(batches):
+        for x in batches:
+            at = mix(x.iloc[:, 0].to_numpy(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)
+            yield pd.DataFrame({"word": (at >> np.uint64(6)).astype(np.int64), "bit": signed(np.uint64(1) << (at & np.uint64(63)))})
+
+    found = df.select(column).mapInPandas(bits, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    words = np.zeros(FILTER_BITS // 64, np.uint64)
+    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    return df.sparkSession.sparkContext.broadcast(words)
+
+
+def passes(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    at = mix(ids.view(np.uint64)) % np.uint64(FILTER_BITS)
+    return (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1

@@ -6,8 +6,8 @@ shingles of their sets in this order, so candidates come from those; the overlap
 fragment separately and summed per pair.
 
 Texts with equal sets are one class, which stands for its copies from the start. Classes that share a leading shingle are first
-paired with one hub of the shingle, which is linear in the rows; only where a shingle is then still shared by several
-components are their classes paired across components. So no link between components is lost and a large group of
+paired with one hub of the shingle, and then, for a few rounds, those outside its largest component with one member of that,
+taken among those that have most of their leading shingles in common with others; all this is linear in the rows. Only where a shingle is then still shared by several components are their classes paired across components. So no link between components is lost and a large group of
 near copies needs no pairs within itself.
 
 Shingles and sets are compared by 64-bit hashes.
@@ -23,16 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from triagegrid.llm.common import mix, shingle_sets, signed, stored, word_hashes
+from triagegrid.llm.common import id_filter, mix, passes, shingle_sets, signed, stored, word_hashes
 
 SIZE = 5
 SHARE = 75
 #: Shingles met so often within one task are counted as repeated; they only move within the global order.
 REPEATED = 3
 ORDERED = 200_000
-#: Bits of the filter that keeps sets of unpaired texts from being built again; results don't depend on it.
-FILTER_BITS = 1 << 24
 LIGHT_FRAGMENTS = 4
+#: Rounds in which classes outside the largest component of a shingle try one of its members each, before all pairs across are taken.
+TRIES = 2
 _POOL = 2_000_000
 
 
@@ -149,10 +149,8 @@ def _segments(size: int, order: Order, bits, first: bool) -> Callable:
     """The first fragment, or all others, of the sets of texts that the filter lets through."""
 
     def run(batches):
-        words = bits.value
         for df in batches:
-            at = mix(df["doc_id"].to_numpy(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)
-            df = df[(words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
+            df = df[passes(bits.value, df["doc_id"].to_numpy(np.int64))]
             for begin in range(0, len(df), 200):
                 part = df.iloc[begin : begin + 200]
                 out = []
@@ -165,31 +163,16 @@ def _segments(size: int, order: Order, bits, first: bool) -> Callable:
     return run
 
 
-def _filter(spark, ids: DataFrame):
-    """Bits of the ids, combined on the executors; at most FILTER_BITS / 64 rows reach the driver."""
-
-    def bits(batches):
-        for df in batches:
-            at = mix(df["doc_id"].to_numpy(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)
-            yield pd.DataFrame({"word": (at >> np.uint64(6)).astype(np.int64), "bit": signed(np.uint64(1) << (at & np.uint64(63)))})
-
-    found = ids.mapInPandas(bits, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    words = np.zeros(FILTER_BITS // 64, np.uint64)
-    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-    return spark.sparkContext.broadcast(words)
-
-
 def links(pairs: DataFrame, texts: DataFrame, size: int, share: int, order: Order) -> DataFrame:
     """Of candidate pairs (a, na, b, nb) of document ids with their set sizes, those whose summed fragment overlaps reach the share.
 
     The first fragment is counted for all pairs; those that can't reach the share even if the rest is equal go. The other fragments
     are counted for the rest.
     """
-    spark = pairs.sparkSession
 
     def overlaps(pairs: DataFrame, first: bool) -> DataFrame:
         ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        read = _segments(size, order, _filter(spark, ids), first)
+        read = _segments(size, order, id_filter(ids, "doc_id"), first)
         parts = stored(texts.mapInPandas(read, "doc_id long, fragment int, shingles array<long>"), "segments")
         left = parts.select(F.col("doc_id").alias("a"), "fragment", F.col("shingles").alias("x"))
         right = parts.select(F.col("doc_id").alias("b"), "fragment", F.col("shingles").alias("y"))
@@ -265,12 +248,38 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
     found = stored(links(tried, texts, size, share, order), "links")
     joined = components(found)
 
-    of_class = classes.join(joined, "doc_id", "left").select("cls", F.coalesce("component", "doc_id").alias("component"))
-    placed = stored(shared.select("key", "cls", "room").join(of_class, "cls"), "placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    open_ = stored(placed.join(mixed, "key").join(classes.select("cls", "n"), "cls"), "open")
-    p = open_.select("key", F.col("cls").alias("p"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("room").alias("r"))
-    q = open_.select("key", F.col("cls").alias("q"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("room").alias("t"))
+    lead = F.col("n") - F.ceil(F.col("n") * share / 100) + 1
+    central = shared.groupBy("cls").agg(F.count("*").alias("common"))
+    classes = classes.join(central, "cls", "left").withColumn("central", F.floor(20 * F.coalesce("common", F.lit(0)) / lead)).drop("common")
+    classes = stored(classes, "classes")
+
+    def placed(joined: DataFrame) -> DataFrame:
+        """Rows of shared shingles with the component of their class, where a shingle has several components."""
+        of_class = classes.join(joined, "doc_id", "left").select(
+            "cls", "n", "central", F.coalesce("component", "doc_id").alias("component")
+        )
+        rows = stored(shared.select("key", "cls", "room").join(of_class, "cls"), "placed")
+        mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+        return stored(rows.join(mixed, "key"), "open")
+
+    for step in range(TRIES):
+        rows = placed(joined)
+        hub = F.max(F.struct("central", F.xxhash64("cls", F.lit(step)).alias("by"), F.col("cls").alias("q"), F.col("room").alias("t"))).alias("hub")
+        parts = rows.groupBy("key", "component").agg(F.count("*").alias("classes"), hub)
+        top = parts.groupBy("key").agg(F.max(F.struct("classes", "component", "hub")).alias("top"))
+        room = F.max(F.least(F.abs("room"), F.abs("top.hub.t"))).alias("room")
+        other = rows.join(top, "key").filter((F.col("component") != F.col("top.component")) & (F.greatest("room", "top.hub.t") > 0))
+        near = other.groupBy(F.col("cls").alias("p"), F.col("top.hub.q").alias("q")).agg(room)
+        now = stored(sized(near), "pairs")
+        if now.isEmpty():
+            break
+        tried = tried.union(now)
+        found = stored(found.union(links(now, texts, size, share, order)), "links")
+        joined = components(found)
+
+    rows = placed(joined)
+    p = rows.select("key", F.col("cls").alias("p"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("room").alias("r"))
+    q = rows.select("key", F.col("cls").alias("q"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("room").alias("t"))
     fit = (100 * F.least("m", "k") >= share * F.greatest("m", "k")) & (F.greatest("r", "t") > 0)
     fit = fit & ((100 + share) * F.least(F.abs("r"), F.abs("t")) >= share * (F.col("m") + F.col("k")))
     across = p.join(q, "key").filter((F.col("c") < F.col("d")) & fit).groupBy("p", "q").agg(F.lit(1 << 40).alias("room"))

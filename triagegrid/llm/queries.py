@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagegrid.llm import chat_trees, ngram_join, secret_scan, topk, url_templates
+from triagegrid.llm import chat_trees, decontaminate, ngram_join, pieces, pseudo_likelihood, quality, secret_scan, token_counts, topk, url_templates
 from triagegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,33 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and truncated totals of all documents at every length."""
+    return token_counts.token_table(table(spark, folder, "documents"))
+
+
+@query("op4_lm_score")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Pseudo-log-likelihood of all documents."""
+    return pseudo_likelihood.score_documents(table(spark, folder, "documents"))
+
+
+@query("op7_decontaminate")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold benchmark items."""
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op10_pieces")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Token digests of all documents."""
+    return pieces.token_digests(table(spark, folder, "documents"))
