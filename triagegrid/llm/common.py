@@ -26,7 +26,16 @@ _random = np.random.default_rng(20240229)
 _BYTE = _random.integers(0, 2**64, 256, np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-_POWERS: list[np.ndarray] = []
+
+
+class Local(dict):
+    """What a process has made for itself; it stays behind when functions that use it travel."""
+
+    def __reduce__(self):
+        return Local, ()
+
+
+_POWERS = Local()
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,10 +54,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
         size = max(n, GROUP_BYTES * 2)
-        both = [np.full(size, base, np.uint64) for base in (_BASE, _BASE_INVERSE)]
-        for x in both:
+        for i, base in enumerate((_BASE, _BASE_INVERSE)):
+            x = np.full(size, base, np.uint64)
             x[0] = 1
-        _POWERS[:] = [np.cumprod(x, dtype=np.uint64) for x in both]
+            _POWERS[i] = np.cumprod(x, dtype=np.uint64)
     return _POWERS[0][:n], _POWERS[1][:n]
 
 

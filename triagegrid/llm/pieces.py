@@ -18,6 +18,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
+from triagegrid.llm.common import Local
+
 SPACE = "▁"
 #: Below the lowest score of any piece: what a character that is no piece costs.
 PENALTY = 10.0
@@ -127,7 +129,7 @@ class Codec:
         return text[1:] if text[:1] == " " else text
 
 
-_codecs: dict[int, Codec] = {}
+_codecs = Local()
 
 
 def _codec(held) -> Codec:

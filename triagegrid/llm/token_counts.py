@@ -7,7 +7,6 @@ answer, for every context limit, how many documents are cut, how many tokens rem
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
 
 import pyarrow as pa
 import tiktoken
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from triagegrid.llm.common import stored
+from triagegrid.llm.common import Local, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that cuts texts for this public vocabulary.
@@ -24,10 +23,14 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 BLOCK = 1024
 
 
-@lru_cache(1)
+_encodings = Local()
+
+
 def _encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
-    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    if (len(ranks), pattern) not in _encodings:
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+        _encodings[len(ranks), pattern] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    return _encodings[len(ranks), pattern]
 
 
 def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
