@@ -7,16 +7,21 @@ UTF-8 bytes, so a word's hash depends on its bytes only and is the same on every
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from triagegrid.session import new_path, stored  # noqa: F401
 
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 19
+#: Rows whose texts a task holds as Python values at once.
+SLICE_ROWS = 256
 
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -42,6 +47,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(begin, SLICE_ROWS)
+
+
+def map_slices(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInPandas`` whose frames have few rows, so that long texts are turned into Python values piece by piece."""
+    kinds = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(batches):
+        for out in fn(part.to_pandas() for part in slices(batches)):
+            yield pa.RecordBatch.from_pandas(out, kinds, preserve_index=False)
+
+    return df.mapInArrow(run, schema)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit integers."""
     x = x ^ (x >> np.uint64(30))

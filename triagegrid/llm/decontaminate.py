@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triagegrid.llm.common import LOWER, encoded, groups, id_filter, passes, signed, span_hashes, stored, window_hashes
+from triagegrid.llm.common import LOWER, encoded, groups, id_filter, map_slices, passes, signed, span_hashes, stored, window_hashes
 
 WINDOW = 8
 #: Fewest words of a window that are no placeholders, and windows of an item that a document shares at least.
@@ -90,7 +90,7 @@ def item_windows(items: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["item_id", "at", "size", "hash", "slots"])
 
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
-    return rows.mapInPandas(run, "item_id long, at int, size int, hash long, slots array<long>")
+    return map_slices(rows, run, "item_id long, at int, size int, hash long, slots array<long>")
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -113,7 +113,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["doc_id", "at", "size", "hash", "slots"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    met = rows.mapInPandas(run, "doc_id long, at int, size int, hash long, slots array<long>").select("doc_id", "size", "hash", F.col("slots").alias("own"))
+    met = map_slices(rows, run, "doc_id long, at int, size int, hash long, slots array<long>").select("doc_id", "size", "hash", F.col("slots").alias("own"))
     pairs = met.distinct().join(asked, ["size", "hash"]).withColumn("same", F.col("slots") == F.col("own"))
     every = asked.groupBy("item_id").agg(F.count("*").alias("n_item_windows"))
     slot = F.explode_outer(F.arrays_zip("slots", "own"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from triagegrid.llm.common import id_filter, mix, passes, shingle_sets, signed, stored, word_hashes
+from triagegrid.llm.common import id_filter, map_slices, mix, passes, shingle_sets, signed, stored, word_hashes
 
 SIZE = 5
 SHARE = 75
@@ -173,7 +173,7 @@ def links(pairs: DataFrame, texts: DataFrame, size: int, share: int, order: Orde
     def overlaps(pairs: DataFrame, first: bool) -> DataFrame:
         ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
         read = _segments(size, order, id_filter(ids, "doc_id"), first)
-        parts = stored(texts.mapInPandas(read, "doc_id long, fragment int, shingles array<long>"), "segments")
+        parts = stored(map_slices(texts, read, "doc_id long, fragment int, shingles array<long>"), "segments")
         left = parts.select(F.col("doc_id").alias("a"), "fragment", F.col("shingles").alias("x"))
         right = parts.select(F.col("doc_id").alias("b"), "fragment", F.col("shingles").alias("y"))
         joined = pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
@@ -218,13 +218,13 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    first = stored(texts.mapInPandas(_read_sets(size), "doc_id long, n long, cls long, kind int"), "sets")
+    first = stored(map_slices(texts, _read_sets(size), "doc_id long, n long, cls long, kind int"), "sets")
     sets = first.filter("kind = 0").drop("kind")
     repeated = first.filter("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n"))
     order = Order(spark, [tuple(r) for r in repeated.orderBy(F.desc("n"), "doc_id").limit(ORDERED).collect()])
     classes = stored(sets.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id")), "classes")
 
-    leading = stored(texts.mapInPandas(_leading(size, share, order), "key long, cls long, often boolean, room int"), "leading")
+    leading = stored(map_slices(texts, _leading(size, share, order), "key long, cls long, often boolean, room int"), "leading")
     ends = {"hub": F.min(F.when(F.col("room") > 0, F.struct("cls", "room"))), "low": F.min("cls"), "high": F.max("cls")}
     several = "hub IS NOT NULL AND low <> high"
     often = leading.filter("often").select("key", "cls", "room")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triagegrid.llm.common import LOWER, encoded, groups, signed, span_hashes, spans_of
+from triagegrid.llm.common import LOWER, encoded, groups, map_slices, signed, slices, span_hashes, spans_of
 
 #: Classes: 0 is the edge of a text, then the frequent words, then FORMS classes of other words. They bound the counts to CLASSES**3.
 CLASSES, FORMS = 128, 31
@@ -59,7 +59,7 @@ def _count_words(batches):
 
 def frequent_words(texts: DataFrame) -> np.ndarray:
     """Hashes of the most frequent words of all texts, sorted; the size of the vocabulary is the limit."""
-    n = texts.mapInPandas(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    n = map_slices(texts, _count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return np.sort(np.array([r["word"] for r in n.orderBy(F.desc("n"), "word").limit(_FREQUENT).collect()], np.int64).view(np.uint64))
 
 
@@ -97,7 +97,7 @@ def window_counts(texts: DataFrame, frequent: np.ndarray) -> np.ndarray:
         for begin in range(0, len(at), 200_000):
             yield pd.DataFrame({"at": at[begin : begin + 200_000], "n": total[at[begin : begin + 200_000]]})
 
-    rows = texts.mapInPandas(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    rows = map_slices(texts, count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(CLASSES**3)
     out[rows["at"].to_numpy()] = rows["n"].to_numpy()
     return out.reshape(CLASSES * CLASSES, CLASSES)
@@ -153,7 +153,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def score(batches):
         known, table = held.value
-        for batch in batches:
+        for batch in slices(batches):
             n, total = [], []
             for _, _, words, form, starts in _words(batch.column(1).to_pylist()):
                 cls = classes_of(words, form, known)

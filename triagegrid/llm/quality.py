@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triagegrid.llm.common import BLANK, LOWER, encoded, groups, span_hashes, spans_of
+from triagegrid.llm.common import BLANK, LOWER, encoded, groups, map_slices, slices, span_hashes, spans_of
 
 PASSAGE = 64
 BAG = 32
@@ -162,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
                     columns=["doc_id", "y", "x"],
                 )
 
-    rows = docs.select("doc_id", "text").filter("doc_id IS NOT NULL").mapInPandas(features, "doc_id long, y int, x binary").toPandas()
+    rows = map_slices(docs.select("doc_id", "text").filter("doc_id IS NOT NULL"), features, "doc_id long, y int, x binary").toPandas()
     rows = rows.sort_values(["doc_id", "x"]).reset_index(drop=True)
     bags = [np.frombuffer(b, np.float32).reshape(-1, WIDTH) for b in rows["x"]]
     starts = np.concatenate(([0], np.cumsum([len(b) for b in bags]))).astype(np.int64)
@@ -175,7 +175,7 @@ def with_scores(docs: DataFrame, model: dict[str, np.ndarray], column: str = "sc
     at = docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             p = [forward(held.value, x, starts)["p"] for _, _, x, starts in passages(batch.column(at).to_pylist())]
             made = pa.array(np.concatenate(p) if p else np.zeros(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, column])
