@@ -73,6 +73,8 @@ def test_snapshot_rerun_is_idempotent(spark, tmp_path):
     assert rows_of(got.selectExpr("ticket_id", "area", "CAST(asof AS STRING)")) == [
         ("TT-1", "x", "2021-12-09"), ("TT-1", "x", "2021-12-10"),
     ]
+    sinks.write_snapshot(df.limit(0), path, "2021-12-10")
+    assert rows_of(spark.read.parquet(path).selectExpr("CAST(asof AS STRING)")) == [("2021-12-09",)]
 
 
 def test_report_datasets(spark, tmp_path):

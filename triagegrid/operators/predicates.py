@@ -89,8 +89,14 @@ def equals_none(column: Column | str, values: list) -> Column:
     return ~as_col(column).isin(list(values))
 
 
-def not_recovered(recovered: Column | str, local: bool = False) -> Column:
-    """Missing, or the epoch year that stands for missing."""
+def not_recovered(recovered: Column | str, local: bool = False, df: DataFrame | None = None) -> Column:
+    """Missing, or the epoch year that stands for missing.
+
+    With ``df`` the year is stated as bounds of the column's own type, which reach the file scan.
+    """
+    if df is not None and isinstance(recovered, str) and not local:
+        first, last = (F.lit(f"{year}-01-01 00:00:00").cast("timestamp").cast(df.schema[recovered].dataType) for year in (fixed.EPOCH_YEAR, fixed.EPOCH_YEAR + 1))
+        return F.col(recovered).isNull() | ((F.col(recovered) >= first) & (F.col(recovered) < last))
     recovered = as_col(recovered)
     return recovered.isNull() | (F.year(local_time(recovered) if local else recovered) == fixed.EPOCH_YEAR)
 
@@ -119,7 +125,7 @@ def open_in_range(
     overlap = (F.col(first) <= time_bound(df, first, end, zone)) & (
         F.col(recovered) >= time_bound(df, recovered, start, zone)
     )
-    return overlap | not_recovered(recovered)
+    return overlap | not_recovered(recovered, df=df)
 
 
 def since_year(df: DataFrame, column: str, year: int, zone: str = fixed.LOCAL_ZONE) -> Column:

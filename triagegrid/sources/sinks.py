@@ -48,9 +48,10 @@ def as_of_rows(df: DataFrame, as_of: str, names: dict[str, str] | None = None) -
 
 
 def write_snapshot(df: DataFrame, path: str, as_of: str, names: dict[str, str] | None = None) -> str:
-    """Add the day's rows to the history. Only that day's folder is replaced, so a rerun gives the same history."""
+    """Put the day's rows into the history. The day's own folder is overwritten, also by no rows, so a rerun gives the same history."""
     rows = as_of_rows(df, as_of, names)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("asof").parquet(path)
+    day = [c for c in rows.columns if c.lower() == "asof"]
+    rows.drop(*day).write.mode("overwrite").parquet(f"{path}/asof={as_of}")
     return path
 
 
