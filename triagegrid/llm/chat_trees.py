@@ -56,10 +56,10 @@ def best_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
     inner = levels[0].filter("up IS NOT NULL").select("conv_id", F.col("up").alias("node_id")).distinct()
     order = Window.partitionBy("conv_id").orderBy(F.desc("total"), "node_id")
     leaves = rooted.join(inner, ["conv_id", "node_id"], "left_anti").withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= keep)
-    path = leaves.select("conv_id", "branch", "node_id")
+    path = stored(leaves.select("conv_id", "branch", "node_id"), "path")
     for level in reversed(levels[:-1]):
         up = level.filter("up IS NOT NULL").select("conv_id", "node_id", "up")
-        path = path.union(path.join(up, ["conv_id", "node_id"]).select("conv_id", "branch", F.col("up").alias("node_id")))
+        path = stored(path.union(path.join(up, ["conv_id", "node_id"]).select("conv_id", "branch", F.col("up").alias("node_id"))), "path")
     return path.join(rooted.select("conv_id", "node_id", "depth"), ["conv_id", "node_id"]).select("conv_id", "branch", "depth", "node_id")
 
 
