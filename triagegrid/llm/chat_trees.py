@@ -45,14 +45,19 @@ def best_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
     levels = [stored(start, "level")]
     limit = max(1, levels[0].count()).bit_length() + 1
     while len(levels) <= limit and not levels[-1].filter("up IS NOT NULL").isEmpty():
-        now = levels[-1]
-        above = now.select("conv_id", F.col("node_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("added"))
-        step = now.join(above, ["conv_id", "up"], "left").select(
+        # a level holds what was open in the one before; who has met its root is looked up but not joined again
+        known = levels[-1]
+        for level in levels[:-1]:
+            known = known.union(level.filter("up IS NULL"))
+        above = known.select("conv_id", F.col("node_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("added"))
+        step = levels[-1].filter("up IS NOT NULL").join(above, ["conv_id", "up"]).select(
             "conv_id", "node_id", F.col("next").alias("up"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("added", F.lit(0.0))).alias("total"),
+            (F.col("depth") + F.col("more")).alias("depth"), (F.col("total") + F.col("added")).alias("total"),
         )
         levels.append(stored(step, "level"))
-    rooted = levels[-1].filter("up IS NULL")
+    rooted = levels[0].filter("up IS NULL")
+    for level in levels[1:]:
+        rooted = rooted.union(level.filter("up IS NULL"))
     inner = levels[0].filter("up IS NOT NULL").select("conv_id", F.col("up").alias("node_id")).distinct()
     order = Window.partitionBy("conv_id").orderBy(F.desc("total"), "node_id")
     leaves = rooted.join(inner, ["conv_id", "node_id"], "left_anti").withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= keep)
