@@ -42,6 +42,20 @@ def csv_source(t):
     return readers.csv_all_text(t.spark, path, sep="|", fields=["id", "status", "note"])
 
 
+@check(
+    "s2_csv_header",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status FROM orders
+       UNION ALL SELECT 'order', 'state' UNION ALL SELECT 'order', 'state'""",
+)
+def csv_header(t):
+    """Files with a header each, and data lines that say the same."""
+    same = t.spark.sql("SELECT explode(array('order', 'order')) AS `order`, 'state' AS state")
+    rows = t["orders"].select(F.col("o_orderkey").cast("string").alias("order"), F.col("o_orderstatus").alias("state"))
+    path = new_path(t.spark, "csv-header")
+    rows.unionByName(same).write.option("header", True).option("sep", "|").csv(path)
+    return readers.csv_all_text(t.spark, path, sep="|", names={"order": "id", "state": "status"})
+
+
 @check(
     "s3_rename_map",
     "SELECT ticketid AS id, orderid AS public_id, processstatus FROM work_order",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from triagegrid.operators import edits
-from triagegrid.operators.builder import TableQuery, TicketFrame
+from triagegrid.operators.builder import TableQuery, TicketFrame, listed
 from triagegrid.operators.predicates import literal
 
 
@@ -87,6 +87,14 @@ def test_group_order_limit(query):
     assert [r.id for r in q.get().collect()] == [2, 3]
 
 
+def test_texts_with_several_names(query):
+    assert listed("team, concat_ws(',', team, 'x') AS t, count(*) AS n") == ["team", "concat_ws(',', team, 'x') AS t", "count(*) AS n"]
+    q = query.table("people").select("team, id").orderBy("team, id", "desc")
+    assert [tuple(r) for r in q.get().collect()] == [(None, 4), ("b", 2), ("a", 3), ("a", 1)]
+    q = query.table("people").select("team, id, count(*) AS n").groupBy("team, id").orderBy("id, team")
+    assert [tuple(r) for r in q.get().collect()] == [("a", 1, 1), ("b", 2, 1), ("a", 3, 1), (None, 4, 1)]
+
+
 def test_edits_make_new_versions(query):
     first = query.tables["people"]
     query.table("people").insert({"id": 9, "score": 5})

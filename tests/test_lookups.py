@@ -43,6 +43,8 @@ def test_lookup_strict(spark):
     assert rows_of(L.lookup(df, "k", differing, "id", "v", "out")) == [(1, "a"), (2, None), (None, None)]
     with pytest.raises(Exception, match="more than one v for 1"):
         L.lookup(df, "k", differing, "id", "v", "out", strict=True).collect()
+    unasked = frame(spark, [(8, "a"), (8, "b"), (2, "b")], "id BIGINT, v STRING")
+    assert rows_of(L.lookup(df, "k", unasked, "id", "v", "out", strict=True)) == [(1, None), (2, "b"), (None, None)]
 
 
 def test_backfilled_parent(spark):

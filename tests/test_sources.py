@@ -20,6 +20,13 @@ def test_csv_short_and_long_lines(spark, tmp_path):
     ]
 
 
+def test_csv_heads_are_dropped_by_place(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("made 1 Jan\nid,name\n1,a\nid,name\nmade 1 Jan\n")
+    (tmp_path / "b.csv").write_text("made 2 Jan\nid,name\n2,b\n")
+    got = rows_of(readers.csv_all_text(spark, str(tmp_path), skip_rows=1))
+    assert got == [("1", "a"), ("2", "b"), ("id", "name"), ("made 1 Jan", None)]
+
+
 def test_csv_separator_and_given_fields(spark, tmp_path):
     path = tmp_path / "in.txt"
     path.write_text("1|x\n2|y|z\n")

@@ -204,13 +204,7 @@ SOURCES: dict[str, list[tuple[str, str | None, dict[str, str]]]] = {
     "sdt_ticket": [("events", None, _SDT_TICKET)],
     "change_request": [("events", None, _CHANGE_REQUEST)],
     "ticket_task": [("lineitem", None, _WO_TASK), ("events", None, _SDT_TASK)],
-    "ticket_associate": [
-        (
-            "lineitem",
-            "l_returnflag = 'A' AND l_linestatus = 'F'",
-            {"associateticketid": "l_orderkey", "sourceticketid": "l_partkey"},
-        )
-    ],
+    "ticket_associate": [("lineitem", None, {"associateticketid": "l_orderkey", "sourceticketid": "l_partkey"})],
     "ticket_order": [("orders", None, {k: _TROUBLE_TICKET[k] for k in ("ticketid", "orderid")})],
     "site": [
         (

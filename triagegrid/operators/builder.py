@@ -13,6 +13,24 @@ from triagegrid.sources import readers, sinks
 THETA_ROWS = 10_000
 
 
+def listed(fields: list[str] | str) -> list[str]:
+    """Names or expressions as a list; a text may hold several, between commas outside of brackets and quotes."""
+    if not isinstance(fields, str):
+        return list(fields)
+    parts, depth, quote = [""], 0, ""
+    for c in fields:
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "'\"`":
+            quote = c
+        depth += 0 if quote else (c == "(") - (c == ")")
+        if c == "," and not depth and not quote:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return [p.strip() for p in parts]
+
+
 class TableQuery:
     """``table → select → join → where → groupBy → orderBy → limit → get`` in a fixed clause order.
 
@@ -43,7 +61,7 @@ class TableQuery:
         return self
 
     def select(self, fields: list[str] | str) -> TableQuery:
-        self._select = [fields] if isinstance(fields, str) else list(fields)
+        self._select = listed(fields)
         return self
 
     def join(self, table: str, on: list, how: str = "INNER") -> TableQuery:
@@ -69,11 +87,11 @@ class TableQuery:
         return self
 
     def groupBy(self, fields: list[str] | str) -> TableQuery:
-        self._groups = [fields] if isinstance(fields, str) else list(fields)
+        self._groups = listed(fields)
         return self
 
     def orderBy(self, fields: list[str] | str, order: str = "ASC") -> TableQuery:
-        self._order = ([fields] if isinstance(fields, str) else list(fields), order)
+        self._order = (listed(fields), order)
         return self
 
     def limit(self, limit: int, offset: int = 0) -> TableQuery:

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from triagegrid.functions.classify import coded_item
 from triagegrid.functions.scalars import as_col, first_item, has_separator
 
-NULL_SPREAD = 256
 HOT_ROWS = 1_000_000
 
 
@@ -42,7 +41,7 @@ def left_by_key(
     key = as_col(key)
     if not spread_by:
         return df.join(right, key == F.col("__dim_key"), "left").drop("__dim_key")
-    spread = F.pmod(F.xxhash64(*[as_col(c) for c in spread_by]), F.lit(NULL_SPREAD)) + 1
+    spread = F.xxhash64(*[as_col(c) for c in spread_by]).bitwiseOR(F.lit(1))
     left = df.withColumns({"__key": key, "__spread": F.when(key.isNull(), spread).otherwise(F.lit(0).cast("long"))})
     right = right.withColumn("__dim_spread", F.pmod(F.xxhash64("__dim_key"), F.lit(1)))
     same = (F.col("__key") == F.col("__dim_key")) & (F.col("__spread") == F.col("__dim_spread"))
@@ -82,7 +81,7 @@ def fan_out_left(
 
     left = df.withColumn("__key", as_col(key)).join(F.broadcast(hot), F.col("__key") == F.col("__hot"), "left")
     left = left.withColumn("__part", counted(F.coalesce("__parts", F.lit(1))))
-    aside = -1 - F.pmod(F.xxhash64(*[as_col(c) for c in spread_by]), F.lit(NULL_SPREAD))
+    aside = F.xxhash64(*[as_col(c) for c in spread_by])
     left = left.withColumn("__part", F.when(F.col("__key").isNull(), aside).otherwise(F.col("__part")))
     runs = pairs.withColumn("__run", counted(F.ceil(F.col("__copies") / hot_rows)))
     size = F.least(F.lit(hot_rows), F.col("__copies") - F.col("__run") * hot_rows)
@@ -103,17 +102,13 @@ def fan_out_left(
 
 
 def one_per_key(dim: DataFrame, key: str, value: str, strict: bool = False) -> DataFrame:
-    """One value per key: the smallest, or an error on two different ones when ``strict``.
+    """One value per key, the smallest; with ``strict`` also whether there are different ones (``__several``).
 
     Both forms combine before the shuffle, so copies of one key cost one row per map task.
     """
     low, high = F.min(as_col(value)), F.max(as_col(value))
-    if strict:
-        several = F.raise_error(F.concat(F.lit(f"more than one {value} for "), as_col(key).cast("string")))
-        picked = F.when(low == high, low).when(low.isNull(), low).otherwise(several)
-    else:
-        picked = low
-    return dim.groupBy(as_col(key).alias("__k")).agg(picked.alias("__v"))
+    several = [(low < high).alias("__several")] if strict else []
+    return dim.groupBy(as_col(key).alias("__k")).agg(low.alias("__v"), *several)
 
 
 def lookup(
@@ -130,13 +125,19 @@ def lookup(
     """Add ``out``: the dimension's value for the key, null when there is none.
 
     ``unique`` says that the dimension holds each key once, which saves its aggregation; ``own_id`` that ``df`` holds
-    each key once too and never a null.
+    each key once too and never a null. ``strict`` makes two different values an error for the rows that look them up; a
+    key that no row looks up may have several.
     """
+    spread_by = None if own_id else df.columns[:2]
     if unique:
         source = dim.select(as_col(dim_key).alias("__k"), as_col(value).alias("__v"))
-    else:
-        source = one_per_key(dim, dim_key, value, strict)
-    return left_by_key(df, key, source, "__k", {"__v": out}, None if own_id else df.columns[:2])
+        return left_by_key(df, key, source, "__k", {"__v": out}, spread_by)
+    source = one_per_key(dim, dim_key, value, strict)
+    if not strict:
+        return left_by_key(df, key, source, "__k", {"__v": out}, spread_by)
+    found = left_by_key(df, key, source, "__k", {"__v": out, "__several": "__several"}, spread_by)
+    error = F.raise_error(F.concat(F.lit(f"more than one {value} for "), as_col(key).cast("string")))
+    return found.withColumn(out, F.when(F.col("__several"), error).otherwise(as_col(out))).drop("__several")
 
 
 def parent_fallback(

@@ -6,6 +6,7 @@ import csv
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from triagegrid.functions.scalars import as_col
 
@@ -71,17 +72,18 @@ def csv_all_text(
 ) -> DataFrame:
     """CSV, every column text. Lines with too many fields are skipped, short ones filled with nulls.
 
-    The first ``skip_rows`` lines and the header of each file are recognised by their text, as Spark itself does for
-    headers, so no line numbers are needed. With ``fields`` the files have no header. A record is one line.
+    The first ``skip_rows`` lines and the header of each file are dropped by their place, whatever they say; they must lie
+    in the file's first split. The field names are those of the first file by path. With ``fields`` the files have no
+    header. A record is one line.
     """
     lines = spark.read.text(path)
-    first = spark.read.text(min(lines.inputFiles()))
-    head = [row.value for row in first.limit(skip_rows + (fields is None)).collect()]
+    top = skip_rows + (fields is None)
     if fields is None:
-        if len(head) <= skip_rows:
+        head = spark.read.text(min(lines.inputFiles())).limit(top).collect()
+        if len(head) < top:
             raise ValueError("the file has no header line")
-        fields = next(csv.reader([head[-1]], delimiter=sep))
-    body = lines.where(~F.col("value").isin(head) & (F.trim("value") != ""))
+        fields = next(csv.reader([head[-1].value], delimiter=sep))
+    body = _below(lines, top).where(F.trim("value") != "")
     bare = F.regexp_replace("value", '"[^"]*"', "")
     count = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + F.lit(1)
     kept = body.where(count <= len(fields))
@@ -90,6 +92,25 @@ def csv_all_text(
     return rename(parsed.select(*[F.col(f"row.`{name}`").alias(name) for name in fields]), names)
 
 
+def _below(lines: DataFrame, top: int) -> DataFrame:
+    """Lines of text files without the first ``top`` of each file.
+
+    Only first splits are numbered, so a group of the window is one split at most.
+    """
+    if not top:
+        return lines
+    placed = lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__at"),
+    )
+    begin = F.min("__at").over(Window.partitionBy("__file"))
+    first = placed.where(F.col("__block") == 0).withColumn("__begin", begin)
+    first = first.where(F.col("__at") - F.col("__begin") >= top)
+    return first.select("value").union(placed.where(F.col("__block") > 0).select("value"))
+
+
 def columns(df: DataFrame, names: list[str] | str | None = None) -> DataFrame:
     """Column-list projection; nothing named means all columns."""
     if not names:
