@@ -73,7 +73,9 @@ class Codec:
         """The segmentation with the highest sum of scores; of equal ones, that with the longer last piece."""
         n = len(text)
         best, back = [0.0] + [-np.inf] * n, [(0, -1)] * (n + 1)
-        single, lone, at = self.single, self.lone, 0
+        single, lone = self.single, self.lone
+        # where every character is a piece, none stands alone
+        at = n if single.issuperset(text) else 0
 
         def alone(end: int) -> None:
             if text[end - 1] not in single and best[end - 1] + lone > best[end]:
