@@ -67,34 +67,36 @@ class Codec:
             self.raw[i] = bytes([b])
         for i in v.special - set(v.bytes_from.values()):
             self.raw[i] = b""
+        self.shown = [str(i) for i in range(len(v.pieces))]
         self.known: dict[str, list[int]] = {}
 
     def segment(self, text: str) -> list[int]:
         """The segmentation with the highest sum of scores; of equal ones, that with the longer last piece."""
         n = len(text)
-        best, back = [0.0] + [-np.inf] * n, [(0, -1)] * (n + 1)
+        best, back = [0.0] + [-np.inf] * n, [None] * (n + 1)
         single, lone = self.single, self.lone
         # where every character is a piece, none stands alone
         at = n if single.issuperset(text) else 0
 
         def alone(end: int) -> None:
             if text[end - 1] not in single and best[end - 1] + lone > best[end]:
-                best[end], back[end] = best[end - 1] + lone, (1, -1)
+                best[end], back[end] = best[end - 1] + lone, (1, lone, -1)
 
-        for last, (size, score, piece) in self.automaton.iter(text):
+        for last, hit in self.automaton.iter(text):
             end = last + 1
             while at < end - 1:
                 at += 1
                 alone(at)
-            total = best[end - size] + score
+            total = best[end - hit[0]] + hit[1]
             if total > best[end]:
-                best[end], back[end] = total, (size, piece)
+                best[end] = total
+                back[end] = hit
         while at < n:
             at += 1
             alone(at)
         out, end, of_byte = [], n, self.vocabulary.bytes_from
         while end:
-            size, piece = back[end]
+            size, _, piece = back[end]
             if piece >= 0:
                 out.append(piece)
             else:
@@ -207,7 +209,7 @@ def token_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
             for text in batch.column(1):
                 text = text.as_py()
                 ids = codec.encode(text)
-                rows.append((len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), codec.decode(ids) == (text or "")))
+                rows.append((len(ids), hashlib.sha256(",".join([codec.shown[i] for i in ids]).encode()).hexdigest(), codec.decode(ids) == (text or "")))
             n, digest, back = zip(*rows) if rows else ((), (), ())
             made = [pa.array(n, pa.int32()), pa.array(digest, pa.string()), pa.array(back, pa.bool_())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "n_tokens", "ids_sha256", "round_trip"])
