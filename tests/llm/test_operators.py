@@ -64,6 +64,28 @@ def test_jaccard_components_equal_brute_force(spark):
     assert ngram_join.jaccard_components(docs_of(spark, [])).count() == 0
 
 
+def test_rows_given_twice_count_once_in_overlaps(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base[: 60 - cut], *(f"v{i}x{k}" for k in range(cut))])) for i, cut in enumerate((0, 3, 14, 16, 30))]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(56)} for i, t in rows}
+    group = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                group[b] = min(group[b], group[a])
+    got = ngram_join.jaccard_components(docs_of(spark, rows + rows)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted([*group.items()] * 2)
+
+
+def test_marks_bound_overlaps_from_above():
+    random = np.random.default_rng(7)
+    for n, m, shared in ((1, 1, 0), (40, 50, 30), (900, 1000, 700), (5000, 5000, 4900)):
+        x = random.integers(0, 2**64, n + m - shared, np.uint64)
+        a, b = ngram_join.marks_of(x[:n]), ngram_join.marks_of(x[n - shared :])
+        assert len(a) == ngram_join.MARKS // 64
+        assert n + m - int(np.bitwise_count((a ^ b).view(np.uint64)).sum()) >= 2 * shared
+
+
 def test_top_k_leaves_out_what_is_not_finite_and_breaks_ties_by_id(spark):
     rows = [(0, [0.5, 0.5]), (50, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [float("nan"), 1.0]), (4, None), (5, [None, 1.0])]
     got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 2, 50).collect()

@@ -10,6 +10,9 @@ paired with one hub of the shingle, and then, for a few rounds, those outside it
 taken among those that have most of their leading shingles in common with others; all this is linear in the rows. Only where a shingle is then still shared by several components are their classes paired across components. So no link between components is lost and a large group of
 near copies needs no pairs within itself.
 
+Each class carries the parities of its shingles' counts in MARKS cells. Cells in which two sets differ are at most as many as
+the shingles that only one of them has, so they bound the overlap from above; candidates below the bound never fetch their sets.
+
 Shingles and sets are compared by 64-bit hashes.
 """
 
@@ -33,6 +36,8 @@ ORDERED = 200_000
 LIGHT_FRAGMENTS = 4
 #: Rounds in which classes outside the largest component of a shingle try one of its members each, before all pairs across are taken.
 TRIES = 2
+#: Cells of the parities of a set; more cells tell larger sets apart.
+MARKS = 1024
 _POOL = 2_000_000
 
 
@@ -56,26 +61,33 @@ def signature(shingles: np.ndarray) -> int:
     return int(signed(mix(total))[0])
 
 
+def marks_of(shingles: np.ndarray) -> np.ndarray:
+    """The parities of the number of shingles in each cell, 64 to a long."""
+    cells = np.bincount((shingles % np.uint64(MARKS)).astype(np.int64), minlength=MARKS) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.int64)
+
+
 def sets_of(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
     for _, _, words, starts in word_hashes(texts):
         yield from shingle_sets(words, starts, size)
 
 
 def _read_sets(size: int) -> Callable:
-    """Rows for each text (id, set size, class) and for each shingle repeated in a task (hash, count)."""
+    """Rows for each text (id, set size, class, parities) and for each shingle repeated in a task (hash, count)."""
 
     def repeated(pool: list[np.ndarray]) -> pd.DataFrame:
         x, n = np.unique(np.concatenate(pool), return_counts=True)
         x, n = x[n >= REPEATED], n[n >= REPEATED]
-        return pd.DataFrame({"doc_id": signed(x), "n": n.astype(np.int64), "cls": 0, "kind": 1})
+        return pd.DataFrame({"doc_id": signed(x), "n": n.astype(np.int64), "cls": 0, "kind": 1, "marks": None})
 
     def run(batches):
         pool, pooled, seen = [], 0, set()
         for df in batches:
-            n, cls = [], []
+            n, cls, marks = [], [], []
             for x in sets_of(df["text"].tolist(), size):
                 n.append(len(x))
                 cls.append(signature(x))
+                marks.append(marks_of(x))
                 if cls[-1] not in seen:
                     pool.append(x)
                     pooled += len(x)
@@ -83,7 +95,7 @@ def _read_sets(size: int) -> Callable:
                 if pooled > _POOL:
                     yield repeated(pool)
                     pool, pooled, seen = [], 0, set()
-            yield pd.DataFrame({"doc_id": df["doc_id"], "n": n, "cls": cls, "kind": 0})
+            yield pd.DataFrame({"doc_id": df["doc_id"], "n": n, "cls": cls, "kind": 0, "marks": marks})
         if pooled:
             yield repeated(pool)
 
@@ -163,10 +175,30 @@ def _segments(size: int, order: Order, bits, first: bool) -> Callable:
     return run
 
 
-def links(pairs: DataFrame, texts: DataFrame, size: int, share: int, order: Order) -> DataFrame:
+def _known(bits) -> Callable:
+    def run(batches):
+        for df in batches:
+            yield df[passes(bits.value, df["doc_id"].to_numpy(np.int64))]
+
+    return run
+
+
+def possible(pairs: DataFrame, marks: DataFrame, share: int) -> DataFrame:
+    """Candidate pairs whose parities (doc_id, n, marks) leave room for a link."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    held = marks.mapInPandas(_known(id_filter(ids, "doc_id")), "doc_id long, n long, marks array<long>")
+    left = held.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("marks").alias("x"))
+    right = held.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("marks").alias("y"))
+    differ = F.aggregate(F.zip_with("x", "y", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, v: s + v)
+    both = F.col("na") + F.col("nb")
+    fit = (100 + share) * (both - differ) >= 2 * share * both
+    return pairs.join(left, ["a", "na"]).join(right, ["b", "nb"]).filter(fit).select("a", "na", "b", "nb").distinct()
+
+
+def links(pairs: DataFrame, texts: DataFrame, marks: DataFrame, size: int, share: int, order: Order) -> DataFrame:
     """Of candidate pairs (a, na, b, nb) of document ids with their set sizes, those whose summed fragment overlaps reach the share.
 
-    The first fragment is counted for all pairs; those that can't reach the share even if the rest is equal go. The other fragments
+    Pairs whose parities rule a link out go first. The first fragment is counted for all others; those that can't reach the share even if the rest is equal go. The other fragments
     are counted for the rest.
     """
 
@@ -177,13 +209,15 @@ def links(pairs: DataFrame, texts: DataFrame, size: int, share: int, order: Orde
         left = parts.select(F.col("doc_id").alias("a"), "fragment", F.col("shingles").alias("x"))
         right = parts.select(F.col("doc_id").alias("b"), "fragment", F.col("shingles").alias("y"))
         joined = pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
-        both = F.sum(F.size(F.array_intersect("x", "y")))
-        return joined.groupBy("a", "b").agg(both.alias("more"), F.sum(F.size("x")).alias("xs"), F.sum(F.size("y")).alias("ys"))
+        sizes = {"more": F.size(F.array_intersect("x", "y")), "xs": F.size("x"), "ys": F.size("y")}
+        once = joined.groupBy("b", "fragment", "a").agg(*(F.max(v).alias(n) for n, v in sizes.items()))  # a row may be given twice
+        return once.groupBy("a", "b").agg(*(F.sum(n).alias(n) for n in sizes))
 
     def reaches(shared: F.Column) -> F.Column:
         return (100 + share) * shared >= share * (F.col("na") + F.col("nb"))
 
     zero = F.lit(0)
+    pairs = stored(possible(pairs, marks, share), "pairs")
     begun = pairs.join(overlaps(pairs, True), ["a", "b"], "left").na.fill(0, ["more", "xs", "ys"])
     begun = begun.withColumn("rest", F.least(F.col("na") - F.col("xs"), F.col("nb") - F.col("ys")))
     left = stored(begun.filter(reaches(F.col("more") + F.col("rest"))).select("a", "b", "na", "nb", F.col("more").alias("begun")), "pairs")
@@ -218,11 +252,14 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    first = stored(map_slices(texts, _read_sets(size), "doc_id long, n long, cls long, kind int"), "sets")
-    sets = first.filter("kind = 0").drop("kind")
+    first = stored(map_slices(texts, _read_sets(size), "doc_id long, n long, cls long, kind int, marks array<long>"), "sets")
+    sets = first.filter("kind = 0").select("doc_id", "n", "cls")
     repeated = first.filter("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n"))
     order = Order(spark, [tuple(r) for r in repeated.orderBy(F.desc("n"), "doc_id").limit(ORDERED).collect()])
-    classes = stored(sets.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id")), "classes")
+    of_set = first.filter("kind = 0 AND n > 0").groupBy("cls", "n")
+    classes = stored(of_set.agg(F.min("doc_id").alias("doc_id"), F.any_value("marks").alias("marks")), "classes")
+    marks = classes.select("doc_id", "n", "marks")
+    classes = classes.drop("marks")
 
     leading = stored(map_slices(texts, _leading(size, share, order), "key long, cls long, often boolean, room int"), "leading")
     ends = {"hub": F.min(F.when(F.col("room") > 0, F.struct("cls", "room"))), "low": F.min("cls"), "high": F.max("cls")}
@@ -245,7 +282,7 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
     room = F.max(F.least(F.abs("room"), F.col("hub.room"))).alias("room")
     near = shared.filter("cls <> hub.cls").groupBy(F.col("cls").alias("p"), F.col("hub.cls").alias("q")).agg(room)
     tried = stored(sized(near), "pairs")
-    found = stored(links(tried, texts, size, share, order), "links")
+    found = stored(links(tried, texts, marks, size, share, order), "links")
     joined = components(found)
 
     lead = F.col("n") - F.ceil(F.col("n") * share / 100) + 1
@@ -274,7 +311,7 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
         if now.isEmpty():
             break
         tried = tried.union(now)
-        found = stored(found.union(links(now, texts, size, share, order)), "links")
+        found = stored(found.union(links(now, texts, marks, size, share, order)), "links")
         joined = components(found)
 
     rows = placed(joined)
@@ -285,7 +322,7 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
     across = p.join(q, "key").filter((F.col("c") < F.col("d")) & fit).groupBy("p", "q").agg(F.lit(1 << 40).alias("room"))
     known = tried.select("a", "b").union(tried.select("b", "a"))
     across = stored(sized(across).join(known, ["a", "b"], "left_anti"), "pairs")
-    more = found if across.isEmpty() else stored(found.union(links(across, texts, size, share, order)), "links")
+    more = found if across.isEmpty() else stored(found.union(links(across, texts, marks, size, share, order)), "links")
     final = joined if more is found else components(more)
 
     of_class = classes.join(final, "doc_id", "left").select("cls", F.coalesce("component", "doc_id").alias("component_id"))
