@@ -1,7 +1,8 @@
 """Aggregates, pivots with totals and summary tables.
 
-A pivot over fixed columns is one aggregation with a conditional aggregate per column: the detail is combined before
-its only shuffle, and totals are added up from the aggregated rows, never from the detail a second time.
+A summary is one aggregation with a conditional aggregate per measure; a pivot aggregates by row keys and column value and
+spreads that small result over its columns. The detail is combined before its only shuffle, and totals are added up from
+the aggregated rows, never from the detail a second time.
 """
 
 from __future__ import annotations
@@ -94,8 +95,13 @@ def with_total(
     """
     keyed = _with_keys(df, [*rows, *(require or [])])
     keys = [as_col(c).cast("string").alias(f"__row_{i}") for i, c in enumerate(rows)]
-    parts = _parts(measures)
-    base = keyed.groupBy(*keys).agg(*[p.alias(n) for n, p in parts.items()])
+    base = keyed.groupBy(*keys).agg(*[p.alias(n) for n, p in _parts(measures).items()])
+    return _totalled(base, rows, measures, total)
+
+
+def _totalled(base: DataFrame, rows: list[str], measures: list[Measure], total: str) -> DataFrame:
+    """Cells and the grand total of pieces that are aggregated per row key, or per row key and more."""
+    parts = list(_parts(measures))
     keys = [F.col(f"__row_{i}") for i in range(len(rows))]
     both = base.groupingSets([keys, []], *keys).agg(
         F.grouping_id().alias("__level"), *[F.sum(n).alias(n) for n in parts]
@@ -105,7 +111,7 @@ def with_total(
         for i, k in enumerate(keys)
     ]
     # The grand-total set gives a row even for no input at all; a report of nothing has no total.
-    seen = both.where(F.col("__seen_0").isNotNull())
+    seen = both.where(F.col(f"__seen_{len(measures) - 1}").isNotNull())
     return seen.select(*labels, *[c.alias(n) for n, c in _cells(measures).items()])
 
 
@@ -147,8 +153,14 @@ def pivot_with_total(
     """
     labels = axis_values(df, column) if columns is None else columns
     v, c = as_col(value), as_col(column)
-    measures = [Measure(str(label), how, v, c == label) for label in labels] + [Measure(total, how, v)]
-    table = with_total(df, rows, measures, require=[column], total=total)
+    whole = Measure(total, how, v)
+    keys = [as_col(r).cast("string").alias(f"__row_{i}") for i, r in enumerate(rows)]
+    pieces = {n.removesuffix("_0"): p for n, p in _parts([whole]).items()}
+    base = _with_keys(df, [*rows, column]).groupBy(*keys, c.alias("__column")).agg(*[p.alias(n) for n, p in pieces.items()])
+    # Each listed value has its own set of pieces, null in rows of other values; the last set is the total.
+    spread = {f"{n}_{i}": F.when(F.col("__column") == v, F.col(n)) for i, v in enumerate(labels) for n in pieces}
+    wide = base.withColumns({**spread, **{f"{n}_{len(labels)}": F.col(n) for n in pieces}})
+    table = _totalled(wide, rows, [Measure(str(label), how, v) for label in labels] + [whole], total)
     return table.where(as_col(total).isNotNull()) if how == "mean" else table
 
 
