@@ -134,6 +134,30 @@ def test_pseudo_likelihood_prefers_what_it_has_seen(spark):
     assert abs(np.exp(pseudo_likelihood.train(np.ones((128 * 128, 128)), 1)).sum(1) - 1).max() < 1e-3
 
 
+def test_pseudo_likelihood_predicts_each_word(spark, monkeypatch):
+    text = "red mid one end blue mid two end " * 20
+    near, far = pseudo_likelihood.window_counts(docs_of(spark, [(1, text)]).select("text"), np.sort(common.span_hashes(*_spans("red mid one end blue two"))))
+    shift = pseudo_likelihood.shifts(far)
+    weights = pseudo_likelihood.fit_weights(docs_of(spark, [(1, text)]).select("text"), np.sort(common.span_hashes(*_spans("red mid one end blue two"))), pseudo_likelihood.train(near), shift)
+    assert weights.max() > 0.1
+    many = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(400))
+    docs = [(1, many), (2, many), (3, many.replace("waax", "wzzx")), (3, None), (None, many)]
+    got = [{r.doc_id: r for r in pseudo_likelihood.score_documents(docs_of(spark, docs)).collect()}]
+    monkeypatch.setattr(pseudo_likelihood, "HELD", 3)
+    rows = pseudo_likelihood.score_documents(docs_of(spark, docs)).collect()
+    got.append({r.doc_id: r for r in rows})
+    assert len(rows) == len(docs) and sorted(r.n_words for r in rows) == [0, 400, 400, 400, 400]
+    for x in got:
+        assert x[1].log_likelihood == pytest.approx(x[2].log_likelihood) and x[1].log_likelihood == pytest.approx(got[0][1].log_likelihood)
+    by = {(r.doc_id, r.n_words): r.log_likelihood for r in rows}
+    assert by[3, 400] == pytest.approx(by[1, 400] + np.log(1 / 3), abs=1e-4)
+
+
+def _spans(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return data, *common.spans_of(data)
+
+
 def der(tag: int, body: bytes) -> bytes:
     return bytes([tag, len(body)]) + body if len(body) < 128 else bytes([tag, 0x81, len(body)]) + body
 

@@ -1,9 +1,10 @@
 """LM scoring by masked pseudo-likelihood.
 
 Words belong to classes: the most frequent words have one each, all others share classes by their form. A network sees the classes
-on both sides of a masked word and predicts its class. All it can learn from is how often each class stands between
-each pair of classes, so these counts over all documents, gathered by Spark, are its training set. A document's score is the sum
-of the conditional log-probabilities of all its words.
+beside a masked word and predicts its class; it is trained on how often each class stands between each pair of classes in all
+documents. Classes farther off shift that prediction by how much more often they go with a class than chance, with weights
+that are fitted to all words. The word itself is predicted given its class by its share of the class, from the counts of all words
+of the corpus, a table that stays in Spark. A document's score is the sum of the log-probabilities of all its words.
 """
 
 from __future__ import annotations
@@ -11,16 +12,21 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triagegrid.llm.common import LOWER, encoded, groups, map_slices, signed, slices, span_hashes, spans_of
+from triagegrid.llm.common import LOWER, encoded, groups, map_slices, mix, signed, slices, span_hashes, spans_of, stored
 
 #: Classes: 0 is the edge of a text, then the frequent words, then FORMS classes of other words. They bound the counts to CLASSES**3.
 CLASSES, FORMS = 128, 31
 HIDDEN = 32
 EPOCHS = 60
 _FREQUENT = CLASSES - FORMS - 1
+#: Places of the farther classes, passes that fit their weights, the largest weight, and the largest shift of a log-probability.
+FAR, FITS, WEIGHT, SHIFT = (-2, 2), 2, 2.0, 8.0
+#: The most frequent words whose shares each task holds; those of all others are joined. It changes speed, not results.
+HELD = 100_000
 
 
 def _words(texts: list[str | None]):
@@ -39,16 +45,17 @@ def _words(texts: list[str | None]):
 
 
 def _count_words(batches):
-    held: list[np.ndarray] = []
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
 
     def counted():
-        x, n = np.unique(np.concatenate(held), return_counts=True)
-        return pd.DataFrame({"word": signed(x), "n": n.astype(np.int64)})
+        words, form = (np.concatenate(x) for x in zip(*held))
+        x, at, n = np.unique(words, return_index=True, return_counts=True)
+        return pd.DataFrame({"word": signed(x), "form": form[at].astype(np.int32), "n": n.astype(np.int64)})
 
     for df in batches:
-        for _, _, words, _, _ in _words(df["text"].tolist()):
-            held.append(words)
+        for _, _, words, form, _ in _words(df["text"].tolist()):
+            held.append((words, form))
             size += len(words)
             if size > 2_000_000:
                 yield counted()
@@ -57,10 +64,22 @@ def _count_words(batches):
         yield counted()
 
 
-def frequent_words(texts: DataFrame) -> np.ndarray:
-    """Hashes of the most frequent words of all texts, sorted; the size of the vocabulary is the limit."""
-    n = map_slices(texts, _count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return np.sort(np.array([r["word"] for r in n.orderBy(F.desc("n"), "word").limit(_FREQUENT).collect()], np.int64).view(np.uint64))
+def word_counts(texts: DataFrame) -> DataFrame:
+    """Every word of all texts: word (hash), form (class by its form), n."""
+    counted = map_slices(texts, _count_words, "word long, form int, n long")
+    return stored(counted.groupBy("word").agg(F.max("form").alias("form"), F.sum("n").alias("n")), "words")
+
+
+def frequent_words(counts: DataFrame) -> np.ndarray:
+    """Hashes of the words that have a class of their own, sorted."""
+    return np.sort(np.array([r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(_FREQUENT).collect()], np.int64).view(np.uint64))
+
+
+def word_shares(counts: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """Log of each word's share of its class: word, n, share. Words with a class of their own are left out, as theirs is 0."""
+    rest = counts.filter(~F.col("word").isin(signed(frequent).tolist()))
+    whole = rest.groupBy("form").agg(F.sum("n").alias("whole"))
+    return rest.join(F.broadcast(whole), "form").select("word", "n", F.log(F.col("n") / F.col("whole")).alias("share"))
 
 
 def classes_of(words: np.ndarray, form: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -80,12 +99,20 @@ def _contexts(cls: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return before, after
 
 
-def window_counts(texts: DataFrame, frequent: np.ndarray) -> np.ndarray:
-    """How often each class stands between each pair of classes in all texts: at most CLASSES**3 sums reach the driver."""
+def _at(cls: np.ndarray, starts: np.ndarray, offset: int) -> np.ndarray:
+    """Class that stands ``offset`` words after each word; 0 beyond its text."""
+    n = np.repeat(starts[1:], np.diff(starts)), np.repeat(starts[:-1], np.diff(starts))
+    at = np.arange(len(cls)) + offset
+    return np.where((at >= n[1]) & (at < n[0]), cls[np.clip(at, 0, max(len(cls) - 1, 0))], 0)
+
+
+def window_counts(texts: DataFrame, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each class stands between each pair of classes in all texts, and with each class at each of the places FAR."""
     held = texts.sparkSession.sparkContext.broadcast(frequent)
+    cells = CLASSES**3 + len(FAR) * CLASSES**2
 
     def count(batches):
-        total = np.zeros(CLASSES**3, np.int64)
+        total = np.zeros(cells, np.int64)
         for df in batches:
             for _, _, words, form, starts in _words(df["text"].tolist()):
                 if len(words):
@@ -93,14 +120,69 @@ def window_counts(texts: DataFrame, frequent: np.ndarray) -> np.ndarray:
                     before, after = _contexts(cls, starts)
                     at, n = np.unique((before * CLASSES + after) * CLASSES + cls, return_counts=True)
                     total[at] += n
+                    for i, offset in enumerate(FAR):
+                        begin = CLASSES**3 + i * CLASSES**2
+                        total[begin : begin + CLASSES**2] += np.bincount(_at(cls, starts, offset) * CLASSES + cls, minlength=CLASSES**2)
         at = np.flatnonzero(total)
         for begin in range(0, len(at), 200_000):
             yield pd.DataFrame({"at": at[begin : begin + 200_000], "n": total[at[begin : begin + 200_000]]})
 
     rows = map_slices(texts, count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(CLASSES**3)
+    out = np.zeros(cells)
     out[rows["at"].to_numpy()] = rows["n"].to_numpy()
-    return out.reshape(CLASSES * CLASSES, CLASSES)
+    return out[: CLASSES**3].reshape(CLASSES * CLASSES, CLASSES), out[CLASSES**3 :].reshape(len(FAR), CLASSES, CLASSES)
+
+
+def shifts(far: np.ndarray) -> np.ndarray:
+    """Log of how much more often than by chance a class goes with one at each of the places FAR, smoothed."""
+    share = (far.sum(1, keepdims=True) + 1) / (far.sum(1, keepdims=True) + 1).sum(2, keepdims=True)
+    found = (far + 4 * share) / (far.sum(2, keepdims=True) + 4)
+    return np.clip(np.log(found / share), -SHIFT, SHIFT).astype(np.float32)
+
+
+def _parts(cls: np.ndarray, starts: np.ndarray, table: np.ndarray, size: int = 4096):
+    """Pieces of the words: their place, the network's log-probabilities of all classes and the classes at the places FAR."""
+    before, after = _contexts(cls, starts)
+    pair, far = before * CLASSES + after, [_at(cls, starts, offset) for offset in FAR]
+    for begin in range(0, len(cls), size):
+        piece = slice(begin, begin + size)
+        yield piece, table[pair[piece]], [x[piece] for x in far]
+
+
+def fit_weights(texts: DataFrame, frequent: np.ndarray, table: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """Weights of the places FAR, by Newton steps whose sums run over all words of all texts."""
+    weights = np.zeros(len(FAR))
+    k = len(FAR)
+    for _ in range(FITS):
+        held = texts.sparkSession.sparkContext.broadcast((frequent, table, shift, weights.astype(np.float32)))
+
+        def sums(batches, held=held):
+            known, table, shift, weight = held.value
+            total = np.zeros(k + k * k)
+            for df in batches:
+                for _, _, words, form, starts in _words(df["text"].tolist()):
+                    cls = classes_of(words, form, known)
+                    for piece, p, far in _parts(cls, starts, table) if len(cls) else ():
+                        moved = [s[x] for s, x in zip(shift, far)]
+                        for w, m in zip(weight, moved):
+                            p += w * m
+                        np.exp(p, out=p)
+                        p /= p.sum(1, keepdims=True)
+                        at = np.arange(len(p)), cls[piece]
+                        weighed = [p * m for m in moved]
+                        mean = [x.sum(1, dtype=np.float64) for x in weighed]
+                        for i in range(k):
+                            total[i] += (moved[i][at] - mean[i]).sum()
+                            for j in range(k):
+                                total[k + i * k + j] += np.einsum("ij,ij->i", weighed[i], moved[j]).sum(dtype=np.float64) - mean[i] @ mean[j]
+            yield pd.DataFrame({"place": np.arange(len(total)), "total": total})
+
+        rows = map_slices(texts, sums, "place int, total double").groupBy("place").agg(F.sum("total").alias("total")).collect()
+        total = np.zeros(k + k * k)
+        for r in rows:
+            total[r["place"]] = r["total"]
+        weights = np.round(np.clip(weights + np.linalg.solve(total[k:].reshape(k, k) + np.eye(k), total[:k]), 0, WEIGHT), 6)
+    return weights
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -148,23 +230,58 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = docs.select("text")
-    frequent = frequent_words(texts)
-    held = spark.sparkContext.broadcast((frequent, train(window_counts(texts, frequent)).ravel()))
+    counts = word_counts(texts)
+    frequent = frequent_words(counts)
+    shares = word_shares(counts, frequent)
+    top = shares.orderBy(F.desc("n"), "word").limit(HELD).select("word", "share").toPandas().sort_values("word")
+    near, far = window_counts(texts, frequent)
+    table, shift = train(near), shifts(far)
+    weights = fit_weights(texts, frequent, table, shift)
+    shift = shift * weights.astype(np.float32)[:, None, None]
+    held = spark.sparkContext.broadcast((frequent, table, shift, top["word"].to_numpy(np.int64), top["share"].to_numpy(np.float64)))
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(batches):
-        known, table = held.value
+        known, table, shift, top_words, top_shares = held.value
+        row = TaskContext.get().partitionId() << 33
         for batch in slices(batches):
-            n, total = [], []
-            for _, _, words, form, starts in _words(batch.column(1).to_pylist()):
-                cls = classes_of(words, form, known)
-                before, after = _contexts(cls, starts) if len(cls) else (cls, cls)
-                p = np.concatenate(([0.0], np.cumsum(table[(before * CLASSES + after) * CLASSES + cls], dtype=np.float64)))
-                n.append(np.diff(starts))
-                total.append(p[starts[1:]] - p[starts[:-1]])
-            n, total = (np.concatenate(x) if x else np.zeros(0) for x in (n, total))
-            mean = pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)
-            made = [pa.array(n.astype(np.int64)), pa.array(total.astype(float)), mean]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "n_words", "log_likelihood", "per_word"])
+            for begin, end, words, form, starts in _words(batch.column(1).to_pylist()):
+                cls, size = classes_of(words, form, known), end - begin
+                p = np.zeros(len(cls) + 1)
+                for piece, z, far in _parts(cls, starts, table) if len(cls) else ():
+                    for s, x in zip(shift, far):
+                        z += s[x]
+                    p[1:][piece] = z[np.arange(len(z)), cls[piece]] - np.log(np.exp(z).sum(1))
+                word = signed(words)
+                rare = cls > _FREQUENT
+                if len(top_words):
+                    found = np.minimum(np.searchsorted(top_words, word), len(top_words) - 1)
+                    met = rare & (top_words[found] == word)
+                    p[1:][met] += top_shares[found[met]]
+                    rare &= ~met
+                p = np.cumsum(p)
+                # One row for each text, whose word stands for nothing, and one for each word whose share isn't held.
+                of = (row + np.repeat(np.arange(size), np.diff(starts)))[rare]
+                ids = row + np.arange(size)
+                n_rare = len(of)
+                nothing = pa.nulls(n_rare, batch.column(0).type)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate((ids, of))),
+                        pa.concat_arrays([batch.column(0).slice(begin, size), nothing]),
+                        pa.array(np.concatenate((np.diff(starts), np.zeros(n_rare))).astype(np.int64)),
+                        pa.array(np.concatenate((p[starts[1:]] - p[starts[:-1]], np.zeros(n_rare)))),
+                        pa.array(np.concatenate((signed(mix(ids.astype(np.uint64))), word[rare]))),
+                        pa.array(np.concatenate((np.zeros(size), np.ones(n_rare))).astype(np.int32)),
+                    ],
+                    names=["row", "doc_id", "n_words", "classes", "word", "n"],
+                )
+                row += size
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, n_words long, log_likelihood double, per_word double")
+    rows = docs.select("doc_id", "text").mapInArrow(score, f"row long, doc_id {kind}, n_words long, classes double, word long, n int")
+    total = F.sum(F.col("classes") + F.col("n") * F.coalesce("share", F.lit(0.0)))
+    scored = rows.join(shares.select("word", "share"), "word", "left").groupBy("row").agg(
+        F.first("doc_id", ignorenulls=True).alias("doc_id"), F.sum("n_words").alias("n_words"), total.alias("log_likelihood")
+    )
+    mean = F.try_divide("log_likelihood", "n_words").alias("per_word")
+    return scored.select("doc_id", "n_words", "log_likelihood", mean)
