@@ -179,6 +179,17 @@ def test_secrets_are_confirmed_by_structure():
     assert [k for k, _, _ in brute] == ["assign", "access", "hex"]
 
 
+def test_secrets_beside_other_characters():
+    key = der(0x30, der(2, b"\1" * 9) + der(0x30, der(2, b"\5" * 20) + der(4, b"k" * 30)))
+    head = urlsafe_b64encode(json.dumps({"alg": "HS256"}).encode()).decode().rstrip("=")
+    token, plain = f"{head}.e30.c2ln", b64encode(key).decode()
+    for before, text, after in (("x ", token, ". Next"), ("x ", token, "..."), ("...", token, " y"), ("0x", key.hex(), " y"), ("key_", key.hex(), " y"), ("path/", key.hex().upper(), "/y"), ("a/b/", plain, " y"), ("key_", plain, " y"), ("a-", plain, " y")):
+        assert [(a, b) for a, _, b in secret_scan.confirmed_spans(before + text + after)] == [(len(before), len(before + text))]
+    armoured = "-----BEGIN PRIVATE KEY-----\\n" + "\\n".join(plain[i : i + 20] for i in range(0, len(plain), 20)) + "\\n-----END PRIVATE KEY-----\\n"
+    assert [k for _, k, _ in secret_scan.confirmed_spans(armoured)] == [3]
+    assert secret_scan.confirmed_spans(f"{token}.more 0x{key.hex()[:-2]} a/{plain[:-4]}") == []
+
+
 def test_secret_rows_and_redaction(spark):
     got = secret_scan.scan_secrets(docs_of(spark, ODD)).collect()
     assert len(got) == len(ODD) and got[0].base_sha256 == hashlib.sha256(b"").hexdigest() and got[0].spans == ""

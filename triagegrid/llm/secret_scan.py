@@ -24,8 +24,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 WORDS = ("passw", "secret", "token", "api")
 BLOB = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
-LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
+LONG_HEX = re.compile(r"[0-9A-Fa-f]{48,}")
+# Where a key or key field can begin: in a base64 run after a separator, and in a run of hex digits.
+GLUED = re.compile(r"(?<=[+/_-])(?=M[A-P]|AAAA[BC]3NzaC1|AAAAE2VjZHNh|b3BlbnNzaC1rZXkt)")
+HEX_START = re.compile(r"(?=30|000000(?:07|0b)7373682d|0000001365636473|6f70656e7373682d6b6579)", re.I)
+ESCAPED = re.compile(r"\\+[nrt]|\s|\\+(?=/)")
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?<![A-Za-z0-9_-]\.)([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])(?!\.[A-Za-z0-9_-])")
 ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY[A-Z ]*)-----([^-]*)-----END \1-----")
 # Names at the start of length-prefixed public keys, and the mark of the private key container.
 WIRE_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
@@ -107,29 +111,53 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
 
+def kind_of(data: bytes | None) -> int | None:
+    """Place of the kind of what parses."""
+    return None if not data else 4 if is_key(data) else 5 if is_wire(data) else None
+
+
+def fills(head: bytes, size: int) -> bool:
+    """Whether a key of ``size`` bytes can begin so; others than sequences always can."""
+    if len(head) < 6 or head[0] != 0x30:
+        return True
+    n = head[1] & 127 if head[1] & 128 else 0
+    return n <= 4 and 2 + n + (int.from_bytes(head[2 : 2 + n], "big") if n else head[1]) == size
+
+
+def blob_span(run: str) -> tuple[int, int, int] | None:
+    """(start, place of the kind, end) within a run of the base64 alphabet: the run, its end after a separator, or hex digits in it."""
+    for at in (0, *(m.start() for m in GLUED.finditer(run))):
+        if at and not fills(decoded(run[at : at + 8]) or b"", len(run[at:].rstrip("=")) * 3 // 4):
+            continue
+        kind = kind_of(decoded(run[at:]))
+        if kind:
+            return at, kind, len(run)
+    for m in LONG_HEX.finditer(run):
+        for start in (x.start() for x in HEX_START.finditer(m[0])):
+            size, odd = divmod(len(m[0]) - start, 2)
+            if odd or not fills(bytes.fromhex(m[0][start : start + 12][: 2 * size]), size):
+                continue
+            kind = kind_of(bytes.fromhex(m[0][start:]))
+            if kind:
+                return m.start() + start, kind, m.end()
+    return None
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, place of the kind, end) of what decodes and parses."""
     out, armoured = [], []
     if "-----BEGIN " in text:
         for m in ARMOUR.finditer(text):
-            data = decoded("".join(m[2].split()))
+            data = decoded(ESCAPED.sub("", m[2]))
             if data and (is_key(data) or is_wire(data)):
                 out.append((m.start(), 3, m.end()))
                 armoured.append((m.start(), m.end()))
     for m in BLOB.finditer(text):
         if any(a <= m.start() < b for a, b in armoured):
             continue
-        data = decoded(m[0])
-        if data and is_key(data):
-            out.append((m.start(), 4, m.end()))
-        elif data and is_wire(data):
-            out.append((m.start(), 5, m.end()))
-        elif LONG_HEX.fullmatch(m[0]):
-            data = bytes.fromhex(m[0])
-            if is_key(data):
-                out.append((m.start(), 4, m.end()))
-            elif is_wire(data):
-                out.append((m.start(), 5, m.end()))
+        found = blob_span(m[0])
+        if found:
+            out.append((m.start() + found[0], found[1], m.start() + found[2]))
     if "." in text:
         out += [(m.start(), 6, m.end()) for m in TOKEN.finditer(text) if is_header(m[1])]
     return out
