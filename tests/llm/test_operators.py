@@ -208,6 +208,17 @@ def test_templates_catch_copies_and_new_numbers(spark):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def held_items(spark, texts, items):
+    docs = docs_of(spark, list(enumerate(texts)))
+    return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+
+
+def test_items_given_twice_count_once(spark):
+    item = "the quick fox jumps over the lazy dog today"
+    got = held_items(spark, [f"so {item} again"], [(1, item), (1, item)])
+    assert got[0, 1].exact and got[0, 1].n_item_windows == 2
+
+
 def test_quality_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     if not os.path.isdir(folder):

@@ -99,7 +99,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     ``exact`` is whether enough windows hold the item's own values. Null and empty texts hold nothing; rows without an id are left
     out; repeated rows count once. An empty benchmark gives no rows. Other columns are not looked at.
     """
-    asked = stored(item_windows(items), "items")
+    asked = stored(item_windows(items).distinct(), "items")
     sizes = [r["size"] for r in asked.select("size").distinct().collect()]
     bits = id_filter(asked, "hash")
 
@@ -115,7 +115,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
     met = map_slices(rows, run, "doc_id long, at int, size int, hash long, slots array<long>").select("doc_id", "size", "hash", F.col("slots").alias("own"))
     pairs = met.distinct().join(asked, ["size", "hash"]).withColumn("same", F.col("slots") == F.col("own"))
-    every = asked.groupBy("item_id").agg(F.count("*").alias("n_item_windows"))
+    every = asked.groupBy("item_id").agg(F.count_distinct("at").alias("n_item_windows"))
     slot = F.explode_outer(F.arrays_zip("slots", "own"))
     slots = pairs.select("doc_id", "item_id", "at", "same", slot.alias("slot")).select("doc_id", "item_id", "at", "same", "slot.slots", "slot.own")
     found = slots.groupBy("doc_id", "item_id").agg(
