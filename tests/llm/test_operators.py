@@ -219,6 +219,12 @@ def test_items_given_twice_count_once(spark):
     assert got[0, 1].exact and got[0, 1].n_item_windows == 2
 
 
+def test_items_of_numbers_and_names_are_found(spark):
+    items = [(1, "Add 12 kg, 15 kg, 18 kg and 20 kg"), (2, "7 3 12 99 4 5 6 8 1"), (3, "ask Bob")]
+    got = held_items(spark, [*(f"So now: {x} . And on" for _, x in items), "Add 12 kg and 20 kg"], items)
+    assert {k for k, r in got.items() if r.exact} == {(0, 1), (1, 2), (2, 3)} and len(got) == 3
+
+
 def test_quality_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     if not os.path.isdir(folder):

@@ -1,9 +1,9 @@
 """Benchmark decontamination by templates.
 
 Words become a template: numbers, names and units are replaced by typed placeholders, all else is lower-cased. Windows of
-the templates of benchmark items are hash-joined with those of documents. What stands in the placeholders must
-then agree: either the values are the item's own, or, over all windows that a document shares with an item, a value of the item always
-meets the same value of the document. So copies and re-parameterised questions are caught, and windows that only look alike are not.
+the templates of benchmark items are hash-joined with those of documents, and so are windows of the lower-cased words as they are, by
+which copies are found whatever their numbers, names, capitals and line breaks. What stands in the placeholders must
+then agree: over all windows that a document shares with an item, a value of the item always meets the same value of the document. So copies and re-parameterised questions are caught, and windows that only look alike are not.
 """
 
 from __future__ import annotations
@@ -71,15 +71,21 @@ def windows(form: np.ndarray, size: int) -> np.ndarray:
 
 
 def _rows(key, form: np.ndarray, word: np.ndarray, size: int, bits=None) -> list[tuple]:
-    found = windows(form, size)
-    keep = found != 0
-    if bits is not None and len(found):
-        keep &= passes(bits, signed(found))
-    return [(key, int(i), size, int(signed(found[i : i + 1])[0]), signed(word[i : i + size][form[i : i + size] != word[i : i + size]]).tolist()) for i in np.flatnonzero(keep)]
+    """Template windows, and plain ones, whose size is negative and which have no slots."""
+    out = []
+    for found, sign in ((windows(form, size), 1), (window_hashes(word, size), -1)):
+        keep = found != 0 if sign > 0 else np.ones(len(found), bool)
+        if bits is not None and len(found):
+            keep &= passes(bits, signed(found))
+        hashes = signed(found)
+        for i in np.flatnonzero(keep).tolist():
+            values = word[i : i + size][form[i : i + size] != word[i : i + size]] if sign > 0 else word[:0]
+            out.append((key, i, sign * size, int(hashes[i]), signed(values).tolist()))
+    return out
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """Windows of benchmark items (item_id, at, size, hash, slots); a shorter item is one window."""
+    """Template and plain windows of benchmark items (item_id, at, size, hash, slots); a shorter item is one window."""
 
     def run(batches):
         for df in batches:
@@ -100,7 +106,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     out; repeated rows count once. An empty benchmark gives no rows. Other columns are not looked at.
     """
     asked = stored(item_windows(items).distinct(), "items")
-    sizes = [r["size"] for r in asked.select("size").distinct().collect()]
+    sizes = [r["size"] for r in asked.select(F.abs("size").alias("size")).distinct().collect()]
     bits = id_filter(asked, "hash")
 
     def run(batches):
@@ -114,17 +120,18 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
     met = map_slices(rows, run, "doc_id long, at int, size int, hash long, slots array<long>").select("doc_id", "size", "hash", F.col("slots").alias("own"))
-    pairs = met.distinct().join(asked, ["size", "hash"]).withColumn("same", F.col("slots") == F.col("own"))
-    every = asked.groupBy("item_id").agg(F.count_distinct("at").alias("n_item_windows"))
+    pairs = met.distinct().join(asked, ["size", "hash"])
+    plain, template = (F.count_distinct(F.when(x, F.col("at"))) for x in (F.col("size") < 0, F.col("size") > 0))
+    every = asked.groupBy("item_id").agg(plain.alias("n_item_windows"), template.alias("n_templates"))
     slot = F.explode_outer(F.arrays_zip("slots", "own"))
-    slots = pairs.select("doc_id", "item_id", "at", "same", slot.alias("slot")).select("doc_id", "item_id", "at", "same", "slot.slots", "slot.own")
+    slots = pairs.select("doc_id", "item_id", "at", "size", slot.alias("slot")).select("doc_id", "item_id", "at", "size", "slot.slots", "slot.own")
     found = slots.groupBy("doc_id", "item_id").agg(
         F.count_distinct("at").alias("n_windows"),
         F.count_distinct("slots").alias("values"),
         F.count_distinct("slots", "own").alias("meetings"),
-        F.count_distinct(F.when(F.col("same"), F.col("at"))).alias("n_exact"),
+        plain.alias("n_exact"),
+        template.alias("n_alike"),
     )
-    least = F.least(F.lit(SHARED), "n_item_windows")
-    copied = F.col("n_exact") >= least
-    reset = (F.col("n_windows") >= least) & (F.col("values") == F.col("meetings"))
+    copied = F.col("n_exact") >= F.least(F.lit(SHARED), "n_item_windows")
+    reset = (F.col("n_alike") > 0) & (F.col("n_alike") >= F.least(F.lit(SHARED), "n_templates")) & (F.col("values") == F.col("meetings"))
     return found.join(every, "item_id").filter(copied | reset).select("doc_id", "item_id", "n_windows", "n_item_windows", copied.alias("exact"))
