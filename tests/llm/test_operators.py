@@ -225,6 +225,13 @@ def test_items_of_numbers_and_names_are_found(spark):
     assert {k for k, r in got.items() if r.exact} == {(0, 1), (1, 2), (2, 3)} and len(got) == 3
 
 
+def test_copies_in_other_capitals_and_longer_values(spark):
+    item = "If Mary walks 12 km on the way then John rides 900 m and if Paul goes 7 km on the road then Anna waits 30 min at noon"
+    other = item.replace("Mary", "Olga Maria").replace("12", "12.5").replace("900", "1,200").replace("John", "Jan Peter").replace("Paul", "Ole").replace("7 km", "8.25 km").replace("Anna", "Eva").replace("30", "45")
+    got = held_items(spark, [item.upper(), item.lower(), item.replace(" John", "\nJohn").replace(" Paul", ".\nPaul"), other, "nothing of it"], [(1, item)])
+    assert {k: r.exact for k, r in got.items()} == {(0, 1): True, (1, 1): True, (2, 1): True, (3, 1): False}
+
+
 def test_quality_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     if not os.path.isdir(folder):

@@ -35,7 +35,10 @@ UNIT_HASHES = np.sort(span_hashes(_raw, _edge[::2], _edge[1::2]))
 
 
 def templates(texts: list[str | None]):
-    """For each text: the hashes of its template and of its words."""
+    """For each text: the hashes of its template, of what stands there, and of its words.
+
+    A run of names is one placeholder, and a number with its separators is one.
+    """
     raw = [encoded(t) for t in texts]
     for begin, end in groups(raw):
         data = np.frombuffer(b"\n".join(raw[begin:end]) + b"\n", np.uint8)
@@ -55,32 +58,44 @@ def templates(texts: list[str | None]):
             at = np.minimum(np.searchsorted(UNIT_HASHES, word), len(UNIT_HASHES) - 1)
             unit = after & (UNIT_HASHES[at] == word)
             form = np.select([number, unit, name], [NUMBER, UNIT, NAME], word)
+            others = np.concatenate(([0], np.cumsum((data != 32) & (data != 45))))
+            on = np.zeros(len(first), bool)
+            between = data[last[:-1]]
+            on[1:] = number[1:] & number[:-1] & (first[1:] - last[:-1] == 1) & ((between == 44) | (between == 46))
+            on[1:] |= name[1:] & name[:-1] & (others[first[1:]] == others[last[:-1]])
+            heads = np.flatnonzero(~on)
+            begins, ends = first[heads], last[np.append(heads[1:], len(first)) - 1]
+            form, value = form[heads], span_hashes(LOWER[data], begins, ends)
         else:
-            form = word
-        starts = np.searchsorted(first, np.cumsum([0, *(len(t) + 1 for t in raw[begin:end])]))
-        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-            yield form[a:b], word[a:b]
+            form, value, begins = word, word, first
+        edges = np.cumsum([0, *(len(t) + 1 for t in raw[begin:end])])
+        starts, plain = np.searchsorted(begins, edges).tolist(), np.searchsorted(first, edges).tolist()
+        for i in range(end - begin):
+            yield form[starts[i] : starts[i + 1]], value[starts[i] : starts[i + 1]], word[plain[i] : plain[i + 1]]
 
 
 def windows(form: np.ndarray, size: int) -> np.ndarray:
     """Hashes of windows; those with too few literal words are 0."""
     found = window_hashes(form, size)
     literal = np.concatenate(([0], np.cumsum((form != NUMBER) & (form != NAME) & (form != UNIT))))
-    found[(literal[size:] - literal[:-size])[: len(found)] < min(LITERAL, size)] = 0
+    if len(found):
+        found[(literal[size:] - literal[:-size])[: len(found)] < min(LITERAL, size)] = 0
     return found
 
 
-def _rows(key, form: np.ndarray, word: np.ndarray, size: int, bits=None) -> list[tuple]:
-    """Template windows, and plain ones, whose size is negative and which have no slots."""
+def _rows(key, form: np.ndarray, value: np.ndarray, word: np.ndarray, sizes: list[int], bits=None) -> list[tuple]:
+    """Template windows of the positive sizes, and plain ones of the negative sizes, which have no slots."""
     out = []
-    for found, sign in ((windows(form, size), 1), (window_hashes(word, size), -1)):
-        keep = found != 0 if sign > 0 else np.ones(len(found), bool)
+    for size in sizes:
+        n = abs(size)
+        found = windows(form, n) if size > 0 else window_hashes(word, n)
+        keep = found != 0 if size > 0 else np.ones(len(found), bool)
         if bits is not None and len(found):
             keep &= passes(bits, signed(found))
         hashes = signed(found)
         for i in np.flatnonzero(keep).tolist():
-            values = word[i : i + size][form[i : i + size] != word[i : i + size]] if sign > 0 else word[:0]
-            out.append((key, i, sign * size, int(hashes[i]), signed(values).tolist()))
+            held = value[i : i + n][form[i : i + n] != value[i : i + n]] if size > 0 else value[:0]
+            out.append((key, i, size, int(hashes[i]), signed(held).tolist()))
     return out
 
 
@@ -90,9 +105,9 @@ def item_windows(items: DataFrame) -> DataFrame:
     def run(batches):
         for df in batches:
             out = []
-            for key, (form, word) in zip(df["item_id"].tolist(), templates(df["text"].tolist())):
+            for key, (form, value, word) in zip(df["item_id"].tolist(), templates(df["text"].tolist())):
                 if len(form):
-                    out += _rows(key, form, word, min(WINDOW, len(form)))
+                    out += _rows(key, form, value, word, [min(WINDOW, len(form)), -min(WINDOW, len(word))])
             yield pd.DataFrame(out, columns=["item_id", "at", "size", "hash", "slots"])
 
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
@@ -106,16 +121,14 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     out; repeated rows count once. An empty benchmark gives no rows. Other columns are not looked at.
     """
     asked = stored(item_windows(items).distinct(), "items")
-    sizes = [r["size"] for r in asked.select(F.abs("size").alias("size")).distinct().collect()]
+    sizes = [r["size"] for r in asked.select("size").distinct().collect()]
     bits = id_filter(asked, "hash")
 
     def run(batches):
         for df in batches:
             ids, out = df["doc_id"].tolist(), []
-            for key, (form, word) in zip(ids, templates(df["text"].tolist())):
-                for size in sizes:
-                    if len(form) >= size:
-                        out += _rows(key, form, word, size, bits.value)
+            for key, (form, value, word) in zip(ids, templates(df["text"].tolist())):
+                out += _rows(key, form, value, word, sizes, bits.value)
             yield pd.DataFrame(out, columns=["doc_id", "at", "size", "hash", "slots"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
