@@ -232,6 +232,14 @@ def test_copies_in_other_capitals_and_longer_values(spark):
     assert {k: r.exact for k, r in got.items()} == {(0, 1): True, (1, 1): True, (2, 1): True, (3, 1): False}
 
 
+def test_each_occurrence_is_consistent_by_itself(spark):
+    item = "a man walks 12 km on the road and a boy rides 30 km in the same time then both go 5 km"
+    copies = [item.replace("12", a).replace("30", b).replace("5", c) for a, b, c in (("17", "44", "6"), ("99", "68", "7"))]
+    twice, stray = " . ".join(copies), copies[0] + " so a man walks 71 km on the road"
+    got = held_items(spark, [twice, stray, "a man walks 71 km on the road but a man walks 72 km on the road"], [(1, item)])
+    assert {k: r.exact for k, r in got.items()} == {(0, 1): False, (1, 1): False}
+
+
 def test_quality_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     if not os.path.isdir(folder):

@@ -3,7 +3,8 @@
 Words become a template: numbers, names and units are replaced by typed placeholders, all else is lower-cased. Windows of
 the templates of benchmark items are hash-joined with those of documents, and so are windows of the lower-cased words as they are, by
 which copies are found whatever their numbers, names, capitals and line breaks. What stands in the placeholders must
-then agree: over all windows that a document shares with an item, a value of the item always meets the same value of the document. So copies and re-parameterised questions are caught, and windows that only look alike are not.
+then agree: over the windows of one occurrence of an item in a document, or over all that they share, a value of the item always meets
+the same value of the document. So copies and re-parameterised questions are caught, and windows that only look alike are not.
 """
 
 from __future__ import annotations
@@ -132,19 +133,27 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["doc_id", "at", "size", "hash", "slots"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    met = map_slices(rows, run, "doc_id long, at int, size int, hash long, slots array<long>").select("doc_id", "size", "hash", F.col("slots").alias("own"))
+    met = map_slices(rows, run, "doc_id long, at int, size int, hash long, slots array<long>")
+    place = F.when(F.col("size") > 0, F.col("at")).alias("place")
+    met = met.select("doc_id", "size", "hash", F.col("slots").alias("own"), place)
     pairs = met.distinct().join(asked, ["size", "hash"])
+    # Each template window counts for its occurrence, told by the item's place in the document, and for the document as a whole (null).
+    both = F.array(F.lit(None).cast("int"), F.col("place") - F.col("at"))
+    pairs = pairs.withColumn("begin", F.explode(F.when(F.col("size") > 0, both).otherwise(F.slice(both, 1, 1))))
     plain, template = (F.count_distinct(F.when(x, F.col("at"))) for x in (F.col("size") < 0, F.col("size") > 0))
     every = asked.groupBy("item_id").agg(plain.alias("n_item_windows"), template.alias("n_templates"))
     slot = F.explode_outer(F.arrays_zip("slots", "own"))
-    slots = pairs.select("doc_id", "item_id", "at", "size", slot.alias("slot")).select("doc_id", "item_id", "at", "size", "slot.slots", "slot.own")
-    found = slots.groupBy("doc_id", "item_id").agg(
+    keys = ["doc_id", "item_id", "begin", "at", "size"]
+    slots = pairs.select(*keys, slot.alias("slot")).select(*keys, "slot.slots", "slot.own")
+    found = slots.groupBy("doc_id", "item_id", "begin").agg(
         F.count_distinct("at").alias("n_windows"),
         F.count_distinct("slots").alias("values"),
         F.count_distinct("slots", "own").alias("meetings"),
         plain.alias("n_exact"),
         template.alias("n_alike"),
     )
+    agreed = F.max(F.when(F.col("values") == F.col("meetings"), F.col("n_alike"))).alias("n_agreed")
+    found = found.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("n_exact").alias("n_exact"), agreed)
     copied = F.col("n_exact") >= F.least(F.lit(SHARED), "n_item_windows")
-    reset = (F.col("n_alike") > 0) & (F.col("n_alike") >= F.least(F.lit(SHARED), "n_templates")) & (F.col("values") == F.col("meetings"))
+    reset = F.coalesce((F.col("n_agreed") > 0) & (F.col("n_agreed") >= F.least(F.lit(SHARED), "n_templates")), F.lit(False))
     return found.join(every, "item_id").filter(copied | reset).select("doc_id", "item_id", "n_windows", "n_item_windows", copied.alias("exact"))
