@@ -119,6 +119,15 @@ def offset_page(t):
     return q.orderBy(["o_totalprice", "o_orderkey"]).limit(25, 50).get()
 
 
+@check(
+    "o4_deep_page",
+    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 11000 OFFSET 700",
+)
+def deep_page(t):
+    q = TableQuery(t.spark, {"orders": t["orders"]}).table("orders").select(["o_orderkey", "o_totalprice"])
+    return q.orderBy(["o_totalprice", "o_orderkey"], "DESC").limit(11_000, 700).get()
+
+
 @check(
     "u1_concatenate",
     """SELECT orderid, createtitle_, processstatus, area_, NULL AS category_ FROM work_order

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from checks import QUERIES
 from triagegrid.analog import Tables
 from triagegrid.operators import dedupe, lists, lookups, pivots
 from triagegrid.plans import r7_team_daily as R7
@@ -29,12 +29,12 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-PLANNED = [n for n in queries() if not re.match(r"s\d|w4|r5[def]", n)]
+PLANNED = [n for n in QUERIES if not re.match(r"s\d|w4|r5[def]", n)]
 
 
 @pytest.mark.parametrize("name", PLANNED)
 def test_no_cross_joins_and_no_python(spark, no_broadcast, name):
-    text = plan(queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     for node in ("BroadcastNestedLoopJoin", "CartesianProduct", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
         assert node not in text, node
     # No window may run over one partition for all rows.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from triagegrid.operators import dedupe as D
+from triagegrid.operators.order_index import PART, OrderIndex
 
 
 def sample(seed, n=60):
@@ -86,3 +87,32 @@ def test_stack_and_delta(spark):
 def test_offset(spark):
     df = D.sort_rows(spark.range(10), "id")
     assert [r.id for r in D.first_rows(df, 3, 4).collect()] == [4, 5, 6]
+
+
+def test_deep_pages_come_in_order_from_the_index(spark, monkeypatch):
+    df = spark.range(3000).repartition(5).withColumn("v", F.pmod(F.col("id"), F.lit(40)))
+    want = [tuple(r) for r in D.sort_rows(df, "v", "DESC").collect()]
+    monkeypatch.setattr(D, "TASK_ROWS", 10)
+    for limit, offset in ((700, 0), (1200, 333), (9000, 2990), (0, 20), (5, 4000)):
+        got = D.first_rows(df, limit, offset, D.sort_keys("v", "DESC"))
+        assert [tuple(r) for r in got.collect()] == want[offset : offset + limit]
+    assert D.first_rows(df, 100).count() == 100 and D.first_rows(df.where("false"), 100).count() == 0
+
+
+def test_slices_read_only_their_ranges(spark):
+    index = OrderIndex(spark.range(8000).repartition(8), [F.col("id")], ranges=8)
+    assert len(index.parts) > 4 and len(index) == 8000
+    page = index.slice(10, index.starts[2] + 1)
+    assert [r.id for r in page.collect()] == list(range(index.starts[2] + 1, index.starts[2] + 11))
+    text = page._jdf.queryExecution().toString()
+    assert f"{PART}" in text and "PartitionFilters: [isnotnull(__part" in text and "SinglePartition" not in text
+    with pytest.raises(ValueError, match="already there"):
+        OrderIndex(spark.range(3).withColumn(PART, F.lit(1)), [])
+
+
+def test_copies_of_one_row_spread_over_ranges(spark):
+    df = spark.range(0, 20_000, 1, 8).select(F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    index = OrderIndex(df, [F.col("k")], ranges=8)
+    sizes = [b - a for a, b in zip(index.starts, index.starts[1:])]
+    assert max(sizes) < 8000
+    assert [r.n for r in index.numbered("n").orderBy("n").collect()] == list(range(20_000))

@@ -141,17 +141,18 @@ class TableQuery:
             shown = [e for e in self._select or [] if e in self._groups]
             df = df.groupBy(*names).agg(*rest) if rest else df.select(*names).distinct()
             hidden = [g for g in self._groups if self._select and g not in shown]
-            df = self._sorted(df).drop(*hidden)
+            df = self._ordered(df).drop(*hidden)
         else:
-            df = self._sorted(df)
+            df = self._ordered(df)
             if self._select and self._select != ["*"]:
                 df = df.selectExpr(*self._select)
-        if self._limit:
-            df = dedupe.first_rows(df, *self._limit)
         self._clear()
         return df
 
-    def _sorted(self, df: DataFrame) -> DataFrame:
+    def _ordered(self, df: DataFrame) -> DataFrame:
+        """Sorted and limited."""
+        if self._limit:
+            return dedupe.first_rows(df, *self._limit, dedupe.sort_keys(*self._order) if self._order else None)
         return dedupe.sort_rows(df, *self._order) if self._order else df
 
     def _edited(self, df: DataFrame) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from triagegrid.functions.classify import severity_rank
 from triagegrid.functions.scalars import as_col
-from triagegrid.session import materialise, stored
+from triagegrid.operators.order_index import OrderIndex, tie_break
+
+#: Rows that one task may merge for a limit.
+TASK_ROWS = 10_000
 
 
 def nulls_last(c: Column | str) -> list[Column]:
@@ -63,41 +65,22 @@ def worst_per_key(
 
 
 def row_index(df: DataFrame, order: list[Column], name: str = "index") -> DataFrame:
-    """Dense 0-based row number in the given order, without one partition for all rows.
-
-    The rows are written once, so that file and position break every tie the same way each time and equal rows spread
-    over several ranges. The range-sorted rows are checkpointed; each partition starts at the counts before it.
-    """
-    kept = stored(df, "row-index").select(
-        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
-    )
-    numbered = materialise(
-        kept.orderBy(*order, "__file", "__row").withColumns(
-            {"__part": F.spark_partition_id(), "__mid": F.monotonically_increasing_id()}
-        )
-    )
-    sizes = numbered.groupBy("__part").agg(F.count("*").alias("__n"), F.min("__mid").alias("__first"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("__part", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    # One row per partition of the sort: bounded by the number of shuffle partitions.
-    placed = numbered.join(F.broadcast(starts), "__part")
-    index = F.col("__start") + F.col("__mid") - F.col("__first")
-    return placed.select(index.alias(name), *[as_col(c) for c in df.columns])
-
-
-def tie_break(df: DataFrame) -> Column:
-    """A last sort key that lets rows with one hot sort value spread over several ranges."""
-    return F.xxhash64(*[as_col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+    """Dense 0-based row number in the given order; the rows are sorted by ranges and written once."""
+    return OrderIndex(df, order).numbered(name)
 
 
-def sort_rows(df: DataFrame, columns: list[str] | str, order: str = "ASC") -> DataFrame:
-    """Sort by columns, one direction for all, nulls after the values when ascending and before when descending."""
+def sort_keys(columns: list[str] | str, order: str = "ASC") -> list[Column]:
+    """Sort keys, one direction for all, nulls after the values when ascending and before when descending."""
     names = [columns] if isinstance(columns, str) else list(columns)
     order = order.upper()
     if order not in ("ASC", "DESC"):
         raise ValueError(f"order is ASC or DESC, not {order}")
-    keys = [as_col(c).asc_nulls_last() if order == "ASC" else as_col(c).desc_nulls_first() for c in names]
-    return df.orderBy(*keys, tie_break(df))
+    return [as_col(c).asc_nulls_last() if order == "ASC" else as_col(c).desc_nulls_first() for c in names]
+
+
+def sort_rows(df: DataFrame, columns: list[str] | str, order: str = "ASC") -> DataFrame:
+    """Rows sorted by ``sort_keys``."""
+    return df.orderBy(*sort_keys(columns, order), tie_break(df))
 
 
 def sort_by_category(df: DataFrame, column: str, order: list[str], ascending: bool = True) -> DataFrame:
@@ -107,8 +90,16 @@ def sort_by_category(df: DataFrame, column: str, order: list[str], ascending: bo
     return known.orderBy(rank.asc_nulls_last() if ascending else rank.desc_nulls_last(), tie_break(known))
 
 
-def first_rows(df: DataFrame, limit: int, offset: int = 0) -> DataFrame:
-    return df.offset(offset).limit(limit) if offset else df.limit(limit)
+def first_rows(df: DataFrame, limit: int, offset: int = 0, order: list[Column] | None = None) -> DataFrame:
+    """``limit`` rows after the first ``offset`` of the given order, sorted by it; without an order, of the frame as it is.
+
+    Up to TASK_ROWS rows every task sends its best ones and one task merges them. Beyond that no task could hold them, so the
+    rows come from an order index, which gives the same ones.
+    """
+    if offset + limit > TASK_ROWS:
+        return OrderIndex(df, order or []).slice(limit, offset)
+    ordered = df.orderBy(*order, tie_break(df)) if order else df
+    return ordered.offset(offset).limit(limit) if offset else ordered.limit(limit)
 
 
 def stack(frames: list[DataFrame]) -> DataFrame:
