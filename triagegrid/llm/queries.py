@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagegrid.llm import chat_trees, decontaminate, ngram_join, pieces, pseudo_likelihood, quality, secret_scan, token_counts, topk, url_templates
+from triagegrid.llm import chat_trees, decontaminate, ngram_join, pieces, pseudo_likelihood, quality, secret_scan, source_mix, token_counts, topk, url_templates
 from triagegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,31 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Token digests of all documents."""
     return pieces.token_digests(table(spark, folder, "documents"))
+
+
+@query(
+    "op13_source_mix",
+    rf"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(doc_id::varchar, 'text ' || md5(coalesce(text, ''))) AS k, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::hugeint AS size, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::hugeint AS w FROM d GROUP BY source
+), o AS (
+  SELECT *, row_number() OVER (ORDER BY 3 * size / w, source NULLS LAST) AS k, sum(size) OVER () AS total FROM s
+), l AS (
+  SELECT *, total - coalesce(sum(3 * size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::hugeint AS num,
+    (sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::hugeint AS den FROM o
+), f AS (SELECT num::hugeint AS num, den FROM l WHERE w * num <= 3 * size * den ORDER BY k LIMIT 1), r AS (
+  SELECT source, size, CASE WHEN w * num > 3 * size * den THEN (3 * size)::double ELSE (w * num)::double / den::double END AS target,
+    CASE WHEN size = 0 THEN 0 WHEN w * num > 3 * size * den THEN 3 ELSE (w * num) // (size * den) END AS copies,
+    CASE WHEN size = 0 OR w * num > 3 * size * den THEN 0 ELSE ((w * num) % (size * den))::double / (size * den)::double END AS fraction FROM s, f
+)
+SELECT d.doc_id, d.size, r.size::bigint AS source_size, r.target,
+  (d.size * (r.copies + CASE WHEN ('0x' || left(md5('mix:' || d.k), 13))::bigint / 16.0 ** 13 < r.fraction THEN 1 ELSE 0 END))::bigint AS taken
+FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source""",
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents that the mix takes."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    mix = source_mix.with_copies(docs).select("doc_id", "mix.*")
+    return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
