@@ -189,24 +189,29 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-#: Bits of a filter of ids or hashes. It only spares work: what passes is joined exactly afterwards.
-FILTER_BITS = 1 << 24
+#: Bits of a filter per id or hash, and of the smallest and largest filter. It only spares work: what passes is joined exactly afterwards.
+FILTER_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 
 
 def id_filter(df: DataFrame, column: str):
-    """Broadcast bits of a column of longs, combined on the executors; at most FILTER_BITS / 64 rows reach the driver."""
+    """Broadcast bits of a column of longs, sized by their number and combined on the executors; 32 MB at most."""
+    wanted = max(LEAST_BITS, min(MOST_BITS, FILTER_BITS * df.count()))
+    size = 1 << (wanted - 1).bit_length()
 
     def bits(batches):
         for x in batches:
-            at = mix(x.iloc[:, 0].to_numpy(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)
-            yield pd.DataFrame({"word": (at >> np.uint64(6)).astype(np.int64), "bit": signed(np.uint64(1) << (at & np.uint64(63)))})
-
-    found = df.select(column).mapInPandas(bits, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    words = np.zeros(FILTER_BITS // 64, np.uint64)
-    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+            at = mix(x.iloc[:, 0].to_numpy(np.int64).view(np.uint64)) % np.uint64(size)
+            word, place = np.unique((at >> np.uint64(6)).astype(np.int64), return_inverse=True)
+            held = np.zeros(len(word), np.uint64)
+            np.bitwise_or.at(held, place, np.uint64(1) << (at & np.uint64(63)))
+            yield pd.DataFrame({"word": word, "bit": signed(held)})
+
+    found = df.select(column).mapInPandas(bits, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words = np.zeros(size // 64, np.uint64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return df.sparkSession.sparkContext.broadcast(words)
 
 
 def passes(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    at = mix(ids.view(np.uint64)) % np.uint64(FILTER_BITS)
+    at = mix(ids.view(np.uint64)) % np.uint64(64 * len(words))
     return (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagegrid.llm import chat_trees, decontaminate, ngram_join, pieces, pseudo_likelihood, quality, secret_scan, source_mix, token_counts, topk, url_templates
+from triagegrid.llm import chat_trees, decontaminate, hard_negatives, ngram_join, pieces, pseudo_likelihood, quality, secret_scan, source_divergence, source_mix, token_counts, topk, url_templates
 from triagegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,52 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     mix = source_mix.with_copies(docs).select("doc_id", "mix.*")
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query(
+    "op12_hard_negatives",
+    """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r, a.vec_id AS anchor_id, a.label = c.label AS alike, c.vec_id, list_inner_product(a.v, c.v)::bigint AS score
+  FROM v a JOIN v c ON a.r <> c.r AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0
+), p AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k FROM s WHERE alike QUALIFY k <= 5), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.r, p.k ORDER BY s.score DESC, s.vec_id) AS k
+  FROM p JOIN s ON s.r = p.r AND NOT s.alike AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+)
+SELECT anchor_id, positive_id, k::integer AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 5""",
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of all anchor rows and their positives."""
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
+
+
+@query(
+    "op11_source_divergence",
+    rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), t AS (SELECT r, lang, source, unnest(terms) AS term FROM d), c AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM t GROUP BY ALL
+), k AS (SELECT lang, term, sum(n)::hugeint AS n FROM c GROUP BY lang, term HAVING sum(docs) >= 30), g AS (SELECT DISTINCT lang, source FROM d), e AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::hugeint AS n, k.n AS lang_n FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+  SELECT lang, source, term, n, 1 + 1000000000 * (n + 5) // (sum(n) OVER w + 5 * count(*) OVER w) AS p, 1 + 1000000000 * (lang_n + 5) // (sum(lang_n) OVER w + 5 * count(*) OVER w) AS q
+  FROM e WINDOW w AS (PARTITION BY lang, source)
+), m AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL
+), u AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(m.value, 0)::bigint AS value FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::bigint FROM p WHERE n > 0 AND p > q
+), x AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::integer AS rank FROM u)
+SELECT * FROM x WHERE part = 'pair' OR rank <= 50""",
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the sources of each language are from each other, and the terms that each has more of than its language."""
+    return source_divergence.audit(table(spark, folder, "documents"))
