@@ -34,6 +34,19 @@ def child_list(t):
     return df.select("orderid", "children")
 
 
+@check(
+    "a1_child_blocks",
+    """WITH i AS (SELECT parentticketid, orderid, processstatus, row_number() OVER (PARTITION BY parentticketid ORDER BY ticketid) - 1 AS a,
+                 row_number() OVER (PARTITION BY parentticketid ORDER BY processstatus, orderid) - 1 AS b FROM work_order WHERE parentticketid IS NOT NULL),
+       x AS (SELECT parentticketid, a // 3 AS piece, string_agg(orderid, ',' ORDER BY a) AS children FROM i GROUP BY 1, 2),
+       y AS (SELECT parentticketid, b // 3 AS piece, string_agg(processstatus, ',' ORDER BY b) AS statuses FROM i GROUP BY 1, 2)
+       SELECT parentticketid, piece::bigint AS piece, children, statuses FROM x FULL JOIN y USING (parentticketid, piece)""",
+)
+def child_blocks(t):
+    named = {"children": ("orderid", "ticketid"), "statuses": ("processstatus", "processstatus")}
+    return lists.child_lists(t["work_order"], "parentticketid", named, block_items=3)
+
+
 @check(
     "a2_child_value_lists",
     """SELECT t.orderid, l.statuses, l.processors FROM trouble_ticket t LEFT JOIN (

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,12 +58,12 @@ def test_backfilled_parent(spark):
 
 
 def test_backfill_of_a_hot_ticket(spark, monkeypatch):
-    monkeypatch.setattr(lists.child_lists, "__defaults__", (",", 5))
+    monkeypatch.setattr(lists.child_lists, "__defaults__", (",", 5, None))
     df = frame(spark, [("w1", 1, None), ("w2", 2, None)], "w STRING, p BIGINT, o STRING")
     tt = spark.range(20).select(F.lit(1).cast("bigint").alias("ticketid"), F.col("id").cast("string").alias("orderid"))
     got = lists.backfilled_parent(df, "o", "p", tt, ["w"]).collect()
     found = [v for r in got if r.w == "w1" for v in r.o.split(";")]
-    assert sorted(found) == sorted(str(i) for i in range(20))
+    assert sorted(found) == sorted(str(i) for i in range(20)) and len([r for r in got if r.w == "w1"]) == 4
     assert [r.o for r in got if r.w == "w2"] == [""]
 
 
@@ -155,37 +157,41 @@ def test_child_lists(spark):
     assert [r.p for r in few.orderBy("p").collect()] == [1, 2]
 
 
-def test_child_lists_of_a_hot_parent_stay_whole(spark):
-    """A third of the rows under one parent: its list comes in pieces, nothing is lost, others stay in one piece."""
-    kids = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 400).alias("p"), F.col("id").alias("v")
+def blocks_by_hand(rows, names, size):
+    """Blocks of (parent, {list: [(order, value)]}) in plain Python."""
+    out = []
+    for p in {r[0] for r in rows if r[0] is not None}:
+        own = {n: sorted((r[k], r[v]) for r in rows if r[0] == p and r[v] is not None) for n, v, k in names}
+        for block in range(max(1, *[-(-len(x) // size) for x in own.values()])):
+            cut = {n: [str(v) for _, v in x[block * size : (block + 1) * size]] for n, x in own.items()}
+            out.append((p, block, *[",".join(cut[n]) if cut[n] else None for n, _, _ in names]))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 100])
+def test_every_parent_has_blocks_in_child_order(spark, size):
+    """Parents with no, few and very many children, ties and copies: one rule, whatever the number of items in a block."""
+    rng = random.Random(size)
+    rows = [(p, rng.choice(["a", "b", None]), rng.randint(0, 3), rng.randint(0, 9)) for p in [*range(12)] * 3 + [5] * 60 + [None] * 4]
+    rows += [(20, None, 1, 1), (21, "x", 0, 4), (22, "x", 0, 4), (22, "x", 0, 4)]
+    kids = frame(spark, rows, "p BIGINT, v STRING, o INT, w INT")
+    made = lists.child_lists(kids, "p", {"vs": ("v", "o"), "ws": ("w", "w")}, block_items=size)
+    assert made.columns == ["p", "piece", "vs", "ws"]
+    assert rows_of(made) == blocks_by_hand(rows, [("vs", 1, 2), ("ws", 3, 3)], size)
+
+
+def test_a_hot_parent_is_spread_over_tasks(spark):
+    """A third of the rows under one parent, most of them copies of one child."""
+    kids = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 400).alias("p"), F.greatest(F.col("id"), F.lit(3000)).alias("v")
     )
-    made = lists.child_lists(kids, "p", {"vs": ("v", "v")}, piece_rows=100).collect()
-    assert [(r.piece, r.vs) for r in made if r.p == -1 and r.vs is None] == [(0, None)]
-    hot = [r for r in made if r.p == -1 and r.vs]
-    assert {r.piece for r in hot} == set(range(1, 11))
-    assert max(len(r.vs.split(",")) for r in hot) < 200
-    items = sorted(int(v) for r in hot for v in r.vs.split(","))
-    assert items == list(range(0, 3000, 3))
-    for r in hot:
-        own = [int(v) for v in r.vs.split(",")]
-        assert own == sorted(own)
-    rest = [r for r in made if r.p != -1]
-    assert len(rest) == len({r.p for r in rest}) and {r.piece for r in rest} == {0}
-
-
-def test_child_lists_of_hot_copies_stay_whole(spark):
-    """One parent with 1000 copies of one child: the copies are cut into runs."""
-    kids = spark.range(1000).select(F.lit(1).alias("p"), F.lit("same").alias("v"), F.lit(0).alias("o"))
-    kids = kids.unionByName(spark.createDataFrame([(1, "zz", 9), (2, "b", 1)], "p INT, v STRING, o INT"))
-    made = lists.child_lists(kids, "p", {"vs": ("v", "o"), "os": ("o", "o")}, piece_rows=100).collect()
-    assert [r.piece for r in made if r.p == 1 and r.vs is None] == [0]
-    made = [r for r in made if r.vs]
-    items = [v for r in made if r.p == 1 for v in r.vs.split(",")]
-    assert sorted(items) == ["same"] * 1000 + ["zz"]
-    assert len([r for r in made if r.p == 1]) > 3
-    assert all(len(r.os.split(",")) == len(r.vs.split(",")) for r in made)
-    assert [tuple(r) for r in made if r.p == 2] == [(2, 0, "b", "1")]
+    made = lists.child_lists(kids, "p", {"vs": ("v", "v")}, block_items=100)
+    hot = made.where("p = -1").orderBy("piece").collect()
+    assert [r.piece for r in hot] == list(range(20)) and {len(r.vs.split(",")) for r in hot} == {100}
+    items = [int(v) for r in hot for v in r.vs.split(",")]
+    assert items == sorted(max(i, 3000) for i in range(0, 6000, 3))
+    rest = made.where("p <> -1").collect()
+    assert len(rest) == len({r.p for r in rest}) == 400 and {r.piece for r in rest} == {0}
 
 
 def test_fan_out_of_a_hot_key_stays_whole(spark):
@@ -204,7 +210,7 @@ def test_fan_out_of_a_hot_key_stays_whole(spark):
 def test_pieces_do_not_multiply_a_fan_out(spark):
     parents = frame(spark, [(1,), (2,)], "t BIGINT")
     kids = spark.range(40).select(F.lit(1).cast("bigint").alias("p"), F.col("id").alias("v"))
-    made = lists.child_lists(kids, "p", {"vs": ("v", "v")}, piece_rows=10)
+    made = lists.child_lists(kids, "p", {"vs": ("v", "v")}, block_items=10)
     pieces = made.count()
     many = spark.range(30).select(F.lit(1).cast("bigint").alias("m"), F.col("id").alias("s"))
     df = lists.with_child_lists(parents, "t", made, "p", piece="piece")
@@ -212,7 +218,7 @@ def test_pieces_do_not_multiply_a_fan_out(spark):
     rows = out.where("t = 1").collect()
     assert pieces > 1 and len(rows) == 30 + pieces - 1
     assert sorted(r.s for r in rows if r.s is not None) == list(range(30))
-    assert sorted(int(v) for r in rows if r.vs for v in r.vs.split(",")) == list(range(40))
+    assert [int(v) for _, vs in sorted({(r.piece, r.vs) for r in rows}) for v in vs.split(",")] == list(range(40))
     assert [r.s for r in out.where("t = 2").collect()] == [None]
 
 

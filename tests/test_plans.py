@@ -105,19 +105,17 @@ def test_skew_join_splits_a_hot_key(spark, no_broadcast):
     assert "skew=true" in text or "skewed" in text
 
 
-def test_hot_parents_shuffle_by_parent_and_piece(spark, no_broadcast):
+def test_lists_are_grouped_by_parent_and_block(spark, no_broadcast):
     tables = Tables(spark, FOLDER)
-    made = lists.child_lists(tables["work_order"], "parentticketid", {"c": ("orderid", "ticketid")}, piece_rows=5)
+    made = lists.child_lists(tables["work_order"], "parentticketid", {"c": ("orderid", "ticketid")}, block_items=5)
     text = plan(made)
-    assert re.search(r"Keys \[1\]: \[_groupingexpression#\d+\]", text) and "struct(parent" in text
+    assert re.search(r"Keys \[1\]: \[_groupingexpression#\d+\]", text) and "struct(__parent" in text and "Window" not in text
 
 
-def test_no_hot_parent_drops_the_splitting_branch(spark):
+def test_lists_within_one_block_need_one_exchange(spark):
     tables = Tables(spark, FOLDER)
     made = lists.child_lists(tables["work_order"], "parentticketid", {"c": ("orderid", "ticketid")})
-    made.collect()
-    final = plan(made, "simple").split("Initial Plan")[0]
-    assert "LeftAnti" not in final and "flatten" not in final
+    assert plan(made, "simple").count("Exchange hashpartitioning") == 1
 
 
 def test_keep_one_thins_out_before_the_shuffle(spark):

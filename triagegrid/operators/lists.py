@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from triagegrid.functions.scalars import as_col, list_items
 from triagegrid.operators.lookups import keys_only, left_by_key, one_per_key
+from triagegrid.operators.order_index import OrderIndex
 
-PIECE_ROWS = 1_000_000
+#: Items of one list cell. A text of that many ids has some ten megabytes.
+BLOCK_ITEMS = 1_000_000
 
 
 def child_lists(
@@ -16,75 +18,78 @@ def child_lists(
     key: str,
     lists: dict[str, tuple[Column | str, Column | str]],
     sep: str = ",",
-    piece_rows: int = PIECE_ROWS,
+    block_items: int = BLOCK_ITEMS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Joined child values per parent key: ``lists`` maps an output name to (value, order).
+    """Joined child values per parent key in child order: ``lists`` maps an output name to (value, order).
 
-    No cell holds many more than ``piece_rows`` items. A parent with more children than that gets a first row, piece 0,
-    without a list and its list in pieces from 1 on, so no task ever holds a hot parent and nothing is left out. All
-    other parents have their list in the one piece 0.
-    There are at most rows / ``piece_rows`` hot parents, so their table is small enough to broadcast. When it turns out
-    empty, AQE drops the branch that splits them.
+    Each list is cut into blocks of ``block_items`` items, numbered from 0 in child order: block ``piece`` holds the items from
+    ``piece * block_items`` on. That is one rule for all parents. A parent has a row per block, the first one also when none of its
+    children has a value; a list that is shorter than another one of the parent is null in the later blocks.
+
+    An item's block follows from its place among its parent's items. Places come from an order index, which sorts all items by
+    ranges, so that no task holds one parent. It is built when some parent has more children than a block holds; otherwise every
+    block is 0. ``counted`` is a frame with the key and at least the same rows that is cheaper to count than ``children``.
     """
+    size = (children if counted is None else counted).where(as_col(key).isNotNull()).groupBy(as_col(key)).count()
+    longest = size.agg(F.max("count")).first()[0] or 0
     values = {f"__value_{i}": as_col(v).cast("string") for i, (v, _) in enumerate(lists.values())}
     orders = {f"__order_{i}": as_col(o) for i, (_, o) in enumerate(lists.values())}
-    cells = [*values, *orders]
     items = children.where(as_col(key).isNotNull()).select(
         as_col(key).alias("__parent"), *[c.alias(n) for n, c in {**values, **orders}.items()]
     )
-    counts = items.groupBy(F.col("__parent").alias("__hot")).agg(F.count("*").alias("__n"))
-    large = counts.where(F.col("__n") > piece_rows)
-    hot = F.broadcast(large.select("__hot", F.ceil(F.col("__n") / piece_rows).alias("__pieces")))
-    is_hot = F.col("__parent") == F.col("__hot")
-
-    def ordered(i: int, *more: str) -> Column:
-        """Order, value and further fields of the children that have a value, in order."""
-        fields = [F.col(f"__order_{i}").alias("order"), F.col(f"__value_{i}").alias("value"), *more]
-        held = F.when(F.col(f"__value_{i}").isNotNull(), F.struct(*fields))
-        return F.sort_array(F.collect_list(held))
-
-    def joined(names: Column) -> Column:
-        return F.when(F.size(names) > 0, F.array_join(names, sep))
-
-    plain = {out: joined(F.transform(ordered(i), lambda p: p["value"])) for i, out in enumerate(lists)}
-    cold_lists = (
-        items.join(hot, is_hot, "left_anti")
-        .groupBy("__parent")
-        .agg(*[c.alias(out) for out, c in plain.items()])
-        .select(F.col("__parent").alias(key), F.lit(0).cast("bigint").alias("piece"), *lists)
-    )
-    # Copies of one child are counted before the shuffle and cut into runs, so that a run has at most piece_rows items.
-    copies = items.join(hot, is_hot, "inner").groupBy("__parent", "__pieces", *cells).agg(F.count("*").alias("__n"))
-    last_run = F.ceil(F.col("__n") / piece_rows) - 1
-    runs = copies.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
-    length = F.least(F.lit(piece_rows), F.col("__n") - F.col("__run") * piece_rows).cast("int")
-    piece = F.pmod(F.xxhash64(*cells, "__run"), F.col("__pieces")) + 1
-    # One struct as the group key: rows that arrive partitioned by the parent alone are then still spread by piece.
-    slot = F.struct(F.col("__parent").alias("parent"), piece.alias("piece")).alias("slot")
-
-    def repeated(i: int) -> Column:
-        runs_of = F.transform(ordered(i, "__length"), lambda p: F.array_repeat(p["value"], p["__length"]))
-        return joined(F.flatten(runs_of))
-
-    hot_lists = (
-        runs.withColumn("__length", length)
-        .groupBy(slot)
-        .agg(*[repeated(i).alias(out) for i, out in enumerate(lists)])
-        .select(F.col("slot.parent").alias(key), F.col("slot.piece").alias("piece"), *lists)
-    )
-    first_rows = large.select(
-        F.col("__hot").alias(key),
-        F.lit(0).cast("bigint").alias("piece"),
-        *[F.lit(None).cast("string").alias(out) for out in lists],
-    )
-    return cold_lists.unionByName(hot_lists).unionByName(first_rows)
+    if longest <= block_items:
+        slots = items.select("__parent", F.lit(0).cast("bigint").alias("__block"), *[
+            F.when(F.col(f"__value_{i}").isNotNull(), F.struct(F.col(f"__order_{i}").alias("at"), F.col(f"__value_{i}").alias("value"))).alias(f"__slot_{i}")
+            for i in range(len(lists))
+        ])
+        slots = slots.groupBy("__parent")
+        blocks = slots.agg(F.min("__block").alias("__block"), *_joined_slots(lists, sep))
+    else:
+        # One struct as the group key: rows that arrive partitioned by the parent alone are then still spread by block.
+        slots = _placed_items(items, len(lists), block_items)
+        slots = slots.groupBy(F.struct("__parent", "__block").alias("__cell"))
+        blocks = slots.agg(*_joined_slots(lists, sep)).select("__cell.*", *lists)
+    return blocks.select(F.col("__parent").alias(key), F.col("__block").alias("piece"), *lists)
+
+
+def _joined_slots(lists: dict, sep: str) -> list[Column]:
+    """The slots of a block as one text per list, in order; null without a slot."""
+
+    def joined(i: int) -> Column:
+        held = F.transform(F.sort_array(F.collect_list(f"__slot_{i}")), lambda p: p["value"])
+        return F.when(F.size(held) > 0, F.array_join(held, sep))
+
+    return [joined(i).alias(out) for i, out in enumerate(lists)]
+
+
+def _placed_items(items: DataFrame, count: int, block_items: int) -> DataFrame:
+    """A row per item of a list (__parent, __block, the list's slot), and a row without an item for block 0 of each parent."""
+    fields = [f for i in range(count) for f in (f"__order_{i}", f"__value_{i}")]
+    none = {f.name: F.lit(None).cast(f.dataType) for f in items.schema.fields}
+    apart = F.array(*[
+        F.struct(F.lit(i).alias("list"), *[(F.col(f) if f.endswith(f"_{i}") else none[f]).alias(f) for f in fields]) for i in range(count)
+    ])
+    single = items.select("__parent", F.explode(apart).alias("one")).select("__parent", "one.*")
+    held = single.where(F.coalesce(*[f"__value_{i}" for i in range(count)]).isNotNull())
+    index = OrderIndex(held, ["__parent", "list", *[F.col(f).asc_nulls_first() for f in fields]])
+    numbered = index.numbered("__at")
+    starts = numbered.groupBy(F.col("__parent").alias("__of"), F.col("list").alias("__list")).agg(F.min("__at").alias("__start"))
+    placed = numbered.join(starts, (F.col("__parent") == F.col("__of")) & (F.col("list") == F.col("__list")))
+    place = F.col("__at") - F.col("__start")
+    slots = {
+        f"__slot_{i}": F.when(F.col("list") == i, F.struct(place.alias("at"), F.col(f"__value_{i}").alias("value"))) for i in range(count)
+    }
+    rows = placed.select("__parent", F.floor(place / block_items).cast("bigint").alias("__block"), *[c.alias(n) for n, c in slots.items()])
+    first = items.select("__parent").distinct().withColumn("__block", F.lit(0).cast("bigint"))
+    return rows.unionByName(first, allowMissingColumns=True)
 
 
 def child_lists_of(
     parents: DataFrame, parent_key: str, children: DataFrame, key: str, lists: dict, **options
 ) -> DataFrame:
     """``child_lists`` for the given parents only, each listed once: other children are dropped before the grouping."""
-    return child_lists(keys_only(children, key, parents, parent_key, unique=True), key, lists, **options)
+    return child_lists(keys_only(children, key, parents, parent_key, unique=True), key, lists, counted=children, **options)
 
 
 def with_child_lists(
