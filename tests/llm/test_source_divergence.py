@@ -109,12 +109,32 @@ def test_pool_gives_everything_once(monkeypatch):
         rows += list(pool.counts([("x", str(g)) for g in range(3)], 5))
     rows += list(pool.counts([("x", str(g)) for g in range(3)], 0))
     have = Counter()
-    for df in rows:
-        for r in df.itertuples():
-            have[int(r.source), r.digest] += r.n
+    for batch in rows:
+        for r in batch.to_pylist():
+            have[int(r["source"]), r["digest"]] += r["n"]
     assert have == want
 
 
+def test_pool_keeps_the_ends_of_each_digest(monkeypatch):
+    monkeypatch.setattr(source_divergence, "POOL", 7)
+    pool = source_divergence.Pool()
+    for text in (b"ab cd ef", b"cd gh", b"x cd ab zz ab", "\u00e9 ab".encode()):
+        data = np.frombuffer(text, np.uint8)
+        _, _, found, span = source_divergence.distinct_terms(data, 1)
+        pool.remember(found, span, data)
+    ends = {}
+    for batch in pool.strings(0):
+        for r in batch.to_pylist():
+            low, high = ends.get(r["digest"], (r["low"], r["low"]))
+            ends[r["digest"]] = min(low, r["low"]), max(high, r["high"] or r["low"])
+    want = {}
+    for t in ("ab", "cd", "ef", "gh", "x", "zz", "\u00e9"):
+        d = int(source_divergence.distinct_terms(np.frombuffer(t.encode(), np.uint8), 1)[2][0])
+        low, high = want.get(d, (t, t))
+        want[d] = min(low, t), max(high, t)
+    assert ends == want
+
+
 def test_filters_grow_with_their_ids(spark):
     ids = spark.range(0, 40_000, 3)
     held = common.id_filter(ids, "id").value

@@ -14,11 +14,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from triagegrid.llm.common import GROUP_BYTES, LOWER, encoded, groups, id_filter, map_slices, passes, signed, span_hashes, stored
+from triagegrid.llm.common import GROUP_BYTES, LOWER, encoded, groups, id_filter, passes, signed, slices, span_hashes, stored
 from triagegrid.llm.common import _slices as pieces_at_blanks
 from triagegrid.operators.order_index import OrderIndex
 
@@ -32,9 +33,9 @@ SCALE = 1_000_000_000
 TOP = 50
 #: Counts and strings that a task holds before it writes them.
 POOL = 1_000_000
-WORDS = 200_000
+ROWS = 100_000
 #: Shares (sources times terms) of one block of the pairwise sums.
-CELLS = 1_000_000
+CELLS = 250_000
 _COUNTS = "lang string, source string, digest long, n long, docs long, low string, high string"
 
 
@@ -76,11 +77,28 @@ def distinct_terms(data: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray,
     return begin, number, found, np.stack([begin[example], end[example]], 1)
 
 
+def gathered(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The bytes of several spans, one after the other."""
+    shift = np.repeat(begin - (np.cumsum(length) - length), length)
+    return data[np.arange(len(shift)) + shift]
+
+
+def firsts(*keys: np.ndarray) -> np.ndarray:
+    """Places in sorted keys at which a new one begins."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    return np.flatnonzero(new)
+
+
 class Pool:
     """Counts per group and digest, and the strings of digests, of one task."""
 
     def __init__(self):
-        self.parts, self.size, self.words = [], 0, {}
+        self.parts, self.size = [], 0
+        self.words, self.met = [], 0
+        self.more: dict[int, tuple[bytes, bytes]] = {}
 
     def add(self, *part: np.ndarray) -> None:
         """Group, digest, n and docs."""
@@ -93,53 +111,93 @@ class Pool:
         group, digest, n, docs = (np.concatenate(x) for x in zip(*self.parts))
         order = np.lexsort((digest, group))
         group, digest, n, docs = group[order], digest[order], n[order], docs[order]
-        first = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (digest[1:] != digest[:-1])))
+        first = firsts(group, digest)
         self.parts = [(group[first], digest[first], np.add.reduceat(n, first), np.add.reduceat(docs, first))]
         self.size = len(first)
 
-    def remember(self, found: np.ndarray, span: np.ndarray, data: np.ndarray) -> None:
-        """The smallest and largest bytes of each digest."""
-        words, raw = self.words, data.tobytes()
-        for digest, (a, b) in zip(found.tolist(), span.tolist()):
-            term = raw[a:b]
-            held = words.get(digest)
-            if held is None:
-                words[digest] = (term, term)
-            elif held[0] != term or held[1] != term:
-                words[digest] = (min(held[0], term), max(held[1], term))
-
-    def counts(self, names: list[tuple], most: int) -> Iterator[pd.DataFrame]:
+    def counts(self, names: list[tuple], most: int) -> Iterator[pa.RecordBatch]:
         """The counts, if they are more than that many, and then no more."""
         if self.size > most:
             self.combine()
         if self.size > most:
             (group, digest, n, docs), self.parts, self.size = self.parts[0], [], 0
-            lang, source = (np.array(x, object) for x in zip(*names))
-            for a in range(0, len(group), 200_000):
-                b = slice(a, a + 200_000)
-                yield pd.DataFrame({"lang": lang[group[b]], "source": source[group[b]], "digest": digest[b], "n": n[b], "docs": docs[b], "low": None, "high": None})
+            langs, sources = (pa.array(x, pa.string()) for x in zip(*names))
+            for a in range(0, len(group), ROWS):
+                b = slice(a, a + ROWS)
+                at = pa.array(group[b].astype(np.int32))
+                lang, source = (pa.DictionaryArray.from_arrays(at, x).dictionary_decode() for x in (langs, sources))
+                none = pa.nulls(len(at), pa.string())
+                yield _batch(lang, source, pa.array(digest[b]), pa.array(n[b]), pa.array(docs[b]), none, none)
 
-    def strings(self, most: int) -> Iterator[pd.DataFrame]:
-        if len(self.words) > most:
-            digest, ends = zip(*self.words.items())
-            self.words = {}
-            low, high = ([x.decode("utf-8", "replace") for x in part] for part in zip(*ends))
-            yield pd.DataFrame({"lang": None, "source": None, "digest": digest, "n": 0, "docs": 0, "low": low, "high": high})
+    def remember(self, found: np.ndarray, span: np.ndarray, data: np.ndarray) -> None:
+        length = span[:, 1] - span[:, 0]
+        self.words.append((found, length, gathered(data, span[:, 0], length)))
+        self.met += len(found)
+        if self.met > POOL:
+            self.unite()
+
+    def unite(self) -> None:
+        """Each digest once, with its string; the smallest and largest ones of a digest that stands for several go to ``more``."""
+        digest, length, text = (np.concatenate(x) for x in zip(*self.words))
+        begin = np.cumsum(length) - length
+        order = np.argsort(digest, kind="stable")
+        digest, length, begin = digest[order], length[order], begin[order]
+        first = firsts(digest)
+        of = np.repeat(first, np.diff(np.append(first, len(digest))))
+        alike = length == length[of]
+        own, other = gathered(text, begin, length), gathered(text, np.where(alike, begin[of], begin), length)
+        ends = np.cumsum(length)
+        alike &= np.add.reduceat((own != other).astype(np.int32), ends - length) == 0 if len(own) else True
+        for i in np.flatnonzero(~alike).tolist():
+            strings = [text[begin[k] : begin[k] + length[k]].tobytes() for k in (i, of[i])]
+            strings += self.more.get(int(digest[i]), ())
+            self.more[int(digest[i])] = min(strings), max(strings)
+        self.words = [(digest[first], length[first], gathered(text, begin[first], length[first]))]
+        self.met = len(first)
+
+    def strings(self, most: int) -> Iterator[pa.RecordBatch]:
+        """The strings, if they are more than that many, and then no more."""
+        if self.met > most:
+            self.unite()
+        if self.met <= most:
+            return
+        (digest, length, text), self.words, self.met = self.words[0], [], 0
+        ends = np.cumsum(length)
+        for a in range(0, len(digest), ROWS):
+            b = slice(a, a + ROWS)
+            begin = int(ends[a] - length[a])
+            offsets = np.append(0, ends[b] - begin).astype(np.int32)
+            low = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(text[begin : int(ends[b][-1])].tobytes()))
+            yield _words(pa.array(digest[b]), low, pa.nulls(len(low), pa.string()))
+        if self.more:
+            low, high = ([x.decode("utf-8", "replace") for x in ends] for ends in zip(*self.more.values()))
+            yield _words(pa.array(list(self.more), pa.int64()), pa.array(low, pa.string()), pa.array(high, pa.string()))
+            self.more = {}
+
+
+def _batch(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), [field.split()[0] for field in _COUNTS.split(", ")])
+
+
+def _words(digest: pa.Array, low: pa.Array, high: pa.Array) -> pa.RecordBatch:
+    zero, none = pa.array(np.zeros(len(digest), np.int64)), pa.nulls(len(digest), pa.string())
+    return _batch(none, none, digest, zero, zero, low, high)
 
 
 def _counted(bits: int, only=None) -> Callable:
-    """Rows of counts (lang, source, digest, n, docs) and of strings (digest, low, high); with a filter, counts of the strings it passes."""
+    """Rows of counts (lang, source, digest, n, docs) and of strings (digest, low, high if it differs); with a filter, counts of the
+    strings whose digest it passes."""
 
     def run(batches):
         pool, names, number_of = Pool(), [], {}
-        for df in batches:
-            keys = list(zip(df["lang"], df["source"]))
+        for batch in slices(batches):
+            keys = list(zip(*(batch.column(k).to_pylist() for k in ("lang", "source"))))
             for key in keys:
                 if key not in number_of:
                     number_of[key] = len(names)
                     names.append(key)
             group_of = np.array([number_of[k] for k in keys], np.int64)
-            raw = [encoded(t) for t in df["text"]]
+            raw = [encoded(t) for t in batch.column("text").to_pylist()]
             for a, b in groups(raw):
                 texts, owners = raw[a:b], np.arange(a, b)
                 if b - a == 1 and len(raw[a]) > GROUP_BYTES:
@@ -157,41 +215,39 @@ def _counted(bits: int, only=None) -> Callable:
                     doc = owner[np.searchsorted(starts, begin, "right") - 1]
                     if only is None:
                         pool.remember(found, span, data)
-                    else:
-                        kept = passes(only.value, found)
-                        for k in np.flatnonzero(kept).tolist():
-                            at = number == k
-                            text = data[slice(*span[k])].tobytes().decode("utf-8", "replace")
-                            owners_of, times = np.unique(doc[at], return_counts=True)
-                            for d, n in zip(owners_of.tolist(), times.tolist()):
-                                met.append((d, int(found[k]), text, n))
+                        pair, times = np.unique(doc * len(found) + number, return_counts=True)
+                        met.append((pair // len(found), found[pair % len(found)], times))
                         continue
-                    pair, times = np.unique(doc * len(found) + number, return_counts=True)
-                    met.append((pair // len(found), found[pair % len(found)], times))
+                    for k in np.flatnonzero(passes(only.value, found)).tolist():
+                        text = data[slice(*span[k])].tobytes().decode("utf-8", "replace")
+                        owners_of, times = np.unique(doc[number == k], return_counts=True)
+                        met += [(d, int(found[k]), text, n) for d, n in zip(owners_of.tolist(), times.tolist())]
                 if only is not None:
                     yield _as_rows(met, names, group_of)
                 elif met:
                     doc, digest, n = (np.concatenate(x) for x in zip(*met))
-                    # A digest counts once per document, also when it stands for several terms or in several pieces.
-                    order = np.lexsort((digest, doc))
-                    doc, digest, n = doc[order], digest[order], n[order]
-                    first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (digest[1:] != digest[:-1])))
-                    pool.add(group_of[doc[first]], digest[first], np.add.reduceat(n, first), np.ones(len(first), np.int64))
+                    if len(met) > 1 or bits < 64:  # pieces of one document, or terms that share a digest, count once
+                        order = np.lexsort((digest, doc))
+                        doc, digest, n = doc[order], digest[order], n[order]
+                        first = firsts(doc, digest)
+                        doc, digest, n = doc[first], digest[first], np.add.reduceat(n, first)
+                    pool.add(group_of[doc], digest, n, np.ones(len(doc), np.int64))
                     yield from pool.counts(names, POOL // 2)
-                    yield from pool.strings(WORDS)
+                    yield from pool.strings(POOL // 2)
         yield from pool.counts(names, 0)
         yield from pool.strings(0)
 
     return run
 
 
-def _as_rows(met: list[tuple], names: list[tuple], group_of: np.ndarray) -> pd.DataFrame:
+def _as_rows(met: list[tuple], names: list[tuple], group_of: np.ndarray) -> pa.RecordBatch:
     """Counts of single strings; one row per document and string."""
     total: dict[tuple, int] = {}
     for doc, digest, text, n in met:
         total[doc, digest, text] = total.get((doc, digest, text), 0) + n
     rows = [(*names[group_of[d]], digest, n, 1, text, text) for (d, digest, text), n in total.items()]
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in _COUNTS.split(", ")])
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    return _batch(*(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)))
 
 
 def whole(c: Column | str) -> Column:
@@ -209,7 +265,8 @@ def term_counts(texts: DataFrame, least_docs: int = LEAST_DOCS, bits: int = 64)
 
     ``texts`` has lang, source and text without nulls. ``split`` is empty for a digest of one term and that term's SHA-256 otherwise.
     """
-    parts = stored(map_slices(texts, _counted(bits), _COUNTS), "term-parts")
+    texts = texts.select("lang", "source", "text")
+    parts = stored(texts.mapInArrow(_counted(bits), _COUNTS), "term-parts")
     digests = parts.filter("low IS NULL").select("lang", "source", "digest", "n", "docs")
     counts = stored(digests.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "term-counts")
     often = counts.groupBy("lang", "digest").agg(F.sum("docs").alias("in_docs")).filter(F.col("in_docs") >= least_docs).select("lang", "digest")
@@ -222,14 +279,14 @@ def term_counts(texts: DataFrame, least_docs: int = LEAST_DOCS, bits: int = 64)
             yield df[passes(bits_of.value, df["digest"].to_numpy(np.int64))]
 
     words = parts.filter("low IS NOT NULL").select("digest", "low", "high").mapInPandas(known, "digest long, low string, high string")
-    words = words.join(once, "digest", "left_semi").groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    words = words.join(once, "digest", "left_semi").groupBy("digest").agg(F.min("low").alias("low"), F.max(F.coalesce("high", "low")).alias("high"))
     words = stored(words, "terms")
     counts = counts.join(often, ["lang", "digest"]).withColumn("split", F.lit(""))
     single = words.filter("low = high").select("digest", F.lit("").alias("split"), F.col("low").alias("item"))
     several = words.filter("low <> high").select("digest")
     if several.isEmpty():
         return counts.select("lang", "source", "digest", "split", "n", "docs"), single
-    again = map_slices(texts, _counted(bits, id_filter(several, "digest")), _COUNTS).join(several, "digest", "left_semi")
+    again = texts.mapInArrow(_counted(bits, id_filter(several, "digest")), _COUNTS).join(several, "digest", "left_semi")
     again = again.withColumn("split", F.sha2("low", 256)).groupBy("lang", "source", "digest", "split")
     again = stored(again.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("low").alias("item")), "term-splits")
     split = again.groupBy("digest", "split").agg(F.min("item").alias("item"))
