@@ -136,10 +136,22 @@ def test_pseudo_likelihood_prefers_what_it_has_seen(spark):
 
 def test_pseudo_likelihood_predicts_each_word(spark, monkeypatch):
     text = "red mid one end blue mid two end " * 20
-    near, far = pseudo_likelihood.window_counts(docs_of(spark, [(1, text)]).select("text"), np.sort(common.span_hashes(*_spans("red mid one end blue two"))))
-    shift = pseudo_likelihood.shifts(far)
-    weights = pseudo_likelihood.fit_weights(docs_of(spark, [(1, text)]).select("text"), np.sort(common.span_hashes(*_spans("red mid one end blue two"))), pseudo_likelihood.train(near), shift)
-    assert weights.max() > 0.1
+    texts, known = docs_of(spark, [(1, text)]).select("text"), np.sort(common.span_hashes(*_spans("red mid one end blue two")))
+    near, far, joint = pseudo_likelihood.window_counts(texts, known)
+    table = pseudo_likelihood.train(near)
+    expect = pseudo_likelihood.expected(joint, table)
+    assert np.allclose(expect.sum(2), far.sum(2), rtol=1e-3) and near.sum() == far[0].sum() == 160
+    cls = pseudo_likelihood.classes_of(*next(pseudo_likelihood._words([text]))[2:4], known)
+    brute = np.zeros_like(expect)
+    at = lambda i: cls[i] if 0 <= i < len(cls) else 0
+    for i in range(len(cls)):
+        for k, offset in enumerate(pseudo_likelihood.FAR):
+            brute[k, at(i + offset)] += np.exp(table[at(i - 1) * pseudo_likelihood.CLASSES + at(i + 1)])
+    assert np.allclose(expect, brute, rtol=1e-3, atol=1e-3)
+    # The word two places before tells one from two, the neighbours don't.
+    shift = pseudo_likelihood.shifts(far, expect)
+    one, two, red = cls[2], cls[6], cls[0]
+    assert shift[0, red, one] > 0.5 and shift[0, red, two] < -0.5
     many = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(400))
     docs = [(1, many), (2, many), (3, many.replace("waax", "wzzx")), (3, None), (None, many)]
     got = [{r.doc_id: r for r in pseudo_likelihood.score_documents(docs_of(spark, docs)).collect()}]
@@ -150,7 +162,7 @@ def test_pseudo_likelihood_predicts_each_word(spark, monkeypatch):
     for x in got:
         assert x[1].log_likelihood == pytest.approx(x[2].log_likelihood) and x[1].log_likelihood == pytest.approx(got[0][1].log_likelihood)
     by = {(r.doc_id, r.n_words): r.log_likelihood for r in rows}
-    assert by[3, 400] == pytest.approx(by[1, 400] + np.log(1 / 3), abs=1e-4)
+    assert by[3, 400] == pytest.approx(by[1, 400] + np.log(0.1 / 2.1), abs=1e-4)
 
 
 def _spans(text):

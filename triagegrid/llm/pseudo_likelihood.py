@@ -2,9 +2,10 @@
 
 Words belong to classes: the most frequent words have one each, all others share classes by their form. A network sees the classes
 beside a masked word and predicts its class; it is trained on how often each class stands between each pair of classes in all
-documents. Classes farther off shift that prediction by how much more often they go with a class than chance, with weights
-that are fitted to all words. The word itself is predicted given its class by its share of the class, from the counts of all words
-of the corpus, a table that stays in Spark. A document's score is the sum of the log-probabilities of all its words.
+documents. Classes farther off scale that prediction: for each place, by how much more often a class goes with one there than the network
+expects from the neighbours of the same words (a step of iterative scaling, from counts of all words). The word itself is predicted
+given its class by its share of the class among all other words of the corpus, the masked one left out, from a table that stays in
+Spark. A document's score is the sum of the log-probabilities of all its words.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ CLASSES, FORMS = 128, 31
 HIDDEN = 32
 EPOCHS = 60
 _FREQUENT = CLASSES - FORMS - 1
-#: Places of the farther classes, passes that fit their weights, the largest weight, and the largest shift of a log-probability.
-FAR, FITS, WEIGHT, SHIFT = (-2, 2), 2, 2.0, 8.0
+#: Places of the farther classes, the words by which their counts are smoothed, and the largest shift of a log-probability.
+FAR, SMOOTH, SHIFT = (-2, 2), 4.0, 8.0
+#: What every word of a class counts before the corpus is looked at.
+UNSEEN = 0.1
 #: The most frequent words whose shares each task holds; those of all others are joined. It changes speed, not results.
 HELD = 100_000
 
@@ -76,10 +79,11 @@ def frequent_words(counts: DataFrame) -> np.ndarray:
 
 
 def word_shares(counts: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Log of each word's share of its class: word, n, share. Words with a class of their own are left out, as theirs is 0."""
+    """Log of each word's share of its class, one occurrence left out: word, n, share. Words with a class of their own are left out."""
     rest = counts.filter(~F.col("word").isin(signed(frequent).tolist()))
-    whole = rest.groupBy("form").agg(F.sum("n").alias("whole"))
-    return rest.join(F.broadcast(whole), "form").select("word", "n", F.log(F.col("n") / F.col("whole")).alias("share"))
+    whole = rest.groupBy("form").agg(F.sum("n").alias("whole"), F.count("*").alias("kinds"))
+    share = (F.col("n") - 1 + UNSEEN) / (F.col("whole") - 1 + UNSEEN * F.col("kinds"))
+    return rest.join(F.broadcast(whole), "form").select("word", "n", F.log(share).alias("share"))
 
 
 def classes_of(words: np.ndarray, form: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -106,38 +110,72 @@ def _at(cls: np.ndarray, starts: np.ndarray, offset: int) -> np.ndarray:
     return np.where((at >= n[1]) & (at < n[0]), cls[np.clip(at, 0, max(len(cls) - 1, 0))], 0)
 
 
-def window_counts(texts: DataFrame, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How often each class stands between each pair of classes in all texts, and with each class at each of the places FAR."""
+def window_counts(texts: DataFrame, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """How often each class stands between each pair of classes in all texts, and with each class at each of the places FAR.
+
+    The third part has, in a table, how often each pair of neighbours goes with each class at a place: number of the place, pair, class
+    there, n. Each task adds its own counts.
+    """
     held = texts.sparkSession.sparkContext.broadcast(frequent)
-    cells = CLASSES**3 + len(FAR) * CLASSES**2
+    beside = CLASSES**3 + len(FAR) * CLASSES**2
+    cells = beside + len(FAR) * CLASSES**3
 
     def count(batches):
-        total = np.zeros(cells, np.int64)
+        total = np.zeros(cells, np.int32)
         for df in batches:
             for _, _, words, form, starts in _words(df["text"].tolist()):
                 if len(words):
                     cls = classes_of(words, form, held.value)
                     before, after = _contexts(cls, starts)
-                    at, n = np.unique((before * CLASSES + after) * CLASSES + cls, return_counts=True)
-                    total[at] += n
+                    pair = before * CLASSES + after
+                    found = [pair * CLASSES + cls]
                     for i, offset in enumerate(FAR):
-                        begin = CLASSES**3 + i * CLASSES**2
-                        total[begin : begin + CLASSES**2] += np.bincount(_at(cls, starts, offset) * CLASSES + cls, minlength=CLASSES**2)
+                        far = _at(cls, starts, offset)
+                        found += [CLASSES**3 + i * CLASSES**2 + far * CLASSES + cls, beside + i * CLASSES**3 + pair * CLASSES + far]
+                    for at in found:
+                        at, n = np.unique(at, return_counts=True)
+                        total[at] += n.astype(np.int32)
         at = np.flatnonzero(total)
         for begin in range(0, len(at), 200_000):
-            yield pd.DataFrame({"at": at[begin : begin + 200_000], "n": total[at[begin : begin + 200_000]]})
+            yield pd.DataFrame({"at": at[begin : begin + 200_000].astype(np.int32), "n": total[at[begin : begin + 200_000]]})
+
+    rows = stored(map_slices(texts, count, "at int, n int"), "windows")
+    found = rows.filter(F.col("at") < beside).groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(beside)
+    out[found["at"].to_numpy()] = found["n"].to_numpy()
+    near, far = out[: CLASSES**3].reshape(CLASSES * CLASSES, CLASSES), out[CLASSES**3 :].reshape(len(FAR), CLASSES, CLASSES)
+    return near, far, rows.filter(F.col("at") >= beside).select((F.col("at") - beside).alias("at"), "n")
 
-    rows = map_slices(texts, count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(cells)
-    out[rows["at"].to_numpy()] = rows["n"].to_numpy()
-    return out[: CLASSES**3].reshape(CLASSES * CLASSES, CLASSES), out[CLASSES**3 :].reshape(len(FAR), CLASSES, CLASSES)
 
+def expected(joint: DataFrame, table: np.ndarray) -> np.ndarray:
+    """How often the network expects each class with each class at each of the places FAR."""
+    held = joint.sparkSession.sparkContext.broadcast(table)
+    size = len(FAR) * CLASSES
+
+    def add(batches):
+        share, total = np.exp(held.value), np.zeros((size, CLASSES))
+        for df in batches:
+            at, n = df["at"].to_numpy(np.int64), df["n"].to_numpy(np.float32)
+            row = at // CLASSES**3 * CLASSES + at % CLASSES
+            order = np.argsort(row, kind="stable")
+            edge = np.searchsorted(row[order], np.arange(size + 1))
+            for k in np.flatnonzero(np.diff(edge)):
+                own = order[edge[k] : edge[k + 1]]
+                total[k] += n[own] @ share[at[own] % CLASSES**3 // CLASSES]
+        yield pd.DataFrame({"place": np.arange(size), "total": total.tolist()})
 
-def shifts(far: np.ndarray) -> np.ndarray:
-    """Log of how much more often than by chance a class goes with one at each of the places FAR, smoothed."""
-    share = (far.sum(1, keepdims=True) + 1) / (far.sum(1, keepdims=True) + 1).sum(2, keepdims=True)
-    found = (far + 4 * share) / (far.sum(2, keepdims=True) + 4)
-    return np.clip(np.log(found / share), -SHIFT, SHIFT).astype(np.float32)
+    rows = joint.mapInPandas(add, "place int, total array<double>")
+    rows = rows.select("place", F.posexplode("total").alias("cls", "n")).groupBy("place", "cls").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros((size, CLASSES))
+    out[rows["place"].to_numpy(), rows["cls"].to_numpy()] = rows["n"].to_numpy()
+    return out.reshape(len(FAR), CLASSES, CLASSES)
+
+
+def shifts(far: np.ndarray, expect: np.ndarray) -> np.ndarray:
+    """Log of how much more often than the network expects a class goes with one at each of the places FAR, smoothed."""
+    expect = expect + 1e-6
+    prior = SMOOTH * expect / expect.sum(2, keepdims=True)
+    return np.clip(np.log((far + prior) / (expect + prior)), -SHIFT, SHIFT).astype(np.float32)
 
 
 def _parts(cls: np.ndarray, starts: np.ndarray, table: np.ndarray, size: int = 4096):
@@ -149,42 +187,6 @@ def _parts(cls: np.ndarray, starts: np.ndarray, table: np.ndarray, size: int = 4
         yield piece, table[pair[piece]], [x[piece] for x in far]
 
 
-def fit_weights(texts: DataFrame, frequent: np.ndarray, table: np.ndarray, shift: np.ndarray) -> np.ndarray:
-    """Weights of the places FAR, by Newton steps whose sums run over all words of all texts."""
-    weights = np.zeros(len(FAR))
-    k = len(FAR)
-    for _ in range(FITS):
-        held = texts.sparkSession.sparkContext.broadcast((frequent, table, shift, weights.astype(np.float32)))
-
-        def sums(batches, held=held):
-            known, table, shift, weight = held.value
-            total = np.zeros(k + k * k)
-            for df in batches:
-                for _, _, words, form, starts in _words(df["text"].tolist()):
-                    cls = classes_of(words, form, known)
-                    for piece, p, far in _parts(cls, starts, table) if len(cls) else ():
-                        moved = [s[x] for s, x in zip(shift, far)]
-                        for w, m in zip(weight, moved):
-                            p += w * m
-                        np.exp(p, out=p)
-                        p /= p.sum(1, keepdims=True)
-                        at = np.arange(len(p)), cls[piece]
-                        weighed = [p * m for m in moved]
-                        mean = [x.sum(1, dtype=np.float64) for x in weighed]
-                        for i in range(k):
-                            total[i] += (moved[i][at] - mean[i]).sum()
-                            for j in range(k):
-                                total[k + i * k + j] += np.einsum("ij,ij->i", weighed[i], moved[j]).sum(dtype=np.float64) - mean[i] @ mean[j]
-            yield pd.DataFrame({"place": np.arange(len(total)), "total": total})
-
-        rows = map_slices(texts, sums, "place int, total double").groupBy("place").agg(F.sum("total").alias("total")).collect()
-        total = np.zeros(k + k * k)
-        for r in rows:
-            total[r["place"]] = r["total"]
-        weights = np.round(np.clip(weights + np.linalg.solve(total[k:].reshape(k, k) + np.eye(k), total[:k]), 0, WEIGHT), 6)
-    return weights
-
-
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(1, keepdims=True)
     return x - np.log(np.exp(x).sum(1, keepdims=True))
@@ -234,10 +236,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     frequent = frequent_words(counts)
     shares = word_shares(counts, frequent)
     top = shares.orderBy(F.desc("n"), "word").limit(HELD).select("word", "share").toPandas().sort_values("word")
-    near, far = window_counts(texts, frequent)
-    table, shift = train(near), shifts(far)
-    weights = fit_weights(texts, frequent, table, shift)
-    shift = shift * weights.astype(np.float32)[:, None, None]
+    near, far, joint = window_counts(texts, frequent)
+    table = train(near)
+    shift = shifts(far, expected(joint, table))
     held = spark.sparkContext.broadcast((frequent, table, shift, top["word"].to_numpy(np.int64), top["share"].to_numpy(np.float64)))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
