@@ -1,14 +1,17 @@
 """N-gram Jaccard join by vertical partitioning.
 
-The global order of shingles puts light ones first, by hash, and those that repeat much last, by how often they do. It is
-cut into fragments: light shingles by hash range, repeated ones by rank. Two texts that link must share one of the first
-shingles of their sets in this order, so candidates come from those; the overlap of a candidate pair is counted in every
-fragment separately and summed per pair.
+The global order of shingles puts light ones first, by hash, and those that many texts hold last, by how many do. How many is estimated
+from the classes whose hash falls into a fixed share, which covers all data and every frequency alike, and kept as a sketch of logarithms of
+fixed size; an estimate that is off only moves a shingle within the order. The order is cut into fragments: light shingles by hash
+range, and the rest. Two texts that link must share one of the first shingles of their sets in this order, so candidates
+come from those; the overlap of a candidate pair is counted in every fragment separately and summed per pair.
 
 Texts with equal sets are one class, which stands for its copies from the start. Classes that share a leading shingle are first
 paired with one hub of the shingle, and then, for a few rounds, those outside its largest component with one member of that,
-taken among those that have most of their leading shingles in common with others; all this is linear in the rows. Only where a shingle is then still shared by several components are their classes paired across components. So no link between components is lost and a large group of
-near copies needs no pairs within itself.
+taken among those that have most of their leading shingles in common with others; all this is linear in the rows. Only where a shingle
+is then still shared by several components are their classes paired across components. A passage has many shingles that the same classes
+share; these make each pair once, at the first of them. So no link between components is lost and a large group of near copies needs
+no pairs within itself.
 
 Each class carries the parities of its shingles' counts in MARKS cells. Cells in which two sets differ are at most as many as
 the shingles that only one of them has, so they bound the overlap from above; candidates below the bound never fetch their sets.
@@ -30,15 +33,16 @@ from triagegrid.llm.common import id_filter, map_slices, mix, passes, shingle_se
 
 SIZE = 5
 SHARE = 75
-#: Shingles met so often within one task are counted as repeated; they only move within the global order.
-REPEATED = 3
-ORDERED = 200_000
+#: Of this many classes one counts for the order, and shingles that fewer of those hold are light.
+ONE_IN, REPEATED = 8, 2
+#: Cells of the sketch of frequencies, a byte each.
+SKETCH = 1 << 21
 LIGHT_FRAGMENTS = 4
 #: Rounds in which classes outside the largest component of a shingle try one of its members each, before all pairs across are taken.
 TRIES = 2
 #: Cells of the parities of a set; more cells tell larger sets apart.
 MARKS = 1024
-_POOL = 2_000_000
+_POOL = 1_000_000
 
 
 def least_overlap(n: int, share: int) -> int:
@@ -73,11 +77,10 @@ def sets_of(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
 
 
 def _read_sets(size: int) -> Callable:
-    """Rows for each text (id, set size, class, parities) and for each shingle repeated in a task (hash, count)."""
+    """Rows for each text (id, set size, class, parities) and for each shingle of the classes that count for the order (hash, classes)."""
 
-    def repeated(pool: list[np.ndarray]) -> pd.DataFrame:
+    def counted(pool: list[np.ndarray]) -> pd.DataFrame:
         x, n = np.unique(np.concatenate(pool), return_counts=True)
-        x, n = x[n >= REPEATED], n[n >= REPEATED]
         return pd.DataFrame({"doc_id": signed(x), "n": n.astype(np.int64), "cls": 0, "kind": 1, "marks": None})
 
     def run(batches):
@@ -88,36 +91,34 @@ def _read_sets(size: int) -> Callable:
                 n.append(len(x))
                 cls.append(signature(x))
                 marks.append(marks_of(x))
-                if cls[-1] not in seen:
+                if cls[-1] % ONE_IN == 0 and cls[-1] not in seen:
                     pool.append(x)
                     pooled += len(x)
                     seen.add(cls[-1])
                 if pooled > _POOL:
-                    yield repeated(pool)
+                    yield counted(pool)
                     pool, pooled, seen = [], 0, set()
             yield pd.DataFrame({"doc_id": df["doc_id"], "n": n, "cls": cls, "kind": 0, "marks": marks})
         if pooled:
-            yield repeated(pool)
+            yield counted(pool)
 
     return run
 
 
 class Order:
-    """The global order: light shingles by hash, then repeated ones by rank."""
+    """The global order: by level, which is 0 for light shingles and grows with the logarithm of the frequency, then by hash."""
 
-    def __init__(self, spark, repeated: list[tuple[int, int]]):
-        shingle = np.array([h for h, _ in repeated], np.int64).view(np.uint64)
-        rank = np.argsort(np.argsort(np.array([n for _, n in repeated]), kind="stable"), kind="stable")
-        by = np.argsort(shingle)
-        self.held = spark.sparkContext.broadcast((shingle[by], rank[by].astype(np.int64)))
+    def __init__(self, counted: DataFrame):
+        """``counted`` has shingles and how many classes of the share hold them; SKETCH bytes reach the driver."""
+        often = counted.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= REPEATED)
+        level = F.least(F.lit(255), F.floor(8 * F.log2("n"))).cast("int")
+        cells = often.groupBy(F.pmod("shingle", F.lit(SKETCH)).cast("int").alias("cell")).agg(F.max(level).alias("level")).toArrow()
+        levels = np.zeros(SKETCH, np.uint8)
+        levels[cells["cell"].to_numpy()] = cells["level"].to_numpy().astype(np.uint8)
+        self.held = counted.sparkSession.sparkContext.broadcast(levels)
 
-    def rank(self, shingles: np.ndarray) -> np.ndarray:
-        """-1 for light shingles."""
-        known, rank = self.held.value
-        if not len(known):
-            return np.full(len(shingles), -1)
-        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-        return np.where(known[at] == shingles, rank[at], -1)
+    def level(self, shingles: np.ndarray) -> np.ndarray:
+        return self.held.value[(shingles % np.uint64(SKETCH)).astype(np.int64)]
 
 
 def _leading(size: int, share: int, order: Order) -> Callable:
@@ -142,11 +143,11 @@ def _leading(size: int, share: int, order: Order) -> Callable:
                 if len(seen) >= 100_000:
                     seen.clear()
                 seen.add(s)
-                rank = order.rank(x)
-                first = np.lexsort((x, rank))[: n - least_overlap(n, share) + 1]
+                level = order.level(x)
+                first = np.argsort(level, kind="stable")[: n - least_overlap(n, share) + 1]  # sets are sorted by hash
                 room = np.arange(n, n - len(first), -1, dtype=np.int32)
                 room[room < least_shared(n, n, share)] *= -1
-                parts.append((x[first], np.full(len(first), s, np.int64), rank[first] >= 0, room))
+                parts.append((x[first], np.full(len(first), s, np.int64), level[first] > 0, room))
                 held += len(first)
                 if held > 500_000:
                     yield rows(parts)
@@ -167,8 +168,7 @@ def _segments(size: int, order: Order, bits, first: bool) -> Callable:
                 part = df.iloc[begin : begin + 200]
                 out = []
                 for doc, x in zip(part["doc_id"].tolist(), sets_of(part["text"].tolist(), size)):
-                    rank = order.rank(x)
-                    piece = np.where(rank < 0, (x >> np.uint64(62)).astype(np.int64) % LIGHT_FRAGMENTS, LIGHT_FRAGMENTS)
+                    piece = np.where(order.level(x) == 0, (x >> np.uint64(62)).astype(np.int64) % LIGHT_FRAGMENTS, LIGHT_FRAGMENTS)
                     out += [(doc, int(f), signed(x[piece == f])) for f in np.unique(piece) if (f == 0) == first]
                 yield pd.DataFrame(out, columns=["doc_id", "fragment", "shingles"])
 
@@ -244,18 +244,29 @@ def components(edges: DataFrame) -> DataFrame:
         labels = found.select("doc_id", "component")
 
 
+def _one_of_equal_keys(rows: DataFrame) -> DataFrame:
+    """Rows (key, cls, room, more) of one key for all keys that the same classes share, with the room of each class at the first of them.
+
+    The order is one for all, so the first such key is the first for every class, and what a pair could share from there on bounds it.
+    """
+    rows = rows.groupBy(*[c for c in rows.columns if c != "room"]).agg(F.max_by("room", F.abs("room")).alias("room"))
+    rows = stored(rows, "open")
+    sums = [F.bit_xor(F.xxhash64("cls", F.lit(seed))).alias(f"s{seed}") for seed in (1, 2)]
+    alike = rows.groupBy("key").agg(F.count("*").alias("classes"), *sums, F.max(F.abs("room")).alias("reach"))
+    alike = alike.groupBy("classes", "s1", "s2").agg(F.max_by("key", F.struct("reach", "key")).alias("key"))
+    return rows.join(alike.select("key"), "key", "left_semi")
+
+
 def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     Null and empty texts have no shingles and link with nothing. Repeated texts are one class, so they link. Rows without an id
     are dropped; a row given twice comes out twice. No rows give no rows. Other columns are not looked at.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
     first = stored(map_slices(texts, _read_sets(size), "doc_id long, n long, cls long, kind int, marks array<long>"), "sets")
     sets = first.filter("kind = 0").select("doc_id", "n", "cls")
-    repeated = first.filter("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n"))
-    order = Order(spark, [tuple(r) for r in repeated.orderBy(F.desc("n"), "doc_id").limit(ORDERED).collect()])
+    order = Order(first.filter("kind = 1").select(F.col("doc_id").alias("shingle"), "n"))
     of_set = first.filter("kind = 0 AND n > 0").groupBy("cls", "n")
     classes = stored(of_set.agg(F.min("doc_id").alias("doc_id"), F.any_value("marks").alias("marks")), "classes")
     marks = classes.select("doc_id", "n", "marks")
@@ -314,7 +325,7 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
         found = stored(found.union(links(now, texts, marks, size, share, order)), "links")
         joined = components(found)
 
-    rows = placed(joined)
+    rows = _one_of_equal_keys(placed(joined))
     p = rows.select("key", F.col("cls").alias("p"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("room").alias("r"))
     q = rows.select("key", F.col("cls").alias("q"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("room").alias("t"))
     fit = (100 * F.least("m", "k") >= share * F.greatest("m", "k")) & (F.greatest("r", "t") > 0)
