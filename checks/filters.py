@@ -158,7 +158,8 @@ def team_allow_list(t):
     "SELECT orderid FROM trouble_ticket WHERE faultrecoverytime_ IS NULL OR year(faultrecoverytime_) = 1970",
 )
 def not_recovered(t):
-    return t["trouble_ticket"].where(P.not_recovered("faultrecoverytime_")).select("orderid")
+    tt = t["trouble_ticket"]
+    return tt.where(P.not_recovered(tt, "faultrecoverytime_")).select("orderid")
 
 
 @check(

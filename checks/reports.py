@@ -5,13 +5,14 @@ from __future__ import annotations
 from checks.base import AS_OF, END, EVENT_END, EVENT_START, FIRST_YEAR, START, check, local, one_of, rounded, stripped
 from checks.scalars import AREA_CASE, GROUPED, TECH_CASE, sql_rules
 from triagegrid.functions import fixed
+from triagegrid.operators.pivots import row_counts
 from triagegrid.plans import pending_work as W
 from triagegrid.plans import r2_pending_outages as R2
 from triagegrid.plans import r7_team_daily as R7
 from triagegrid.plans.r1_adhoc_sdt import adhoc_sdt_tickets
 from triagegrid.plans.r3_daily_tickets import daily_tickets
 from triagegrid.plans.r6_missing_cause import missing_cause
-from triagegrid.session import stored
+from triagegrid.session import new_path
 from triagegrid.sources.sinks import as_of_rows
 
 _PEOPLE = "(SELECT * FROM user_dim WHERE active = 1 AND user_default_group IS NOT NULL)"
@@ -154,9 +155,8 @@ def _detail(t):
     return W.prepared(t, AS_OF, FIRST_YEAR)
 
 
-def _stored_detail(t):
-    """The detail written once before its pivots, as the whole report does; here only the columns the grids read."""
-    return stored(_detail(t).select(*W.GRID_COLUMNS), "pending-detail")
+def _cells(t):
+    return W.pending_lattice(_detail(t))
 
 
 def _with_detail(rest: str) -> str:
@@ -182,7 +182,7 @@ def _down_grid() -> str:
 
 @check("r5b_site_down_grid", _down_grid())
 def r5b(t):
-    return W.site_down_grid(_detail(t))
+    return W.site_down_grid(_cells(t))
 
 
 @check(
@@ -208,8 +208,7 @@ def r5c(t):
         LEFT JOIN m ON m.g = x.g""",
 )
 def r5d(t):
-    detail = _stored_detail(t)
-    return rounded(W.workgroup_grid(detail, W.unique_sites(detail), AS_OF), "Average (Hrs)")
+    return rounded(W.workgroup_grid(_cells(t), W.unique_sites(_detail(t)), AS_OF), "Average (Hrs)")
 
 
 STATUSES = ["EscalatedtoVendor", "New", "Pending", "Resovled", "WIP"]
@@ -235,7 +234,7 @@ _MEASURES = (
         FROM (VALUES ('SA'), ('PSA'), ('All')) x(k) LEFT JOIN m ON m."Service Affecting Type" = x.k""",
 )
 def r5e(t):
-    return rounded(W.severity_grid(_stored_detail(t), STATUSES), "With FRT Average (Hrs)", "Average (Hrs)")
+    return rounded(W.severity_grid(_cells(t), STATUSES), "With FRT Average (Hrs)", "Average (Hrs)")
 
 
 @check(
@@ -248,7 +247,21 @@ def r5e(t):
         CROSS JOIN (VALUES ('SA'), ('PSA')) x(k) LEFT JOIN m ON m."Workgroup" = w.g AND m."Service Affecting Type" = x.k""",
 )
 def r5f(t):
-    return rounded(W.workgroup_severity_grid(_stored_detail(t), STATUSES), "With FRT Average (Hrs)", "Average (Hrs)")
+    return rounded(W.workgroup_severity_grid(_cells(t), STATUSES), "With FRT Average (Hrs)", "Average (Hrs)")
+
+
+@check(
+    "r5_pending_report",
+    f"""WITH grouped AS ({GROUPED}), d AS MATERIALIZED ({PREPARED}) {_SITES}
+        SELECT 'All Raw Data' AS dataset, count(*) AS rows FROM d UNION ALL SELECT 'Unique Sites', count(*) FROM sites
+        UNION ALL SELECT 'Per Technology', 6 UNION ALL SELECT 'Per Severity', 3
+        UNION ALL SELECT 'Per Resolving Team', 1 + count(DISTINCT "Workgroup") FILTER (WHERE "Workgroup" <> 'NOC') FROM d
+        UNION ALL SELECT 'Per Workgroup and Severity', 2 * count(DISTINCT "Workgroup") FILTER (WHERE "Workgroup" <> 'NOC') FROM d""",
+)
+def r5(t):
+    """The whole report, written; the rows of each of its datasets."""
+    written = W.write_pending_report(t, new_path(t.spark, "pending-report"), AS_OF, first_year=FIRST_YEAR)
+    return row_counts({name: t.spark.read.parquet(path) for name, path in written.items()})
 
 
 def _nvl(c: str) -> str:

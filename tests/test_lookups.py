@@ -245,4 +245,37 @@ def test_title_patterns(spark):
 def test_not_recovered(spark):
     df = frame(spark, [("null", None), ("epoch", "1970-01-01 00:00:00"), ("real", "2021-01-01 00:00:00")], "n STRING, t STRING")
     df = df.select("n", F.col("t").cast("timestamp").alias("t"))
-    assert rows_of(df.where(predicates.not_recovered("t")).select("n")) == [("epoch",), ("null",)]
+    assert rows_of(df.where(predicates.not_recovered(df, "t")).select("n")) == [("epoch",), ("null",)]
+
+
+def test_years_of_recovery_are_bounds_of_a_stored_column(spark, tmp_path):
+    times = ["1969-12-31 23:59:59", "1970-01-01 00:00:00", "1970-12-31 15:59:59", "1970-12-31 16:00:00", "1971-01-01 00:00:00", None]
+    df = frame(spark, [(t,) for t in times], "s STRING").select("s", F.col("s").cast("timestamp").alias("t"))
+    df.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    stored = df.where(predicates.not_recovered(df, "t"))
+    assert [r.s for r in stored.orderBy("s").collect()] == [None, *times[1:4]]
+    assert [r.s for r in df.where(predicates.not_recovered(df, "t", "Asia/Manila")).orderBy("s").collect()] == [None, *times[:3]]
+    plan = stored._jdf.queryExecution().toString()
+    assert "PushedFilters: [Or(IsNull(t),And(GreaterThanOrEqual(t," in plan and "year(" not in plan
+
+
+def test_stacked_lookups_equal_single_ones(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice([1, 2, 3, 9, None]), rng.choice(["a", "b", "zz", None]), rng.choice([1, 1, 1, 2])) for i in range(200)]
+    df = frame(spark, rows, "i BIGINT, k BIGINT, t STRING, h INT")
+    numbers = frame(spark, [(1, "one"), (2, "two"), (2, "deux"), (None, "none"), (3, None)], "id BIGINT, label STRING")
+    texts = frame(spark, [("a", "A"), ("b", "B"), ("1", "no number")], "id STRING, label STRING")
+    got = L.stacked_lookups(df, "i", [
+        L.Ask("n", "k", numbers, "id", "label"), L.Ask("m", F.col("h"), numbers, "id", "label"), L.Ask("x", "t", texts, "id", "label"),
+        L.Ask("strict", F.when(F.col("k") != 2, F.col("k")), numbers, "id", "label", strict=True),
+    ])
+    want = L.lookup(df, "k", numbers, "id", "label", "n")
+    want = L.lookup(want, F.col("h"), numbers, "id", "label", "m")
+    want = L.lookup(want, "t", texts, "id", "label", "x")
+    want = L.lookup(want, F.when(F.col("k") != 2, F.col("k")), numbers, "id", "label", "strict")
+    assert got.columns == want.columns and rows_of(got) == rows_of(want)
+    with pytest.raises(Exception, match="more than one label for 2"):
+        L.stacked_lookups(df, "i", [L.Ask("s", "k", numbers, "id", "label", strict=True)]).collect()
+    doubled = L.stacked_lookups(df.withColumn("i", F.lit(1).cast("bigint")), "i", [L.Ask("n", "k", numbers, "id", "label")])
+    assert rows_of(doubled.select("k", "n")) == rows_of(L.lookup(df, "k", numbers, "id", "label", "n").select("k", "n"))

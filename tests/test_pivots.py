@@ -141,3 +141,28 @@ def test_group_mean_and_row_counts(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None), (None, 5.0)], "k STRING, v DOUBLE")
     assert rows_of(P.group_mean(df, "k", "v")) == [("a", 1.5)]
     assert rows_of(P.row_counts({"x": df, "none": df.where("false")})) == [("none", 0), ("x", 4)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_lattice_gives_what_the_detail_gives(spark, seed):
+    df = spark.createDataFrame(sample(seed, 200), SCHEMA)
+    cells = P.lattice(df, ["area", "kind", "tech"], ["ticket"], ["hours"])
+    assert cells.frame.count() == df.select("area", "kind", "tech").distinct().count() < 200
+    fast = F.col("tech") == "5G"
+    measures = [P.Measure("n", "count", "ticket"), P.Measure("n5", "count", "ticket", fast), P.Measure("h", "mean", "hours"), P.Measure("h5", "mean", "hours", fast)]
+    for make in (
+        lambda x: P.with_total(x, ["area"], measures),
+        lambda x: P.with_total(x, ["area", "kind"], measures, require=["tech"]),
+        lambda x: P.with_inner_rows(x, "area", "kind", ["SA", "PSA"], measures, exclude=["NL"]),
+        lambda x: P.pivot_with_total(x, ["area"], "tech", "ticket", "count"),
+        lambda x: P.pivot_with_total(x, ["area", "kind"], "tech", "hours", "mean", ["2G", "9G"]),
+        lambda x: P.distinct_axis(x, "kind"),
+    ):
+        ours, theirs = rows_of(make(cells)), rows_of(make(df))
+        assert len(ours) == len(theirs)
+        for a, b in zip(ours, theirs):
+            assert all(x == y or x == pytest.approx(y) for x, y in zip(a, b)), (a, b)
+    none = cells.where(F.lit(False))
+    assert P.with_total(none, ["area"], measures).collect() == [] and P.axis_values(none, "tech") == []
+    with pytest.raises(ValueError, match="no mean of ticket"):
+        P.with_total(cells, ["area"], [P.Measure("x", "mean", "ticket")])

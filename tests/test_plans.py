@@ -11,7 +11,9 @@ from checks import QUERIES
 from triagegrid.analog import Tables
 from triagegrid.operators import dedupe, lists, lookups, pivots
 from triagegrid.plans import r7_team_daily as R7
+from triagegrid.plans.r1_adhoc_sdt import adhoc_sdt_tickets
 from triagegrid.plans.r3_daily_tickets import daily_tickets
+from triagegrid.plans.r6_missing_cause import missing_cause
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -142,3 +144,21 @@ def test_snapshot_reads_one_day(spark, tmp_path):
         spark.range(3).withColumn("asof", F.lit(day)).write.mode("append").partitionBy("asof").parquet(path)
     text = plan(spark.read.parquet(path).where(F.col("asof") == "2021-12-10"))
     assert re.search(r"PartitionFilters: \[.*asof", text)
+
+
+REPORTS = {
+    "description_": lambda t: daily_tickets(t, "1999-03-01 00:00:00", "1999-04-01 00:00:00"),
+    "details_": lambda t: adhoc_sdt_tickets(t, "1"),
+    "subcausethree_": missing_cause,
+}
+
+
+@pytest.mark.parametrize("column", REPORTS)
+def test_wide_rows_are_shuffled_by_their_own_id_only(spark, no_broadcast, column):
+    """Exchanges that carry a column which only the report shows: by ticket, by ticket and part of a fan-out, and the final sort."""
+    text = plan(REPORTS[column](Tables(spark, FOLDER)))
+    nodes = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: (\w+)\((.*?)\), ENSURE", text)
+    wide = [(kind, re.sub(r"#\d+L?", "", keys)) for columns, kind, keys in nodes if re.search(rf"\b{column}#", columns)]
+    by_hash = [re.sub(r", \d+$", "", keys) for kind, keys in wide if kind == "hashpartitioning"]
+    assert len(nodes) > 6 and len(by_hash) <= 2 and set(by_hash) <= {"ticketid", "__key, __part"}
+    assert len(wide) - len(by_hash) == 1

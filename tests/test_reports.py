@@ -119,6 +119,13 @@ def test_outages(desk):
     assert grid["TOTAL"]["TOTAL"] == 2 and grid["MM"]["TOTAL"] is None
 
 
+def test_outage_report_is_written(spark, desk, tmp_path):
+    paths = R2.write_pending_outages(desk, str(tmp_path))
+    read = {name: spark.read.parquet(path) for name, path in paths.items()}
+    lazy = R2.pending_outages(desk)
+    assert set(read) == set(lazy) and all(rows_of(read[n]) == rows_of(lazy[n]) for n in read)
+
+
 def test_daily_tickets(desk):
     rows = daily_tickets(desk, *DAY).collect()
     assert len(rows[0]) == 27
@@ -205,9 +212,9 @@ def test_empty_inputs(empty_desk):
     assert R2.outage_grid(R2.outage_tickets(empty_desk)).count() == 6
     assert daily_tickets(empty_desk, *DAY).count() == 0
     assert W.pending_flat(empty_desk, AS_OF).count() == 0
-    detail = W.prepared(empty_desk, AS_OF)
-    assert W.severity_grid(detail, ["New"]).count() == 3
-    assert W.workgroup_severity_grid(detail, ["New"]).count() == 0
+    cells = W.pending_lattice(W.prepared(empty_desk, AS_OF))
+    assert W.severity_grid(cells, ["New"]).count() == 3 and W.site_down_grid(cells).count() == 6
+    assert W.workgroup_severity_grid(cells, ["New"]).count() == 0
     assert missing_cause(empty_desk).count() == 0
     for df in R7.team_daily(empty_desk, *DAY).values():
         assert df.count() == 0

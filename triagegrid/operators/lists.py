@@ -135,30 +135,20 @@ def backfilled_parent(
     return joined.withColumn(order_col, F.coalesce(as_col(order_col), F.col("__found"), F.lit(""))).drop("__found")
 
 
-def resolve_id_lists(
-    df: DataFrame,
-    columns: list[str],
-    groups: DataFrame,
-    users: DataFrame,
-    prefixes: dict[str, list[str]] | None = None,
-    sep: str = ";",
-) -> DataFrame:
-    """Turn ``;`` lists of ids into ``;`` lists of names, order kept; an id is a group first and a user otherwise.
+def list_key(column: str, prefixes: list[str] | None = None, sep: str = ";") -> Column:
+    """The text of an id list without its prefixes; null for a text without the separator."""
+    text = as_col(column)
+    for prefix in prefixes or []:
+        text = F.replace(text, F.lit(prefix), F.lit(""))
+    return F.when(F.contains(as_col(column), F.lit(sep)), text)
 
-    Unknown ids ahead of the first known one vanish, later ones leave an empty slot. Texts without the separator stay
-    as they are. Only the distinct list texts are resolved, so a text that fills many rows is worked on once.
-    """
-    prefixes = prefixes or {}
 
-    def ids(c: str) -> Column:
-        text = as_col(c)
-        for prefix in prefixes.get(c, []):
-            text = F.replace(text, F.lit(prefix), F.lit(""))
-        return F.when(F.contains(as_col(c), F.lit(sep)), text)
+def list_names(lists: DataFrame, groups: DataFrame, users: DataFrame, sep: str = ";") -> DataFrame:
+    """(ids, text): the names of each distinct id list of the one column of ``lists``; an id is a group first and a user otherwise.
 
-    flagged = df.withColumns({f"__ids_{i}": ids(c) for i, c in enumerate(columns)})
-    stacked = df.select(F.explode(F.array(*[ids(c) for c in columns])).alias("ids"))
-    texts = stacked.where(F.col("ids").isNotNull()).distinct()
+    Unknown ids ahead of the first known one vanish, later ones leave an empty slot. A text that fills many rows is worked on once.
+    """
+    texts = lists.toDF("ids").where(F.col("ids").isNotNull()).distinct()
     single = texts.select("ids", F.posexplode(list_items("ids", sep)).alias("pos", "item")).withColumn(
         "id", F.trim("item").try_cast("long")
     )
@@ -168,9 +158,21 @@ def resolve_id_lists(
     named = left_by_key(named, "id", user_names, "__k", {"__v": "user_name"}, ["ids", "pos"])
     slot = F.struct("pos", F.coalesce("group_name", "user_name", F.lit("")).alias("name"))
     slots = F.transform(F.array_sort(F.collect_list(slot)), lambda s: s["name"])
-    resolved = named.groupBy("ids").agg(slots.alias("slots")).select("ids", _join_slots(F.col("slots"), sep).alias("text"))
+    return named.groupBy("ids").agg(slots.alias("slots")).select("ids", _join_slots(F.col("slots"), sep).alias("text"))
 
-    out = flagged
+
+def resolve_id_lists(
+    df: DataFrame,
+    columns: list[str],
+    groups: DataFrame,
+    users: DataFrame,
+    prefixes: dict[str, list[str]] | None = None,
+    sep: str = ";",
+) -> DataFrame:
+    """Turn ``;`` lists of ids into ``;`` lists of names, order kept, as ``list_names`` does; other texts stay as they are."""
+    keys = {c: list_key(c, (prefixes or {}).get(c), sep) for c in columns}
+    resolved = list_names(df.select(F.explode(F.array(*keys.values()))), groups, users, sep)
+    out = df.withColumns({f"__ids_{i}": k for i, k in enumerate(keys.values())})
     for i, c in enumerate(columns):
         out = left_by_key(out, f"__ids_{i}", resolved, "ids", {"text": f"__text_{i}"}, df.columns[:2])
     changed = {c: F.coalesce(F.col(f"__text_{i}"), as_col(c)) for i, c in enumerate(columns)}

@@ -6,6 +6,9 @@ is below ``spark.sql.autoBroadcastJoinThreshold``, and sort-merges it otherwise.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,6 +143,57 @@ def lookup(
     return found.withColumn(out, F.when(F.col("__several"), error).otherwise(as_col(out))).drop("__several")
 
 
+@dataclass(frozen=True)
+class Ask:
+    """One lookup of a row: the column ``out`` gets the dimension's text for ``key``; ``strict`` as in ``lookup``."""
+
+    out: str
+    key: Column | str
+    dim: DataFrame
+    dim_key: str
+    value: str
+    strict: bool = False
+
+
+def stacked_lookups(df: DataFrame, row_id: str, asks: list[Ask]) -> DataFrame:
+    """Several lookups of the same rows at once; the wide rows themselves are shuffled by their own id only.
+
+    Every foreign key of a row becomes a narrow row (id, dimension, key). The dimensions are stacked, one value per key, and met by
+    the narrow rows in one join, whose two sides have exchanges of their own, so that a hot key can be split. What a row has found
+    comes back to it in one map by its id, which further joins on that id share. Values are texts; of several the smallest is
+    taken. Null keys ask nothing. ``row_id`` is never null; rows that share one are told apart by their keys.
+    """
+    dims: dict[tuple, int] = {}
+    at = [dims.setdefault((id(a.dim), a.dim_key, a.value), len(dims)) for a in asks]
+    made = {}
+    for a, number in zip(asks, at):
+        one = a.dim.where(as_col(a.dim_key).isNotNull()).select(
+            F.lit(number).alias("__dim"), as_col(a.dim_key).cast("string").alias("__dim_key"), as_col(a.value).cast("string").alias("__v")
+        )
+        made[number] = one
+    stacked = reduce(DataFrame.unionAll, made.values()).groupBy("__dim", "__dim_key")
+    stacked = stacked.agg(F.min("__v").alias("value"), (F.min("__v") < F.max("__v")).alias("several"))
+    stacked = stacked.withColumn("__dim_spread", F.pmod(F.xxhash64("__dim_key"), F.lit(1)))
+
+    keys = [as_col(a.key).cast("string") for a in asks]
+    wanted = F.array(*[F.struct(F.lit(number).alias("of"), k.alias("key")) for number, k in zip(at, keys)])
+    narrow = df.select(as_col(row_id).alias("__id"), F.explode(F.filter(wanted, lambda w: w["key"].isNotNull())).alias("__ask"))
+    narrow = narrow.select("__id", "__ask.*").withColumn("__spread", F.pmod(F.xxhash64("key"), F.lit(1)))
+    same = (F.col("of") == F.col("__dim")) & (F.col("key") == F.col("__dim_key")) & (F.col("__spread") == F.col("__dim_spread"))
+    found = narrow.join(stacked, same).select(
+        "__id", F.struct(F.concat(F.col("of").cast("string"), F.lit(":"), "key").alias("ask"), F.struct("value", "several").alias("held")).alias("entry")
+    )
+    found = found.groupBy("__id").agg(F.map_from_entries(F.collect_set("entry")).alias("__held"))
+
+    joined = df.join(found, as_col(row_id) == F.col("__id"), "left")
+    outs = {}
+    for a, number, k in zip(asks, at, keys):
+        held = F.try_element_at("__held", F.concat(F.lit(f"{number}:"), k))
+        error = F.raise_error(F.concat(F.lit(f"more than one {a.value} for "), k))
+        outs[a.out] = F.when(held["several"], error).otherwise(held["value"]) if a.strict else held["value"]
+    return joined.withColumns(outs).drop("__id", "__held")
+
+
 def parent_fallback(
     wo: DataFrame, tt: DataFrame, parent_key: str, parent_order: str, out: str, spread_by: list[str]
 ) -> DataFrame:
@@ -179,10 +233,14 @@ def either_key_lookup(
     """
     first = lookup(df, keys[0], dim, dim_key, value, "__one", strict)
     both = lookup(first, keys[1], dim, dim_key, value, "__two", strict)
-    one, two = F.col("__one"), F.col("__two")
-    differ = F.raise_error(F.concat(F.lit(f"two values of {value} for one row: "), one, F.lit(" / "), two))
-    picked = F.coalesce(F.when(one != two, differ if strict else F.least(one, two)), one, two)
-    return both.withColumn(out, picked.cast("string")).drop("__one", "__two")
+    return both.withColumn(out, either_value("__one", "__two", value, strict)).drop("__one", "__two")
+
+
+def either_value(one: str, two: str, value: str, strict: bool = True) -> Column:
+    """The one text in either of two columns."""
+    a, b = F.col(one), F.col(two)
+    differ = F.raise_error(F.concat(F.lit(f"two values of {value} for one row: "), a, F.lit(" / "), b))
+    return F.coalesce(F.when(a != b, differ if strict else F.least(a, b)), a, b).cast("string")
 
 
 def group_directory(users: DataFrame, name="fullname", group="user_default_group", ident="user_id") -> DataFrame:
@@ -216,15 +274,21 @@ def processor_group(
 
     With an empty code list only the first item counts.
     """
-    listed = has_separator(processor)
-    text = F.when(listed, first_item(processor)).otherwise(as_col(processor))
-    grouped = default_group(df, text, directory, "__default")
+    grouped = default_group(df, first_processor(processor), directory, "__default")
+    return grouped.withColumn(out, picked_group(processor, "__default", codes)).drop("__default")
+
+
+def first_processor(processor: str) -> Column:
+    """The text that a processor's default group is looked up by."""
+    return F.when(has_separator(processor), first_item(processor)).otherwise(as_col(processor))
+
+
+def picked_group(processor: str, default: Column | str, codes: list[str] | None = None) -> Column:
+    """Of a list the item with the best-ranked code, else the default group; with an empty code list the default group."""
     if codes == []:
-        picked = F.col("__default")
-    else:
-        item = coded_item(processor, codes) if codes else coded_item(processor)
-        picked = F.coalesce(F.when(listed, item), F.col("__default"))
-    return grouped.withColumn(out, picked).drop("__default")
+        return as_col(default)
+    item = coded_item(processor, codes) if codes else coded_item(processor)
+    return F.coalesce(F.when(has_separator(processor), item), as_col(default))
 
 
 def first_match(

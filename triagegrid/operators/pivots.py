@@ -1,6 +1,7 @@
 """Aggregates, pivots with totals and summary tables.
 
-A summary is one aggregation with a conditional aggregate per measure; a pivot aggregates by row keys and column value and
+A lattice aggregates a detail once by all keys that its reports use; every pivot and summary also takes a lattice in place of the
+detail and adds up its cells. A summary is one aggregation with a conditional aggregate per measure; a pivot aggregates by row keys and column value and
 spreads that small result over its columns. The detail is combined before its only shuffle, and totals are added up from
 the aggregated rows, never from the detail a second time.
 """
@@ -21,24 +22,55 @@ TOTAL = "All"
 
 @dataclass(frozen=True)
 class Measure:
-    """A count or mean of ``value`` over the rows that satisfy ``when``."""
+    """A count or mean of ``value`` over the rows that satisfy ``when``. Over a lattice the value is named by a text."""
 
     name: str
     how: str
-    value: Column
+    value: Column | str
     when: Column | None = None
 
 
+@dataclass(frozen=True)
+class Lattice:
+    """Mergeable pieces of a detail per combination of its keys: rows, and for each value the rows that have it and their sum.
+
+    There are at most as many cells as the keys have combinations, however long the detail.
+    """
+
+    frame: DataFrame
+    keys: list[str]
+    counted: list[str]
+    summed: list[str]
+
+    def where(self, condition: Column) -> Lattice:
+        """The cells that satisfy a condition on the keys."""
+        return Lattice(self.frame.where(condition), self.keys, self.counted, self.summed)
+
+
+def lattice(df: DataFrame, keys: list[str], counted: list[str], summed: list[str] | None = None) -> Lattice:
+    """One aggregation of ``df`` by ``keys``, nulls included; ``counted`` and ``summed`` are the values of later measures."""
+    summed = summed or []
+    both = list(dict.fromkeys([*counted, *summed]))
+    counts = [F.count(as_col(v)).alias(f"__count:{v}") for v in both]
+    sums = [F.sum(as_col(v).cast("double")).alias(f"__sum:{v}") for v in summed]
+    cells = df.groupBy(*[as_col(k) for k in keys]).agg(F.count("*").alias("__rows"), *counts, *sums)
+    return Lattice(cells, keys, both, summed)
+
+
+def _frame(source: DataFrame | Lattice) -> DataFrame:
+    return source.frame if isinstance(source, Lattice) else source
+
+
 def group_mean(df: DataFrame, key: str, value: str) -> DataFrame:
     """Mean per key; null keys and keys without any value are left out."""
     means = df.where(as_col(key).isNotNull()).groupBy(as_col(key)).agg(F.avg(as_col(value)).alias(value))
     return means.where(as_col(value).isNotNull())
 
 
-def axis_values(df: DataFrame, column: str, exclude: list | None = None, most: int = 10_000) -> list:
+def axis_values(df: DataFrame | Lattice, column: str, exclude: list | None = None, most: int = 10_000) -> list:
     """Distinct non-empty values in order, for use as pivot columns; more than ``most`` is an error."""
     c = as_col(column)
-    values = df.select(c.alias("v")).where(c.isNotNull() & (c.cast("string") != "")).distinct()
+    values = _frame(df).select(c.alias("v")).where(c.isNotNull() & (c.cast("string") != "")).distinct()
     if exclude:
         values = values.where(~F.col("v").isin(list(exclude)))
     found = [row.v for row in values.limit(most + 1).collect()]
@@ -47,20 +79,22 @@ def axis_values(df: DataFrame, column: str, exclude: list | None = None, most: i
     return sorted(found)
 
 
-def distinct_axis(df: DataFrame, column: str, exclude: list | None = None) -> DataFrame:
+def distinct_axis(df: DataFrame | Lattice, column: str, exclude: list | None = None) -> DataFrame:
     """The same values as rows."""
     c = as_col(column)
-    rows = df.select(c.alias(column)).where(c.isNotNull() & (c.cast("string") != ""))
+    rows = _frame(df).select(c.alias(column)).where(c.isNotNull() & (c.cast("string") != ""))
     if exclude:
         rows = rows.where(~c.isin(list(exclude)))
     return rows.distinct().orderBy(c)
 
 
-def _parts(measures: list[Measure]) -> dict[str, Column]:
+def _parts(measures: list[Measure], source: DataFrame | Lattice | None = None) -> dict[str, Column]:
     """The mergeable pieces of the measures: rows seen, values counted, and the sum behind a mean."""
+    if isinstance(source, Lattice):
+        return _merged_parts(measures, source)
     parts = {}
     for i, m in enumerate(measures):
-        value = m.value if m.when is None else F.when(m.when, m.value)
+        value = as_col(m.value) if m.when is None else F.when(m.when, as_col(m.value))
         parts[f"__seen_{i}"] = F.count("*") if m.when is None else F.count(F.when(m.when, 1))
         parts[f"__count_{i}"] = F.count(value)
         if m.how == "mean":
@@ -68,6 +102,24 @@ def _parts(measures: list[Measure]) -> dict[str, Column]:
     return parts
 
 
+def _merged_parts(measures: list[Measure], source: Lattice) -> dict[str, Column]:
+    """The same pieces, added up from the cells of a lattice."""
+
+    def added(cell: str, when: Column | None) -> Column:
+        c = as_col(cell)
+        return F.sum(c if when is None else F.when(when, c))
+
+    parts = {}
+    for i, m in enumerate(measures):
+        if m.value not in (source.summed if m.how == "mean" else source.counted):
+            raise ValueError(f"the lattice has no {m.how} of {m.value}")
+        parts[f"__seen_{i}"] = F.coalesce(added("__rows", m.when), F.lit(0))
+        parts[f"__count_{i}"] = F.coalesce(added(f"__count:{m.value}", m.when), F.lit(0))
+        if m.how == "mean":
+            parts[f"__sum_{i}"] = added(f"__sum:{m.value}", m.when)
+    return parts
+
+
 def _cells(measures: list[Measure]) -> dict[str, Column]:
     """The measures from their pieces; blank where no row satisfied the condition."""
     cells = {}
@@ -80,12 +132,12 @@ def _cells(measures: list[Measure]) -> dict[str, Column]:
     return cells
 
 
-def _with_keys(df: DataFrame, columns: list[str]) -> DataFrame:
+def _with_keys(df: DataFrame | Lattice, columns: list[str]) -> DataFrame | Lattice:
     return df.where(reduce(operator.and_, [as_col(c).isNotNull() for c in columns]))
 
 
 def with_total(
-    df: DataFrame, rows: list[str], measures: list[Measure], require: list[str] | None = None, total: str = TOTAL
+    df: DataFrame | Lattice, rows: list[str], measures: list[Measure], require: list[str] | None = None, total: str = TOTAL
 ) -> DataFrame:
     """Measures per row key plus one grand-total row.
 
@@ -95,7 +147,7 @@ def with_total(
     """
     keyed = _with_keys(df, [*rows, *(require or [])])
     keys = [as_col(c).cast("string").alias(f"__row_{i}") for i, c in enumerate(rows)]
-    base = keyed.groupBy(*keys).agg(*[p.alias(n) for n, p in _parts(measures).items()])
+    base = _frame(keyed).groupBy(*keys).agg(*[p.alias(n) for n, p in _parts(measures, keyed).items()])
     return _totalled(base, rows, measures, total)
 
 
@@ -116,7 +168,7 @@ def _totalled(base: DataFrame, rows: list[str], measures: list[Measure], total:
 
 
 def with_inner_rows(
-    df: DataFrame, outer: str, inner: str, labels: list[str], measures: list[Measure], exclude: list | None = None
+    df: DataFrame | Lattice, outer: str, inner: str, labels: list[str], measures: list[Measure], exclude: list | None = None
 ) -> DataFrame:
     """Measures per ``outer`` value found in the data and per listed ``inner`` label, blank rows included.
 
@@ -126,8 +178,8 @@ def with_inner_rows(
     keyed = _with_keys(df, [outer])
     if exclude:
         keyed = keyed.where(~as_col(outer).isin(list(exclude)))
-    parts = _parts(measures)
-    base = keyed.groupBy(as_col(outer).alias("__outer"), as_col(inner).alias("__inner")).agg(
+    parts = _parts(measures, keyed)
+    base = _frame(keyed).groupBy(as_col(outer).alias("__outer"), as_col(inner).alias("__inner")).agg(
         *[p.alias(n) for n, p in parts.items()]
     )
     cells = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(_cells(measures).values())])
@@ -144,23 +196,39 @@ def with_inner_rows(
 
 
 def pivot_with_total(
-    df: DataFrame, rows: list[str], column: str, value: str, how: str, columns: list | None = None, total: str = TOTAL
+    df: DataFrame | Lattice,
+    rows: list[str],
+    column: str,
+    value: str,
+    how: str,
+    columns: list | None = None,
+    total: str = TOTAL,
 ) -> DataFrame:
     """Row keys by the values of ``column``, counts or means, with a total row and a total column.
 
     Totals cover every value of ``column``, also those not listed in ``columns``. Blank cells are null. Rows of a mean
-    pivot without any value are left out.
+    pivot without any value are left out. The narrow cells (row keys, value of ``column``) are totalled over the rows first; only
+    the result is laid out wide.
     """
     labels = axis_values(df, column) if columns is None else columns
-    v, c = as_col(value), as_col(column)
-    whole = Measure(total, how, v)
+    keyed = _with_keys(df, [*rows, column])
     keys = [as_col(r).cast("string").alias(f"__row_{i}") for i, r in enumerate(rows)]
-    pieces = {n.removesuffix("_0"): p for n, p in _parts([whole]).items()}
-    base = _with_keys(df, [*rows, column]).groupBy(*keys, c.alias("__column")).agg(*[p.alias(n) for n, p in pieces.items()])
-    # Each listed value has its own set of pieces, null in rows of other values; the last set is the total.
-    spread = {f"{n}_{i}": F.when(F.col("__column") == v, F.col(n)) for i, v in enumerate(labels) for n in pieces}
-    wide = base.withColumns({**spread, **{f"{n}_{len(labels)}": F.col(n) for n in pieces}})
-    table = _totalled(wide, rows, [Measure(str(label), how, v) for label in labels] + [whole], total)
+    parts = {n.removesuffix("_0"): p for n, p in _parts([Measure(total, how, value)], keyed).items()}
+    cells = _frame(keyed).groupBy(*keys, as_col(column).alias("__column")).agg(*[p.alias(n) for n, p in parts.items()])
+    names = [F.col(f"__row_{i}") for i in range(len(rows))]
+    own, whole = [*names, F.col("__column")], [F.col("__column")]
+    totalled = cells.groupingSets([own, whole], *own).agg(
+        F.grouping(names[0]).alias("__level"), *[F.sum(n).alias(n) for n in parts]
+    )
+
+    def shown(when: Column | None) -> Column:
+        seen, count, amount = (F.sum(F.col(n) if when is None else F.when(when, F.col(n))) for n in ("__seen", "__count", "__sum" if how == "mean" else "__seen"))
+        return F.when(count > 0, amount / count) if how == "mean" else F.when(seen > 0, count)
+
+    marked = totalled.withColumns({f"__row_{i}": F.when(F.col("__level") == 0, n).otherwise(F.lit(total if i == 0 else "")) for i, n in enumerate(names)})
+    made = {str(v): shown(F.col("__column") == v) for v in labels}
+    table = marked.groupBy("__level", *names).agg(*[c.alias(n) for n, c in made.items()], shown(None).alias(total))
+    table = table.select(*[n.alias(r) for n, r in zip(names, rows)], *[as_col(n) for n in [*made, total]])
     return table.where(as_col(total).isNotNull()) if how == "mean" else table
 
 

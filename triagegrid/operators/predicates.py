@@ -89,18 +89,6 @@ def equals_none(column: Column | str, values: list) -> Column:
     return ~as_col(column).isin(list(values))
 
 
-def not_recovered(recovered: Column | str, local: bool = False, df: DataFrame | None = None) -> Column:
-    """Missing, or the epoch year that stands for missing.
-
-    With ``df`` the year is stated as bounds of the column's own type, which reach the file scan.
-    """
-    if df is not None and isinstance(recovered, str) and not local:
-        first, last = (F.lit(f"{year}-01-01 00:00:00").cast("timestamp").cast(df.schema[recovered].dataType) for year in (fixed.EPOCH_YEAR, fixed.EPOCH_YEAR + 1))
-        return F.col(recovered).isNull() | ((F.col(recovered) >= first) & (F.col(recovered) < last))
-    recovered = as_col(recovered)
-    return recovered.isNull() | (F.year(local_time(recovered) if local else recovered) == fixed.EPOCH_YEAR)
-
-
 def time_bound(df: DataFrame, column: str, local: str | date | datetime, zone: str = fixed.LOCAL_ZONE) -> Column:
     """A local time turned into a UTC literal of the column's own type.
 
@@ -109,6 +97,17 @@ def time_bound(df: DataFrame, column: str, local: str | date | datetime, zone: s
     return F.to_utc_timestamp(F.lit(str(local)).cast("timestamp"), zone).cast(df.schema[column].dataType)
 
 
+def not_recovered(df: DataFrame, recovered: str, zone: str | None = None) -> Column:
+    """Missing, or in the epoch year that stands for missing; the year is that of the stored time unless a zone is given.
+
+    The year is stated as bounds of the column's own type, which reach the file scan.
+    """
+    first, after = (
+        time_bound(df, recovered, f"{year}-01-01 00:00:00", zone or "UTC") for year in (fixed.EPOCH_YEAR, fixed.EPOCH_YEAR + 1)
+    )
+    return F.col(recovered).isNull() | ((F.col(recovered) >= first) & (F.col(recovered) < after))
+
+
 def in_local_range(
     df: DataFrame, column: str, start, end, zone: str = fixed.LOCAL_ZONE, half_open: bool = False
 ) -> Column:
@@ -125,7 +124,7 @@ def open_in_range(
     overlap = (F.col(first) <= time_bound(df, first, end, zone)) & (
         F.col(recovered) >= time_bound(df, recovered, start, zone)
     )
-    return overlap | not_recovered(recovered, df=df)
+    return overlap | not_recovered(df, recovered)
 
 
 def since_year(df: DataFrame, column: str, year: int, zone: str = fixed.LOCAL_ZONE) -> Column:

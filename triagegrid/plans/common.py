@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from triagegrid.functions import fixed
 from triagegrid.functions.scalars import as_col, braced_value, strip_text
-from triagegrid.operators.lookups import keys_only, lookup, one_per_key
+from triagegrid.operators.lookups import Ask, keys_only, lookup, one_per_key
 
 
 def user_name(df: DataFrame, tables, key: Column | str, out: str) -> DataFrame:
@@ -21,6 +21,23 @@ def label_of(df: DataFrame, tables, dim: str, key: Column | str, out: str) -> Da
     return lookup(df, key, tables[dim], "code", "label", out)
 
 
+def user_ask(tables, key: Column | str, out: str) -> Ask:
+    """``user_name`` as one of several stacked lookups."""
+    return Ask(out, strip_text(key, "user:").try_cast("long"), tables["user_dim"], "user_id", "fullname")
+
+
+def label_ask(tables, dim: str, key: Column | str, out: str) -> Ask:
+    """``label_of`` as one of several stacked lookups."""
+    return Ask(out, key, tables[dim], "code", "label")
+
+
+def parents_of(tt: DataFrame, tables, out: str = "parent") -> DataFrame:
+    """(associateticketid, parent): order ids of the tickets that the given ones are associated with, a row per association."""
+    pairs = keys_only(tables["ticket_associate"], "associateticketid", tt, "ticketid", unique=True)
+    pairs = pairs.select("associateticketid", "sourceticketid")
+    return lookup(pairs, "sourceticketid", tables["ticket_order"], "ticketid", "orderid", out, strict=True)
+
+
 def processors_of(df: DataFrame, tables, dim: str, out: str, key: str = "ticketid") -> DataFrame:
     """Current processors of a ticket; both tables hold each ticket once."""
     return lookup(df, key, tables[dim], "ticketid", "processors", out, unique=True, own_id=True)

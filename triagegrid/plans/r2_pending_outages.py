@@ -12,15 +12,17 @@ from triagegrid.operators.grids import dense_grid
 from triagegrid.operators.pivots import pivot_with_total
 from triagegrid.operators.predicates import equals_any, not_recovered
 from triagegrid.plans.common import columns_as, label_of
+from triagegrid.sources.sinks import write_report
 
 
 def outage_tickets(tables, zone: str = fixed.LOCAL_ZONE) -> DataFrame:
     """The raw data sheet: 19 columns."""
-    tt = tables["trouble_ticket"].where(
+    tt = tables["trouble_ticket"]
+    tt = tt.where(
         (F.col("fixedwirelesscreate_") == "Wireless")
         & (F.col("domain_") == "RAN")
         & F.col("description_").like("%FULL OUTAGE%")
-        & not_recovered("faultrecoverytime_")
+        & not_recovered(tt, "faultrecoverytime_")
         & (F.col("processstatus") == "running")
     )
     df = label_of(tt, tables, "data_source", "causeofoutage_", "cause")
@@ -61,3 +63,10 @@ def outage_grid(detail: DataFrame) -> DataFrame:
 def pending_outages(tables, zone: str = fixed.LOCAL_ZONE) -> dict[str, DataFrame]:
     detail = outage_tickets(tables, zone)
     return {"Per Technology": outage_grid(detail), "Raw Data": detail}
+
+
+def write_pending_outages(tables, path: str, zone: str = fixed.LOCAL_ZONE) -> dict[str, str]:
+    """Both datasets; the detail is written first and the grid counts what is written."""
+    raw = write_report({"Raw Data": outage_tickets(tables, zone)}, path)
+    detail = tables["trouble_ticket"].sparkSession.read.parquet(raw["Raw Data"])
+    return {**raw, **write_report({"Per Technology": outage_grid(detail)}, path)}

@@ -9,9 +9,9 @@ from triagegrid.functions import fixed
 from triagegrid.functions.classify import area_code, business_status, technology_label
 from triagegrid.functions.scalars import local_text
 from triagegrid.operators.lists import child_lists_of, first_piece_key, with_child_lists
-from triagegrid.operators.lookups import fan_out_left, lookup
+from triagegrid.operators.lookups import fan_out_left, stacked_lookups
 from triagegrid.operators.predicates import open_in_range
-from triagegrid.plans.common import columns_as, label_of, user_name
+from triagegrid.plans.common import columns_as, label_ask, parents_of, user_ask
 
 
 def daily_tickets(tables, start: str, end: str, zone: str = fixed.LOCAL_ZONE) -> DataFrame:
@@ -24,19 +24,15 @@ def daily_tickets(tables, start: str, end: str, zone: str = fixed.LOCAL_ZONE) ->
     children = child_lists_of(
         tt, "ticketid", tables["work_order"], "parentticketid", {"SubProcessWO": ("orderid", "ticketid")}
     )
-    df = with_child_lists(tt, "ticketid", children, "parentticketid", piece="piece")
-    df = label_of(df, tables, "data_source", "causeofoutage_", "cause")
-    df = label_of(df, tables, "severity", "currentseverity_", "severity")
-    df = user_name(df, tables, "originator", "creator")
-    df = fan_out_left(
-        df,
-        first_piece_key("ticketid", "piece"),
-        tables["ticket_associate"],
-        "associateticketid",
-        {"sourceticketid": "source"},
-        ["orderid", "piece"],
-    )
-    df = lookup(df, "source", tables["ticket_order"], "ticketid", "orderid", "parent", strict=True)
+    asks = [
+        label_ask(tables, "data_source", "causeofoutage_", "cause"),
+        label_ask(tables, "severity", "currentseverity_", "severity"),
+        user_ask(tables, "originator", "creator"),
+    ]
+    df = with_child_lists(stacked_lookups(tt, "ticketid", asks), "ticketid", children, "parentticketid", piece="piece")
+    parents = parents_of(tt, tables)
+    first = first_piece_key("ticketid", "piece")
+    df = fan_out_left(df, first, parents, "associateticketid", {"parent": "parent"}, ["orderid", "piece"])
     # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.
     return columns_as(
         df.orderBy(F.col("orderid").asc_nulls_last(), "parent"),

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from triagegrid.functions import fixed
 from triagegrid.functions.scalars import local_text, local_time, or_else, strip_text
 from triagegrid.operators.lists import child_lists, first_piece_key, with_child_lists
-from triagegrid.operators.lookups import branch_lookup, either_key_lookup, fan_out_left, keys_only, lookup
+from triagegrid.operators.lookups import Ask, either_value, fan_out_left, keys_only, stacked_lookups
 from triagegrid.operators.predicates import any_missing, equals_none, since_year
-from triagegrid.plans.common import columns_as, label_of, processors_of
+from triagegrid.plans.common import columns_as, label_ask, parents_of, processors_of
 from triagegrid.sources.sinks import write_snapshot
 
 DONE = ["BusinessStatusCompleted", "BusinessStatusClosed", "BusinessStatusCancel"]
@@ -41,39 +41,33 @@ def missing_cause(
     lists = child_lists(
         children,
         "parentticketid",
-        {
+        counted=tables["work_order"],
+        lists={
             "SubProcessWO": ("orderid", "ticketid"),
             "SubProcessWO_Status": ("processstatus", "processstatus"),
             "SubProcessWO_CurrentProcessor": ("processors", "processors"),
         },
     )
-    df = with_child_lists(tt, "ticketid", lists, "parentticketid", piece="piece")
-    df = processors_of(df, tables, "tt_processor", "processors")
     site, other = F.col("siteid_"), F.col("site_")
-    df = branch_lookup(
-        df,
+    listed, other_listed = F.coalesce(site.like("%A1%"), F.lit(False)), F.coalesce(other.like("%A1%"), F.lit(False))
+    resolves = listed | other_listed
+    df = stacked_lookups(
+        tt,
+        "ticketid",
         [
-            (site.like("%A1%"), site, True),
-            (other.like("%A1%"), other, True),
-            (site.isNull(), other, False),
-            (F.lit(True), site, False),
+            Ask("listed_site", F.when(listed, site).when(other_listed, other), active, "id", "site_id"),
+            Ask("site_province", site, active, "site_id", "province_name", strict=True),
+            Ask("other_province", other, active, "site_id", "province_name", strict=True),
+            label_ask(tables, "assign_to", "assignto_", "assigned"),
         ],
-        active,
-        "id",
-        "site_id",
-        "resolved_site",
     )
-    df = either_key_lookup(df, ("siteid_", "site_"), active, "site_id", "province_name", "found_province")
-    df = label_of(df, tables, "assign_to", "assignto_", "assigned")
-    df = fan_out_left(
-        df,
-        first_piece_key("ticketid", "piece"),
-        tables["ticket_associate"],
-        "associateticketid",
-        {"sourceticketid": "source"},
-        ["orderid", "piece"],
-    )
-    df = lookup(df, "source", tables["ticket_order"], "ticketid", "orderid", "parent", strict=True)
+    resolved = F.when(resolves, F.col("listed_site")).when(site.isNull(), other).otherwise(site)
+    df = df.withColumns({"resolved_site": resolved, "found_province": either_value("site_province", "other_province", "province_name")})
+    df = with_child_lists(df, "ticketid", lists, "parentticketid", piece="piece")
+    df = processors_of(df, tables, "tt_processor", "processors")
+    parents = parents_of(tt, tables)
+    first = first_piece_key("ticketid", "piece")
+    df = fan_out_left(df, first, parents, "associateticketid", {"parent": "parent"}, ["orderid", "piece"])
     # Sorted before the texts are made: the sort samples its input first, and that pass then skips the formatting.
     return columns_as(
         df.orderBy(F.col("orderid").asc_nulls_last(), "parent"),
