@@ -7,7 +7,7 @@ range, and the rest. Two texts that link must share one of the first shingles of
 come from those; the overlap of a candidate pair is counted in every fragment separately and summed per pair.
 
 Texts with equal sets are one class, which stands for its copies from the start. Classes that share a leading shingle are first
-paired with one hub of the shingle, and then, for a few rounds, those outside its largest component with one member of that,
+paired with one hub of the shingle, and then, while that helps, those outside its largest component with one member of that,
 taken among those that have most of their leading shingles in common with others; all this is linear in the rows. Only where a shingle
 is then still shared by several components are their classes paired across components. A passage has many shingles that the same classes
 share; these make each pair once, at the first of them. So no link between components is lost and a large group of near copies needs
@@ -38,8 +38,9 @@ ONE_IN, REPEATED = 8, 2
 #: Cells of the sketch of frequencies, a byte each.
 SKETCH = 1 << 21
 LIGHT_FRAGMENTS = 4
-#: Rounds in which classes outside the largest component of a shingle try one of its members each, before all pairs across are taken.
-TRIES = 2
+#: Rounds in which classes outside the largest component of a shingle try one of its members each go on while pairs across components
+#: would be more than so many per row, and the last round has left at most this part of them. They change the work, not the result.
+PAIRS, USEFUL = 16, 0.7
 #: Cells of the parities of a set; more cells tell larger sets apart.
 MARKS = 1024
 _POOL = 1_000_000
@@ -79,9 +80,11 @@ def sets_of(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
 def _read_sets(size: int) -> Callable:
     """Rows for each text (id, set size, class, parities) and for each shingle of the classes that count for the order (hash, classes)."""
 
-    def counted(pool: list[np.ndarray]) -> pd.DataFrame:
+    def counted(pool: list[np.ndarray]) -> Iterator[pd.DataFrame]:
         x, n = np.unique(np.concatenate(pool), return_counts=True)
-        return pd.DataFrame({"doc_id": signed(x), "n": n.astype(np.int64), "cls": 0, "kind": 1, "marks": None})
+        for a in range(0, len(x), 100_000):
+            b = slice(a, a + 100_000)
+            yield pd.DataFrame({"doc_id": signed(x[b]), "n": n[b].astype(np.int64), "cls": 0, "kind": 1, "marks": None})
 
     def run(batches):
         pool, pooled, seen = [], 0, set()
@@ -96,11 +99,11 @@ def _read_sets(size: int) -> Callable:
                     pooled += len(x)
                     seen.add(cls[-1])
                 if pooled > _POOL:
-                    yield counted(pool)
+                    yield from counted(pool)
                     pool, pooled, seen = [], 0, set()
             yield pd.DataFrame({"doc_id": df["doc_id"], "n": n, "cls": cls, "kind": 0, "marks": marks})
         if pooled:
-            yield counted(pool)
+            yield from counted(pool)
 
     return run
 
@@ -189,12 +192,16 @@ def possible(pairs: DataFrame, marks: DataFrame, share: int) -> DataFrame:
     held = marks.mapInPandas(_known(id_filter(ids, "doc_id")), "doc_id long, n long, marks array<long>")
     left = held.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("marks").alias("x"))
     right = held.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("marks").alias("y"))
-    differ = F.aggregate(F.zip_with("x", "y", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, v: s + v)
-    both = F.col("na") + F.col("nb")
-    fit = (100 + share) * (both - differ) >= 2 * share * both
+    fit = _room_for_link(F.col("na") + F.col("nb"), share)
     return pairs.join(left, ["a", "na"]).join(right, ["b", "nb"]).filter(fit).select("a", "na", "b", "nb").distinct()
 
 
+def _room_for_link(sizes: F.Column, share: int) -> F.Column:
+    """Whether the parities x and y of two sets leave room for the overlap of a link, given the sum of their sizes."""
+    differ = F.aggregate(F.zip_with("x", "y", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, v: s + v)
+    return (100 + share) * (sizes - differ) >= 2 * share * sizes
+
+
 def links(pairs: DataFrame, texts: DataFrame, marks: DataFrame, size: int, share: int, order: Order) -> DataFrame:
     """Of candidate pairs (a, na, b, nb) of document ids with their set sizes, those whose summed fragment overlaps reach the share.
 
@@ -270,7 +277,6 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
     of_set = first.filter("kind = 0 AND n > 0").groupBy("cls", "n")
     classes = stored(of_set.agg(F.min("doc_id").alias("doc_id"), F.any_value("marks").alias("marks")), "classes")
     marks = classes.select("doc_id", "n", "marks")
-    classes = classes.drop("marks")
 
     leading = stored(map_slices(texts, _leading(size, share, order), "key long, cls long, often boolean, room int"), "leading")
     ends = {"hub": F.min(F.when(F.col("room") > 0, F.struct("cls", "room"))), "low": F.min("cls"), "high": F.max("cls")}
@@ -310,8 +316,11 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
         mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
         return stored(rows.join(mixed, "key"), "open")
 
-    for step in range(TRIES):
-        rows = placed(joined)
+    rows, before, step = placed(joined), None, 0
+    while True:
+        load, held = rows.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.sum("n")).first()
+        if not held or load <= PAIRS * held or (before and load > USEFUL * before):
+            break
         hub = F.max(F.struct("central", F.xxhash64("cls", F.lit(step)).alias("by"), F.col("cls").alias("q"), F.col("room").alias("t"))).alias("hub")
         parts = rows.groupBy("key", "component").agg(F.count("*").alias("classes"), hub)
         top = parts.groupBy("key").agg(F.max(F.struct("classes", "component", "hub")).alias("top"))
@@ -324,13 +333,19 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
         tried = tried.union(now)
         found = stored(found.union(links(now, texts, marks, size, share, order)), "links")
         joined = components(found)
-
-    rows = _one_of_equal_keys(placed(joined))
-    p = rows.select("key", F.col("cls").alias("p"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("room").alias("r"))
-    q = rows.select("key", F.col("cls").alias("q"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("room").alias("t"))
+        rows, before, step = placed(joined), load, step + 1
+
+    rows = _one_of_equal_keys(rows)
+    # Sizes of linked sets differ by at most the share, so a pair's size classes are equal or neighbours.
+    width = np.log(100 / share) + 1e-4
+    rows = rows.join(classes.select("cls", "marks"), "cls").withColumn("by_size", F.floor(F.log(F.col("n")) / width).cast("int"))
+    p = rows.select("key", F.col("cls").alias("p"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("room").alias("r"), F.col("marks").alias("x"),
+                    F.explode(F.array(*[F.col("by_size") + i for i in (-1, 0, 1)])).alias("by_size"))
+    q = rows.select("key", F.col("cls").alias("q"), F.col("component").alias("d"), F.col("n").alias("k"), F.col("room").alias("t"), F.col("marks").alias("y"), "by_size")
     fit = (100 * F.least("m", "k") >= share * F.greatest("m", "k")) & (F.greatest("r", "t") > 0)
     fit = fit & ((100 + share) * F.least(F.abs("r"), F.abs("t")) >= share * (F.col("m") + F.col("k")))
-    across = p.join(q, "key").filter((F.col("c") < F.col("d")) & fit).groupBy("p", "q").agg(F.lit(1 << 40).alias("room"))
+    fit = fit & _room_for_link(F.col("m") + F.col("k"), share)
+    across = p.join(q, ["key", "by_size"]).filter((F.col("c") < F.col("d")) & fit).groupBy("p", "q").agg(F.lit(1 << 40).alias("room"))
     known = tried.select("a", "b").union(tried.select("b", "a"))
     across = stored(sized(across).join(known, ["a", "b"], "left_anti"), "pairs")
     more = found if across.isEmpty() else stored(found.union(links(across, texts, marks, size, share, order)), "links")
