@@ -1,8 +1,9 @@
 """Secret scan with structural confirmation.
 
 Plain patterns give the base spans. Runs that look like base64 or hex are decoded, and what they hold is parsed: nested
-tag-length-value encodings of keys, length-prefixed key fields, armoured blocks and signed tokens with a JSON header. Only what
-parses to its last byte is reported.
+tag-length-value encodings of keys, length-prefixed key fields, armoured blocks and signed tokens with a JSON header. Only what has the
+fields of a kind of key, with lengths that add up to its last byte, is reported. A parser reads the few bytes that hold tags and
+lengths, so a run costs no more than its length times the few fields of a key, wherever a key might begin in it.
 """
 
 from __future__ import annotations
@@ -12,11 +13,14 @@ import binascii
 import hashlib
 import json
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triagegrid.llm.common import slices
+
 KINDS = ("assign", "access", "hex", "armour", "key", "wire", "token")
 BASE_KINDS = 3
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -34,7 +38,15 @@ ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY[A-Z ]*)-----([^-]*)-----END \1--
 # Names at the start of length-prefixed public keys, and the mark of the private key container.
 WIRE_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
 CONTAINER = b"openssh-key-v1\0"
-DEPTH = 16
+# Fields of each kind of length-prefixed public key, its name included.
+WIRE_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2} | dict.fromkeys(WIRE_NAMES[3:], 3)
+# Tags of integers, bit strings, octet strings, object ids and sequences.
+INTEGER, BITS, OCTETS, OBJECT, SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
+#: Most values of a key at one level, keys in a container, and bytes of a key name.
+VALUES, HELD_KEYS, NAME = 12, 16, 32
+
+#: Gives so many bytes from a place of what a run encodes.
+Read = Callable[[int, int], bytes]
 
 
 def decoded(run: str) -> bytes | None:
@@ -46,46 +58,72 @@ def decoded(run: str) -> bytes | None:
         return None
 
 
-def nested(data: bytes, begin: int, end: int, depth: int = 0) -> int:
-    """Values at one level of a tag-length-value encoding that fills begin to end; -1 if it doesn't fit."""
-    count = 0
+def values(read: Read, begin: int, end: int) -> list[tuple[int, int, int]] | None:
+    """(tag, begin, end) of the values at one level of a tag-length-value encoding that fills begin to end."""
+    out = []
     while begin < end:
-        if depth > DEPTH or begin + 2 > end:
-            return -1
-        tag, size, begin = data[begin], data[begin + 1], begin + 2
+        head = read(begin, 6)
+        if len(out) == VALUES or begin + 2 > end or len(head) < 2:
+            return None
+        tag, size, begin = head[0], head[1], begin + 2
         if size & 128:
             n = size & 127
-            if not 0 < n <= 4 or begin + n > end:
-                return -1
-            size, begin = int.from_bytes(data[begin : begin + n], "big"), begin + n
+            if not 0 < n <= 4:
+                return None
+            size, begin = int.from_bytes(head[2 : 2 + n], "big"), begin + n
         if tag & 31 == 31 or tag == 0 or begin + size > end:
-            return -1
-        if tag & 32 and nested(data, begin, begin + size, depth + 1) < 0:
-            return -1
-        begin, count = begin + size, count + 1
-    return count
+            return None
+        out.append((tag, begin, begin + size))
+        begin += size
+    return out
 
 
-def is_key(data: bytes) -> bool:
-    """One sequence of two values or more, every length of which fits."""
-    if len(data) < 24 or data[0] != 0x30 or nested(data, 0, len(data)) != 1:
+def is_key(read: Read, size: int) -> bool:
+    """One sequence with the values of a private or public key: RSA, DSA, elliptic curve, or a key inside an envelope that names its kind."""
+    outer = values(read, 0, size) if size >= 24 else None
+    if not outer or len(outer) != 1 or outer[0][0] != SEQUENCE:
         return False
-    head = 2 + (data[1] & 127 if data[1] & 128 else 0)
-    return nested(data, head, len(data), 1) >= 2
+    held = values(read, *outer[0][1:])
+    if not held:
+        return False
+    tags, sizes = [t for t, _, _ in held], [e - b for _, b, e in held]
+
+    def names_kind(i: int) -> bool:
+        inner = values(read, *held[i][1:]) if tags[i] == SEQUENCE else None
+        return bool(inner) and inner[0][0] == OBJECT
+
+    def version(*known: int) -> bool:
+        return tags[0] == INTEGER and sizes[0] == 1 and read(held[0][1], 1)[0] in known
+
+    if set(tags) == {INTEGER}:
+        # A modulus and an exponent, or all parts of a private key.
+        return (len(tags) == 2 and sizes[0] >= 64 and sizes[1] <= 8) or (len(tags) in (6, 9) and version(0))
+    if len(tags) == 2:
+        return names_kind(0) and tags[1] in (BITS, OCTETS)
+    if version(1) and tags[1] == OCTETS:
+        return sizes[1] >= 16 and set(tags[2:]) <= {0xA0, 0xA1}
+    return version(0, 1) and names_kind(1) and tags[2] == OCTETS and set(tags[3:]) <= {0xA0, 0x81, 0xA1}
+
+
+def _sizes(read: Read, at: int, count: int, size: int) -> int:
+    """The place after so many fields, each after its length; -1 beyond the end."""
+    for _ in range(count):
+        head = read(at, 4)
+        at += 4 + int.from_bytes(head, "big")
+        if len(head) < 4 or at > size:
+            return -1
+    return at
 
 
-def is_wire(data: bytes) -> bool:
-    """A known name and further fields, each after its length, to the last byte; or a private key container."""
-    if data.startswith(CONTAINER):
-        return True
-    at, fields = 0, []
-    while at + 4 <= len(data):
-        size = int.from_bytes(data[at : at + 4], "big")
-        fields.append(data[at + 4 : at + 4 + size])
-        at += 4 + size
-        if fields[0] not in WIRE_NAMES:
-            return False
-    return at == len(data) and len(fields) >= 2
+def is_wire(read: Read, size: int) -> bool:
+    """A known name and its further fields, each after its length, to the last byte; or a container of private keys."""
+    mark = len(CONTAINER)
+    if read(0, mark) != CONTAINER:
+        name = read(4, min(NAME, int.from_bytes(read(0, 4), "big")))
+        return name in WIRE_FIELDS and _sizes(read, 0, WIRE_FIELDS[name], size) == size
+    at = _sizes(read, mark, 3, size)  # names of cipher and derivation, and its options
+    keys = int.from_bytes(read(at, 4), "big") if at > 0 else 0
+    return 0 < keys <= HELD_KEYS and _sizes(read, at + 4, keys + 1, size) == size
 
 
 def is_header(part: str) -> bool:
@@ -111,45 +149,48 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
 
-def kind_of(data: bytes | None) -> int | None:
+def kind_of(held: tuple[Read, int] | None) -> int | None:
     """Place of the kind of what parses."""
-    return None if not data else 4 if is_key(data) else 5 if is_wire(data) else None
-
-
-def fills(head: bytes, size: int) -> bool:
-    """Whether a key of ``size`` bytes can begin so; others than sequences always can."""
-    if len(head) < 6 or head[0] != 0x30:
-        return True
-    n = head[1] & 127 if head[1] & 128 else 0
-    return n <= 4 and 2 + n + (int.from_bytes(head[2 : 2 + n], "big") if n else head[1]) == size
+    return None if held is None or held[1] < 24 else 4 if is_key(*held) else 5 if is_wire(*held) else None
 
 
 def blob_span(run: str) -> tuple[int, int, int] | None:
     """(start, place of the kind, end) within a run of the base64 alphabet: the run, its end after a separator, or hex digits in it."""
     for at in (0, *(m.start() for m in GLUED.finditer(run))):
-        if at and not fills(decoded(run[at : at + 8]) or b"", len(run[at:].rstrip("=")) * 3 // 4):
-            continue
-        kind = kind_of(decoded(run[at:]))
+        kind = kind_of(_tail(run, at))
         if kind:
             return at, kind, len(run)
     for m in LONG_HEX.finditer(run):
-        for start in (x.start() for x in HEX_START.finditer(m[0])):
-            size, odd = divmod(len(m[0]) - start, 2)
-            if odd or not fills(bytes.fromhex(m[0][start : start + 12][: 2 * size]), size):
-                continue
-            kind = kind_of(bytes.fromhex(m[0][start:]))
-            if kind:
-                return m.start() + start, kind, m.end()
+        for x in HEX_START.finditer(run, m.start(), m.end()):
+            if (m.end() - x.start()) % 2 == 0:
+                held = lambda at, n, first=x.start(), last=m.end(): bytes.fromhex(run[first + 2 * at : min(first + 2 * (at + n), last)])
+                kind = kind_of((held, (m.end() - x.start()) // 2))
+                if kind:
+                    return x.start(), kind, m.end()
     return None
 
 
+def _tail(run: str, begin: int) -> tuple[Read, int] | None:
+    """A reader of the base64 text from a place of a run on, without a copy of it."""
+    end = len(run)
+    while end > begin and run[end - 1] == "=":
+        end -= 1
+    if (end - begin) % 4 == 1:
+        return None
+
+    def read(at: int, n: int) -> bytes:
+        return (decoded(run[begin + at // 3 * 4 : min(begin + (at + n + 2) // 3 * 4, end)]) or b"")[at % 3 : at % 3 + n]
+
+    return read, (end - begin) * 3 // 4
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, place of the kind, end) of what decodes and parses."""
     out, armoured = [], []
     if "-----BEGIN " in text:
         for m in ARMOUR.finditer(text):
-            data = decoded(ESCAPED.sub("", m[2]))
-            if data and (is_key(data) or is_wire(data)):
+            body = ESCAPED.sub("", m[2])
+            if decoded(body) and kind_of(_tail(body, 0)):
                 out.append((m.start(), 3, m.end()))
                 armoured.append((m.start(), m.end()))
     for m in BLOB.finditer(text):
@@ -190,11 +231,11 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """Spans of every whole text: doc_id, counts by base kind, base_sha256, spans, n_confirmed.
 
     A null text counts as empty; each row of ``docs`` gives one row, ids are passed through as they are. Positions are
-    code points. Other columns are not looked at.
+    code points. Other columns are not looked at. Texts are read whole, however long. No rows give no rows.
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch.column(1):
                 base, more = spans_of(text.as_py())
@@ -214,7 +255,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             made = pa.array([redacted(t.as_py()) for t in batch.column(at)], batch.column(at).type)
             yield pa.RecordBatch.from_arrays([made if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
 
