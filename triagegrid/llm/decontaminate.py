@@ -19,6 +19,8 @@ from triagegrid.llm.common import LOWER, encoded, groups, id_filter, map_slices,
 WINDOW = 8
 #: Fewest words of a window that are no placeholders, and windows of an item that a document shares at least.
 LITERAL, SHARED = 4, 6
+#: Fewest words of an item that is searched for: shorter ones are common phrases and would be found nearly everywhere.
+LEAST_WORDS = 5
 # Units of measure and currency.
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles g kg mg lb lbs pound pounds oz ounce ounces ton tons l ml liter liters litre "
@@ -101,13 +103,16 @@ def _rows(key, form: np.ndarray, value: np.ndarray, word: np.ndarray, sizes: lis
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """Template and plain windows of benchmark items (item_id, at, size, hash, slots); a shorter item is one window."""
+    """Template and plain windows of benchmark items (item_id, at, size, hash, slots); an item shorter than a window is one.
+
+    Items of fewer than LEAST_WORDS words have none; ``short_items`` lists them.
+    """
 
     def run(batches):
         for df in batches:
             out = []
             for key, (form, value, word) in zip(df["item_id"].tolist(), templates(df["text"].tolist())):
-                if len(form):
+                if len(word) >= LEAST_WORDS:
                     out += _rows(key, form, value, word, [min(WINDOW, len(form)), -min(WINDOW, len(word))])
             yield pd.DataFrame(out, columns=["item_id", "at", "size", "hash", "slots"])
 
@@ -115,11 +120,24 @@ def item_windows(items: DataFrame) -> DataFrame:
     return map_slices(rows, run, "item_id long, at int, size int, hash long, slots array<long>")
 
 
+def short_items(items: DataFrame) -> DataFrame:
+    """The items that have too few words to be searched for: item_id, n_words. Null texts have none."""
+
+    def run(batches):
+        for df in batches:
+            n = [len(word) for _, _, word in templates(df["text"].tolist())]
+            yield pd.DataFrame({"item_id": df["item_id"], "n_words": n})
+
+    rows = map_slices(items.select(F.col("item_id").cast("long").alias("item_id"), "text"), run, "item_id long, n_words int")
+    return rows.filter(F.col("n_words") < LEAST_WORDS)
+
+
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents that hold an item's passage: doc_id, item_id, n_windows, n_item_windows, exact.
 
     ``exact`` is whether enough windows hold the item's own values. Null and empty texts hold nothing; rows without an id are left
-    out; repeated rows count once. An empty benchmark gives no rows. Other columns are not looked at.
+    out; repeated rows count once. An empty benchmark or an empty table gives no rows. Texts are read whole, however long. Items shorter than LEAST_WORDS words
+    are not searched for. Other columns are not looked at.
     """
     asked = stored(item_windows(items).distinct(), "items")
     sizes = [r["size"] for r in asked.select("size").distinct().collect()]
