@@ -18,7 +18,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from triagegrid.llm.common import Local
+from triagegrid.llm.common import Local, unused
 
 SPACE = "▁"
 #: Below the lowest score of any piece: what a character that is no piece costs.
@@ -162,9 +162,14 @@ class _Held:
 
 
 def encode_documents(docs: DataFrame, model: str = MODEL, column: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` array<int> and ``n_tokens`` int in place of a text column; null and empty texts have no ids."""
+    """``docs`` with two more columns, ``ids`` array<int> and ``n_tokens`` int, in place of a text column; null and empty texts have no ids.
+
+    The new names get underscores in front while ``docs`` has columns of those names, which stay. Each row gives one row, repeated
+    ones too; no rows give none. Texts are read whole, however long.
+    """
     held, at = _Held(docs.sparkSession, model), docs.columns.index(column)
-    keep = [i for i in range(len(docs.columns)) if i != at and docs.columns[i] not in ("ids", "n_tokens")]
+    keep = [i for i in range(len(docs.columns)) if i != at]
+    made = [unused(docs, "ids"), unused(docs, "n_tokens")]
 
     def run(batches):
         codec = _codec(held)
@@ -176,26 +181,30 @@ def encode_documents(docs: DataFrame, model: str = MODEL, column: str = "text")
                 flat = np.concatenate(every) if every else np.zeros(0, np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(flat))
                 columns = [part.column(i) for i in keep]
-                yield pa.RecordBatch.from_arrays([*columns, ids, pa.array(sizes)], names=[*(part.schema.names[i] for i in keep), "ids", "n_tokens"])
+                yield pa.RecordBatch.from_arrays([*columns, ids, pa.array(sizes)], names=[*(part.schema.names[i] for i in keep), *made])
 
     schema = "".join(f"`{docs.columns[i]}` {docs.schema[i].dataType.simpleString()}, " for i in keep)
-    return docs.mapInArrow(run, f"{schema}ids array<int>, n_tokens int")
+    return docs.mapInArrow(run, f"{schema}`{made[0]}` array<int>, `{made[1]}` int")
+
 
+def decode_documents(docs: DataFrame, model: str = MODEL, column: str = "ids") -> DataFrame:
+    """``docs`` with one more column, ``text``, in place of a column of ids; null ids give a null text.
 
-def decode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """``docs`` with the text of ``ids`` in place of them; null ids give a null text."""
-    held, at = _Held(docs.sparkSession, model), docs.columns.index("ids")
-    keep = [i for i in range(len(docs.columns)) if i != at and docs.columns[i] != "text"]
+    The new name gets underscores in front while ``docs`` has a column of that name, which stays.
+    """
+    held, at = _Held(docs.sparkSession, model), docs.columns.index(column)
+    keep = [i for i in range(len(docs.columns)) if i != at]
+    made = unused(docs, "text")
 
     def run(batches):
         codec = _codec(held)
         for batch in batches:
             texts = [None if x.as_py() is None else codec.decode(x.as_py()) for x in batch.column(at)]
             columns = [batch.column(i) for i in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*(batch.schema.names[i] for i in keep), "text"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*(batch.schema.names[i] for i in keep), made])
 
     schema = "".join(f"`{docs.columns[i]}` {docs.schema[i].dataType.simpleString()}, " for i in keep)
-    return docs.mapInArrow(run, f"{schema}text string")
+    return docs.mapInArrow(run, f"{schema}`{made}` string")
 
 
 def token_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
