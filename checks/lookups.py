@@ -77,6 +77,42 @@ def builder_joins(t):
     return q.select(["parentorderid_", "createtitle_", "tt_area AS area_", "c_name"]).get()
 
 
+@check(
+    "j5_shared_names",
+    """SELECT work_order.orderid AS wo, trouble_ticket.orderid AS tt, trouble_ticket.area_ AS area FROM work_order
+       INNER JOIN trouble_ticket ON work_order.parentticketid = trouble_ticket.ticketid LEFT JOIN tt_processor ON trouble_ticket.ticketid = tt_processor.ticketid
+       WHERE trouble_ticket.processstatus = 'running' AND work_order.processstatus = 'running'""",
+)
+def shared_names(t):
+    q = TableQuery(t.spark, {n: t[n] for n in ("work_order", "trouble_ticket", "tt_processor")}).table("work_order")
+    q.join("trouble_ticket", ["parentticketid", "ticketid"]).join("tt_processor", ["trouble_ticket.ticketid", "ticketid"], "LEFT")
+    q.where(["trouble_ticket.processstatus", "running"]).where(["work_order.processstatus", "running"])
+    return q.select(["work_order.orderid AS wo", "trouble_ticket.orderid AS tt", "trouble_ticket.area_ AS area"]).get()
+
+
+@check(
+    "j5_range_join",
+    """SELECT o.o_orderkey, c.c_custkey FROM orders o
+       INNER JOIN customer c ON o.o_totalprice >= 100 * c.c_custkey AND o.o_totalprice < 100 * c.c_custkey + 250""",
+)
+def ranges(t):
+    customer = t["customer"].selectExpr("c_custkey", "100 * c_custkey AS low", "100 * c_custkey + 250 AS high")
+    q = TableQuery(t.spark, {"orders": t["orders"], "customer": customer}).table("orders")
+    q.join("customer", [["o_totalprice", ">=", "low"], ["o_totalprice", "<", "high"]])
+    return q.select(["o_orderkey", "c_custkey"]).get()
+
+
+@check(
+    "j5_inequality_join",
+    """SELECT n.n_nationkey, s.s_suppkey, s.s_acctbal FROM nation n LEFT JOIN supplier s ON n.n_nationkey * 300.0 < s.s_acctbal AND n.n_nationkey <> s.s_nationkey""",
+)
+def inequality(t):
+    nation = t["nation"].selectExpr("n_nationkey", "n_nationkey * 300.0 AS least")
+    q = TableQuery(t.spark, {"nation": nation, "supplier": t["supplier"]}).table("nation")
+    q.join("supplier", [["least", "<", "s_acctbal"], ["n_nationkey", "<>", "s_nationkey"]], "LEFT")
+    return q.select(["n_nationkey", "s_suppkey", "s_acctbal"]).get()
+
+
 @check(
     "j6_distinct_scalar_lookup",
     """SELECT a.associateticketid, a.sourceticketid,

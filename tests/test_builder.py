@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import operator
+import random
 from datetime import date, datetime
 
 import pytest
@@ -9,6 +11,7 @@ from tests.conftest import rows_of
 from triagegrid.operators import edits
 from triagegrid.operators.builder import TableQuery, TicketFrame, listed
 from triagegrid.operators.predicates import literal
+from triagegrid.operators.range_join import range_join
 
 
 @pytest.fixture
@@ -72,12 +75,35 @@ def test_joins(query):
     assert rows_of(q.get()) == [(3,)]
 
 
-def test_join_without_equality_takes_a_small_right_side(query, monkeypatch):
+def test_joins_without_equality(query):
+    q = query.table("people").join("teams", ["score", ">", "least"]).select(["id", "code"])
+    text = q.get()._jdf.queryExecution().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
     q = query.table("people").join("teams", ["score", ">", "least"]).select(["id", "code"])
     assert rows_of(q.get()) == [(2, "a"), (3, "a"), (4, "a")]
-    monkeypatch.setattr("triagegrid.operators.builder.THETA_ROWS", 1)
-    with pytest.raises(ValueError, match="at most 1 rows"):
-        query.table("people").join("teams", ["score", ">", "least"]).get()
+    q = query.table("people").join("teams", ["score", ">", "least"], "LEFT").select(["id", "code"])
+    assert rows_of(q.get()) == [(1, None), (2, "a"), (3, "a"), (4, "a")]
+    with pytest.raises(ValueError, match="all_pairs asks"):
+        query.table("people").join("teams", ["team", "<>", "code"])
+    q = query.table("people").join("teams", ["team", "<>", "code"], all_pairs=True).select(["id", "code"])
+    assert rows_of(q.get()) == [(1, "b"), (2, "a"), (3, "b")]
+    with pytest.raises(ValueError, match="a join condition is"):
+        query.table("people").join("teams", ["team", "~", "code"])
+
+
+def test_names_that_several_tables_share(spark):
+    people = spark.createDataFrame([(1, "a", 7), (2, "b", 8), (3, "a", None)], "id INT, name STRING, boss INT")
+    bosses = spark.createDataFrame([(7, "x"), (8, "y"), (9, "z")], "id INT, name STRING")
+    q = TableQuery(spark, {"people": people, "bosses": bosses})
+    got = q.table("people").join("bosses", ["boss", "id"], "LEFT").where(["people.id", "<", 3])
+    got = got.select(["people.id", "bosses.name AS boss", "people.name"]).orderBy(["bosses.name", "people.id"], "DESC").get()
+    assert [tuple(r) for r in got.collect()] == [(2, "y", "b"), (1, "x", "a")]
+    q.table("people").join("bosses", ["people.boss", "bosses.id"]).groupBy("bosses.name").orderBy("bosses.name")
+    assert [tuple(r) for r in q.select(["bosses.name", "count(people.id) AS n"]).get().collect()] == [("x", 1), ("y", 1)]
+    q.table("people").join("bosses", ["id", "id"], "LEFT").select("people.id, bosses.id AS other")
+    assert rows_of(q.get()) == [(1, None), (2, None), (3, None)]
+    assert q.table("people").join("bosses", ["boss", "id"]).get().columns == ["id", "name", "boss", "id", "name"]
+    assert [r.id for r in q.table("people").where(["people.id", 2]).get().collect()] == [2]
 
 
 def test_group_order_limit(query):
@@ -95,6 +121,40 @@ def test_texts_with_several_names(query):
     assert [tuple(r) for r in q.get().collect()] == [("a", 1, 1), ("b", 2, 1), ("a", 3, 1), (None, 4, 1)]
 
 
+OPERATORS = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+@pytest.mark.parametrize("ops", [["<"], [">="], [">=", "<"], [">", "<="], ["<", "<="]])
+def test_range_joins_equal_all_pairs_tested(spark, how, ops):
+    rng = random.Random(len(ops) + len(how))
+    left = [(i, rng.choice([None, 5, 5, 5, rng.randint(0, 50)])) for i in range(60)]
+    right = [(j, rng.choice([None, rng.randint(0, 45)]), rng.choice([None, rng.randint(10, 60)])) for j in range(40)]
+    a, b = spark.createDataFrame(left, "i INT, v INT"), spark.createDataFrame(right, "j INT, p INT, q INT")
+    names = ["p", "q"][: len(ops)]
+    ranges = [(a["v"], op, b[n]) for op, n in zip(ops, names)]
+
+    def meet(x, y):
+        return all(x[1] is not None and y[1 + k] is not None and OPERATORS[op](x[1], y[1 + k]) for k, op in enumerate(ops)) and x[0] != y[0]
+
+    pairs = [(x, y) for x in left for y in right if meet(x, y)]
+    alone = [x for x in left if not any(x == p[0] for p in pairs)]
+    lonely = [y for y in right if not any(y == p[1] for p in pairs)]
+    want = {"left_semi": [x for x in left if x not in alone], "left_anti": alone}.get(how) or [(*x, *y) for x, y in pairs]
+    want += [(*x, None, None, None) for x in alone] if how in ("left", "full") else []
+    want += [(None, None, *y) for y in lonely] if how in ("right", "full") else []
+    out = range_join(a, b, ranges, how, [a["i"] != b["j"]])
+    assert rows_of(out) == sorted(want, key=repr)
+
+
+def test_buckets_of_texts_and_empty_sides(spark):
+    a = spark.createDataFrame([("b",), ("d",), (None,)], "v STRING")
+    b = spark.createDataFrame([("a", "c"), ("c", "e")], "p STRING, q STRING")
+    ranges = [(a["v"], ">=", b["p"]), (a["v"], "<", b["q"])]
+    assert rows_of(range_join(a, b, ranges)) == [("b", "a", "c"), ("d", "c", "e")]
+    assert range_join(a.where("false"), b, ranges).count() == 0 and range_join(a, b.where("false"), ranges, "left").count() == 3
+
+
 def test_edits_make_new_versions(query):
     first = query.tables["people"]
     query.table("people").insert({"id": 9, "score": 5})

@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from triagegrid.functions.scalars import as_col
 from triagegrid.operators import dedupe, edits
 from triagegrid.operators.predicates import COMPARISONS, chain, condition
+from triagegrid.operators.range_join import LOWER, UPPER, range_join
 from triagegrid.sources import readers, sinks
 
-THETA_ROWS = 10_000
-
-
 def listed(fields: list[str] | str) -> list[str]:
     """Names or expressions as a list; a text may hold several, between commas outside of brackets and quotes."""
     if not isinstance(fields, str):
@@ -35,7 +33,8 @@ class TableQuery:
     """``table → select → join → where → groupBy → orderBy → limit → get`` in a fixed clause order.
 
     The chain only collects clauses; ``get`` returns one lazy DataFrame. ``tables`` maps names to DataFrames, other
-    names are read from the session's catalog.
+    names are read from the session's catalog. Every clause takes names of columns and ``table.column``, which several tables with
+    equal column names need.
     """
 
     def __init__(self, spark: SparkSession, tables: dict[str, DataFrame] | None = None):
@@ -47,7 +46,7 @@ class TableQuery:
         self._table = None
         self._select: list[str] | None = None
         self._joins: list[tuple[str, list, str]] = []
-        self._tokens: list[tuple[str, bool, Column, bool]] = []
+        self._tokens: list[tuple[str, bool, list, bool, bool]] = []
         self._groups: list[str] = []
         self._order: tuple[list[str], str] | None = None
         self._limit: tuple[int, int] | None = None
@@ -64,9 +63,19 @@ class TableQuery:
         self._select = listed(fields)
         return self
 
-    def join(self, table: str, on: list, how: str = "INNER") -> TableQuery:
-        """``[left, right]``, ``[left, operator, right]`` or a list of such conditions. Several joins may follow."""
-        self._joins.append((table, on if isinstance(on[0], list) else [on], how))
+    def join(self, table: str, on: list, how: str = "INNER", all_pairs: bool = False) -> TableQuery:
+        """``[left, right]``, ``[left, operator, right]`` or a list of such conditions. Several joins may follow.
+
+        Without an equality the conditions are ranges, as in ``[[x, ">=", low], [x, "<", high]]``. Conditions of other kinds alone
+        pair all rows with all; that has to be asked for with ``all_pairs``, whatever the sizes.
+        """
+        conditions = [tuple(c) for c in (on if isinstance(on[0], (list, tuple)) else [on])]
+        conditions = [(c[0], "=", c[1]) if len(c) == 2 else c for c in conditions]
+        if any(len(c) != 3 or c[1] not in COMPARISONS for c in conditions):
+            raise ValueError("a join condition is [left, right] or [left, operator, right]")
+        if not all_pairs and not any(op in ("=", *LOWER, *UPPER) for _, op, _ in conditions):
+            raise ValueError("a join needs an equality or a range condition; all_pairs asks for all rows with all")
+        self._joins.append((table, conditions, how))
         return self
 
     def groupWhere(self, parenthesis: str) -> TableQuery:
@@ -76,13 +85,14 @@ class TableQuery:
         return self
 
     def where(self, parts: list, between: bool = False) -> TableQuery:
-        return self._add("AND", condition(parts, between))
+        return self._add("AND", parts, between)
 
     def orWhere(self, parts: list) -> TableQuery:
-        return self._add("OR", condition(parts))
+        return self._add("OR", parts)
 
-    def _add(self, connector: str, cond: Column) -> TableQuery:
-        self._tokens.append((connector, self._open, cond, self._close))
+    def _add(self, connector: str, parts: list, between: bool = False) -> TableQuery:
+        condition(parts, between)  # what is wrong with it shows here, not at the end of the chain
+        self._tokens.append((connector, self._open, parts, between, self._close))
         self._open = self._close = False
         return self
 
@@ -103,7 +113,8 @@ class TableQuery:
             return None
         outer: list[tuple[str, Column]] = []
         group: list[tuple[str, Column]] | None = None
-        for connector, opens, cond, closes in self._tokens:
+        for connector, opens, parts, between, closes in self._tokens:
+            cond = condition([self._column(parts[0]), *parts[1:]], between)
             if opens:
                 group = []
                 group_connector = connector
@@ -118,42 +129,63 @@ class TableQuery:
             raise ValueError("a condition group was opened and not closed")
         return chain(outer)
 
+    def _column(self, name: Column | str) -> Column:
+        """A column by its name, or by table and name."""
+        if isinstance(name, str) and "." in name:
+            table, column = name.split(".", 1)
+            if table in (self._table, *(t for t, _, _ in self._joins)):
+                return F.col(f"`{table}`.`{column}`")
+        return as_col(name)
+
     def _joined(self, df: DataFrame, table: str, on: list, how: str) -> DataFrame:
-        right = self._frame(table)
-        pairs = [(c[0], "=", c[1]) if len(c) == 2 else tuple(c) for c in on]
-        conds = [COMPARISONS[op](as_col(left), as_col(r)) for left, op, r in pairs]
-        if not any(op == "=" for _, op, _ in pairs):
-            if right.limit(THETA_ROWS + 1).count() > THETA_ROWS:
-                raise ValueError(f"a join without an equality takes a right side of at most {THETA_ROWS} rows")
-            right = F.broadcast(right)
-        return df.join(right, conds, how.lower())
+        frame = self._frame(table)
+        right = frame.alias(table)
+
+        def own(name: str) -> Column:
+            """A name of the joined table."""
+            return F.col(f"`{table}`.`{name}`") if name in frame.columns else self._column(name)
+
+        def other(name: str) -> Column:
+            """A name of the tables before it."""
+            return df[f"`{name}`"] if df.columns.count(name) == 1 else self._column(name)
+
+        pairs = [(other(left), op, own(r)) for left, op, r in on]
+        first = next((left for left, op, _ in on if op in (*LOWER, *UPPER)), None)
+        if first is None or any(op == "=" for _, op, _ in on):
+            return df.join(right, [COMPARISONS[op](left, r) for left, op, r in pairs], how.lower())
+        ranges = [p for p, c in zip(pairs, on) if c[0] == first and c[1] in (*LOWER, *UPPER)]
+        more = [COMPARISONS[op](left, r) for (left, op, r), c in zip(pairs, on) if c[0] != first or c[1] not in (*LOWER, *UPPER)]
+        return range_join(df, right, ranges, how.lower(), more)
 
     def get(self) -> DataFrame:
-        df = self._frame(self._table)
+        df = self._frame(self._table).alias(self._table)
         for table, on, how in self._joins:
             df = self._joined(df, table, on, how)
         cond = self._condition()
         if cond is not None:
             df = df.where(cond)
+        shown = [] if not self._select or self._select == ["*"] else self._select
         if self._groups:
-            names = [as_col(g) for g in self._groups]
-            rest = [F.expr(e) for e in self._select or [] if e not in self._groups]
-            shown = [e for e in self._select or [] if e in self._groups]
-            df = df.groupBy(*names).agg(*rest) if rest else df.select(*names).distinct()
-            hidden = [g for g in self._groups if self._select and g not in shown]
-            df = self._ordered(df).drop(*hidden)
+            plain = {g: self._column(g).alias(g.rsplit(".", 1)[-1]) for g in self._groups}
+            rest = [F.expr(e) for e in shown if e not in plain]
+            df = df.groupBy(*plain.values()).agg(*rest) if rest else df.select(*plain.values()).distinct()
+            hidden = [g.rsplit(".", 1)[-1] for g in plain if shown and g not in shown]
+            df = self._ordered(df, [as_col(c.rsplit(".", 1)[-1]) for c in self._order[0]] if self._order else [])
+            df = df.drop(*hidden)
         else:
-            df = self._ordered(df)
-            if self._select and self._select != ["*"]:
-                df = df.selectExpr(*self._select)
+            keys = [self._column(c) for c in self._order[0]] if self._order else []
+            names = [f"__order_{i}" for i in range(len(keys))]
+            df = df.select(*[F.expr(e) for e in shown or ["*"]], *[k.alias(n) for k, n in zip(keys, names)])
+            df = self._ordered(df, [as_col(n) for n in names]).drop(*names)
         self._clear()
         return df
 
-    def _ordered(self, df: DataFrame) -> DataFrame:
+    def _ordered(self, df: DataFrame, keys: list[Column]) -> DataFrame:
         """Sorted and limited."""
+        order = dedupe.sort_keys(keys, self._order[1]) if self._order else None
         if self._limit:
-            return dedupe.first_rows(df, *self._limit, dedupe.sort_keys(*self._order) if self._order else None)
-        return dedupe.sort_rows(df, *self._order) if self._order else df
+            return dedupe.first_rows(df, *self._limit, order)
+        return df.orderBy(*order, dedupe.tie_break(df)) if order else df
 
     def _edited(self, df: DataFrame) -> DataFrame:
         self.tables[self._table] = df
@@ -164,10 +196,10 @@ class TableQuery:
         return self._edited(edits.insert_record(self._frame(self._table), values))
 
     def update(self, values: dict) -> DataFrame:
-        return self._edited(edits.update_where(self._frame(self._table), values, self._condition()))
+        return self._edited(edits.update_where(self._frame(self._table).alias(self._table), values, self._condition()))
 
     def delete(self) -> DataFrame:
-        return self._edited(edits.delete_where(self._frame(self._table), self._condition()))
+        return self._edited(edits.delete_where(self._frame(self._table).alias(self._table), self._condition()))
 
 
 class TicketFrame:

@@ -20,8 +20,9 @@ PART, PLACE = "__part", "__place"
 
 
 def tie_break(df: DataFrame) -> Column:
-    """A last sort key that lets rows with one hot sort value spread over several ranges."""
-    return F.xxhash64(*[as_col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+    """A last sort key that lets rows with one hot sort value spread over several ranges. Columns that share a name take no part."""
+    names = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*[as_col(n) for n in names if names.count(n) == 1], F.lit(0))
 
 
 class OrderIndex:
