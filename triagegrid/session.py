@@ -61,8 +61,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Files of a stored table for each core of the cluster, at most.
+FILES_PER_CORE = 6
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Rows written below the shared folder and read back: cut lineage, columnar, and prunable by each reader."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Rows written below the shared folder and read back: cut lineage, columnar, and prunable by each reader.
+
+    Partitions beyond a few per core are written by one task after the other, as every small file costs calls to the file system.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
