@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.base import check, local
 from triagegrid.functions.scalars import local_text
-from triagegrid.operators.pivots import row_counts
 from triagegrid.session import new_path
-from triagegrid.sources import readers, sinks
+from triagegrid.sources import history, readers, sinks
 
 
 @check(
@@ -78,10 +79,10 @@ def csv_sink(t):
 
 
 @check(
-    "s5_append_table",
+    "s5_append_path",
     "SELECT orderid, processstatus, createtime IS NOT NULL AS dated FROM work_order",
 )
-def append_table(t):
+def append_path(t):
     path = new_path(t.spark, "append")
     rows = t["work_order"].select("orderid", "processstatus", F.col("createtime").isNotNull().alias("dated"))
     sinks.append_path(rows.where(F.col("processstatus") == "running"), path)
@@ -89,6 +90,19 @@ def append_table(t):
     return t.spark.read.parquet(path)
 
 
+@check(
+    "s5_append_table",
+    "SELECT orderid, processstatus, CASE WHEN processstatus = 'running' THEN area_ END AS area FROM work_order",
+)
+def append_table(t):
+    """Two appends by name, the second one in another order and without one of the columns."""
+    name = f"appended_{uuid.uuid4().hex}"
+    rows = t["work_order"].select("orderid", "processstatus", F.col("area_").alias("area"))
+    sinks.append_table(rows.where(F.col("processstatus") == "running"), name)
+    sinks.append_table(rows.where(F.col("processstatus") != "running").select("processstatus", "orderid"), name)
+    return t.spark.table(name)
+
+
 @check(
     "s6_dated_snapshot",
     """SELECT d.day AS asof, orderid AS ticket_id, area_ AS area FROM trouble_ticket
@@ -104,6 +118,20 @@ def dated_snapshot(t):
     return t.spark.read.parquet(path).select(F.col("asof").cast("string").alias("asof"), "ticket_id", "area")
 
 
+@check(
+    "s6_change_history",
+    """WITH d AS (SELECT unnest(['01', '02', '03']) AS day, unnest([30, 60, 45]) AS most)
+       SELECT day, orderid, area_ FROM d JOIN trouble_ticket ON ticketid % 100 < most""",
+)
+def change_history(t):
+    """Three days, the second one written last, once wrong and once right; each day as it was."""
+    tt, path = t["trouble_ticket"].select("orderid", "area_", "ticketid"), new_path(t.spark, "history")
+    for day, most in (("01", 30), ("03", 45), ("02", 99), ("02", 60)):
+        history.write_day(tt.where(F.col("ticketid") % 100 < most).drop("ticketid"), path, day)
+    views = [history.as_of(t.spark, path, day).select(F.lit(day).alias("day"), "orderid", "area_") for day in ("01", "02", "03")]
+    return views[0].union(views[1]).union(views[2])
+
+
 @check(
     "s7_parameterised_query",
     f"""SELECT orderid, {local('wo005_submit_wo005')} AS processed FROM work_order
@@ -132,5 +160,4 @@ def multi_dataset_report(t):
         "closed": tt.where(F.col("processstatus") != "running"),
         "work": t["work_order"].select("ticketid", "orderid"),
     }
-    paths = sinks.write_report(datasets, new_path(t.spark, "report"))
-    return row_counts({name: t.spark.read.parquet(p) for name, p in paths.items()})
+    return sinks.counts_frame(t.spark, sinks.write_counted(datasets, new_path(t.spark, "report"))[1])

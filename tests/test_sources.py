@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from triagegrid import session
 from triagegrid.analog import Tables
 from triagegrid.model import TABLES, conform
-from triagegrid.sources import readers, sinks
+from triagegrid.sources import history, readers, sinks
 
 
 def test_csv_short_and_long_lines(spark, tmp_path):
@@ -84,6 +87,52 @@ def test_snapshot_rerun_is_idempotent(spark, tmp_path):
     assert rows_of(spark.read.parquet(path).selectExpr("CAST(asof AS STRING)")) == [("2021-12-09",)]
 
 
+def test_a_failing_write_leaves_the_day(spark, tmp_path):
+    path = str(tmp_path / "history")
+    df = spark.createDataFrame([("TT-1", "x")], "`Ticket ID` STRING, Area STRING")
+    sinks.write_snapshot(df, path, "2021-12-09")
+    bad = df.withColumn("Area", F.raise_error(F.concat(F.lit("no area for "), "Ticket ID")).cast("string"))
+    with pytest.raises(Exception, match="no area for TT-1"):
+        sinks.write_snapshot(bad, path, "2021-12-09")
+    held = spark.read.parquet(path)
+    assert rows_of(held.select("ticket_id", "area")) == [("TT-1", "x")]
+    # A day that is made from the history itself.
+    sinks.write_snapshot(held.selectExpr("concat(ticket_id, 'b') AS `Ticket ID`", "area AS Area"), path, "2021-12-09")
+    assert rows_of(spark.read.parquet(path).select("ticket_id", "area")) == [("TT-1b", "x")]
+    assert [n for n in os.listdir(path) if n.startswith("_old")] == []
+
+
+def test_history_of_changes_gives_every_day(spark, tmp_path):
+    path = str(tmp_path / "changes")
+    tables = {
+        "1": [("a", 1), ("b", 2), ("b", 2), (None, None)], "3": [("a", 1), ("b", 2), ("c", 3)], "4": [], "2": [("a", 5), ("b", 2), ("b", 2), ("b", 2)],
+    }
+    write = lambda day, rows: history.write_day(spark.createDataFrame(rows, "k STRING, v INT"), path, day)
+    for day, rows in tables.items():
+        write(day, rows)
+    tables["3"] = [("x", 9)]
+    write("3", tables["3"])
+    for day, rows in tables.items():
+        assert rows_of(history.as_of(spark, path, day)) == sorted(rows, key=repr), day
+        before = sorted(os.listdir(path))
+        write(day, rows)
+        assert [n for n in sorted(os.listdir(path)) if not n.startswith("_")] == [n for n in before if not n.startswith("_")]
+        assert rows_of(history.as_of(spark, path, day)) == sorted(rows, key=repr)
+    assert rows_of(history.as_of(spark, path, "9")) == [] and rows_of(history.as_of(spark, path, "0")) == []
+    assert history.days(spark, path) == ["1", "2", "3", "4"]
+    stored = spark.read.parquet(path).where("asof = 1")
+    assert stored.count() == 3
+    with pytest.raises(ValueError, match="history itself"):
+        history.write_day(spark.range(1).withColumnRenamed("id", "asof"), path, "5")
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    rows = spark.range(30).repartition(3)
+    paths, counts = sinks.write_counted({"one": rows, "none": rows.where("id < 0"), "table": spark.createDataFrame([(1,)], "a INT")}, str(tmp_path))
+    assert counts == {"one": 30, "none": 0, "table": 1}
+    assert rows_of(sinks.counts_frame(spark, counts)) == [("none", 0), ("one", 30), ("table", 1)]
+
+
 def test_report_datasets(spark, tmp_path):
     paths = sinks.write_report({"one": spark.range(3), "two": spark.range(2)}, str(tmp_path))
     assert spark.read.parquet(paths["one"]).count() == 3 and paths["two"].endswith("two")

@@ -17,7 +17,6 @@ from triagegrid.functions.scalars import (
     whole_second,
 )
 from triagegrid.operators.lookups import first_match, keys_only, parent_fallback
-from triagegrid.operators.pivots import row_counts
 from triagegrid.operators.predicates import finishes_by, in_local_range, like_any, like_none
 from triagegrid.plans.common import (
     columns_as,
@@ -29,7 +28,7 @@ from triagegrid.plans.common import (
     team_tasks,
     user_name,
 )
-from triagegrid.sources.sinks import write_report
+from triagegrid.sources.sinks import counts_frame, write_counted
 
 TEAM, ZONE = fixed.REPORT_TEAM_GROUP, fixed.LOCAL_ZONE
 
@@ -219,11 +218,11 @@ def team_daily(tables, start: str, end: str, members: DataFrame | None = None) -
 
 
 def write_team_daily(tables, path: str, start: str, end: str, members: DataFrame | None = None) -> DataFrame:
-    """Write the seven datasets and count their rows. The escalations read the written pending rows."""
+    """Write the seven datasets and count their rows on the way. The escalations read the written pending rows."""
     spark = tables["work_order"].sparkSession
     datasets = team_daily(tables, start, end, members)
     datasets.pop("Pending_WO_Escalation")
-    paths = write_report(datasets, path)
+    paths, counts = write_counted(datasets, path)
     written = spark.read.parquet(paths["Pending_WO"])
-    paths |= write_report({"Pending_WO_Escalation": work_escalations(tables, written)}, path)
-    return row_counts({name: spark.read.parquet(p) for name, p in paths.items()})
+    counts |= write_counted({"Pending_WO_Escalation": work_escalations(tables, written)}, path)[1]
+    return counts_frame(spark, counts)
