@@ -80,6 +80,20 @@ def count_pivot(t):
     return P.pivot_with_total(t["trouble_ticket"], ["area_"], "technology_", "deviceid_", "count", TECH)
 
 
+@check(
+    "a4_paged_pivot",
+    """WITH x AS (SELECT siteid_ AS c, dense_rank() OVER (ORDER BY siteid_) - 1 AS n FROM (SELECT DISTINCT siteid_ FROM trouble_ticket
+                  WHERE area_ IS NOT NULL AND siteid_ IS NOT NULL AND siteid_ <> '')),
+       k AS (SELECT coalesce(area_, 'All') AS area, siteid_ AS site, count(deviceid_) AS cell FROM trouble_ticket
+             WHERE area_ IS NOT NULL AND siteid_ IS NOT NULL AND siteid_ <> '' GROUP BY GROUPING SETS ((area_, siteid_), (siteid_)))
+       SELECT area, (n // 7)::integer AS page, site, cell FROM k JOIN x ON x.c = k.site""",
+)
+def paged_pivot(t):
+    paged = P.paged_pivot(t["trouble_ticket"], ["area_"], "siteid_", "deviceid_", "count", page_columns=7)
+    cells = paged.cells.select(F.col("area_").alias("area"), F.col("__page").alias("page"), F.explode("__cells").alias("site", "cell"))
+    return cells
+
+
 @check(
     "a5_mean_pivot",
     sql_pivot(

@@ -9,7 +9,7 @@ from triagegrid.operators import lists
 from triagegrid.operators import lookups as L
 from triagegrid.operators.builder import TableQuery
 from triagegrid.operators.pivots import group_mean
-from triagegrid.plans.common import known_people, label_of, processors_of, team_tasks, user_name
+from triagegrid.plans.common import known_people, label_ask, label_of, processors_of, team_tasks, user_ask, user_name
 from triagegrid.plans.r7_team_daily import escalation_times
 
 
@@ -47,6 +47,33 @@ def association_fan_out(t):
     return df.select("orderid", "source")
 
 
+@check(
+    "j3_split_fan_out",
+    """SELECT t.orderid, a.sourceticketid AS source FROM trouble_ticket t
+       LEFT JOIN ticket_associate a ON a.associateticketid = t.ticketid""",
+)
+def split_fan_out(t):
+    """Every ticket with more than one association counts as hot and is split."""
+    take = {"sourceticketid": "source"}
+    df = L.fan_out_left(t["trouble_ticket"], "ticketid", t["ticket_associate"], "associateticketid", take, ["orderid"], hot_rows=1)
+    return df.select("orderid", "source")
+
+
+@check(
+    "j9_stacked_lookups",
+    f"""SELECT t.orderid, s.v AS severity, c.v AS cause, u.v AS creator FROM trouble_ticket t LEFT JOIN {one_of("severity", "code", "label")} s ON s.k = t.currentseverity_
+        LEFT JOIN {one_of("data_source", "code", "label")} c ON c.k = t.causeofoutage_
+        LEFT JOIN {one_of("user_dim", "user_id", "fullname")} u ON u.k = TRY_CAST(replace(t.originator, 'user:', '') AS BIGINT)""",
+)
+def stacked_lookups(t):
+    asks = [
+        label_ask(t, "severity", "currentseverity_", "severity"),
+        label_ask(t, "data_source", "causeofoutage_", "cause"),
+        user_ask(t, "originator", "creator"),
+    ]
+    return L.stacked_lookups(t["trouble_ticket"], "ticketid", asks).select("orderid", "severity", "cause", "creator")
+
+
 @check(
     "j4_inner_with_tasks",
     """SELECT w.orderid, k.nodeid, g.v AS assign_group FROM ticket_task k, work_order w, """

@@ -166,3 +166,32 @@ def test_a_lattice_gives_what_the_detail_gives(spark, seed):
     assert P.with_total(none, ["area"], measures).collect() == [] and P.axis_values(none, "tech") == []
     with pytest.raises(ValueError, match="no mean of ticket"):
         P.with_total(cells, ["area"], [P.Measure("x", "mean", "ticket")])
+
+
+@pytest.mark.parametrize(("value", "how"), [("ticket", "count"), ("hours", "mean")])
+def test_pages_side_by_side_are_the_pivot(spark, value, how):
+    df = spark.createDataFrame(sample(6, 150), SCHEMA)
+    whole = P.pivot_with_total(df, ["area", "kind"], "tech", value, how)
+    paged = P.paged_pivot(df, ["area", "kind"], "tech", value, how, page_columns=2)
+    labels = [v for n in range(paged.pages) for v in paged.labels(n)]
+    assert labels == P.axis_values(df, "tech") and paged.pages == -(-len(labels) // 2) > 1
+    cells = {}
+    for n in range(paged.pages):
+        page = paged.page(n)
+        assert page.columns == ["area", "kind", *labels[2 * n : 2 * n + 2], "All"]
+        for key, v in by_spark(page, ["area", "kind"]).items():
+            assert key not in cells or key[-1] == "All" and cells[key] == v
+            cells[key] = v
+    want = by_spark(whole, ["area", "kind"])
+    assert cells.keys() == want.keys() and all(cells[k] == want[k] or cells[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_an_axis_of_many_values_gives_pages(spark):
+    df = spark.range(40_000).select((F.col("id") % 3).alias("r"), (F.col("id") % 20_000).cast("string").alias("c"))
+    paged = P.paged_pivot(df, ["r"], "c", "c", "count", page_columns=500)
+    assert paged.pages == 40 and len(paged.labels(39)) == 500
+    page = paged.page(7)
+    assert page.count() == 4 and len(page.columns) == 502
+    total = next(r for r in page.collect() if r.r == "All")
+    assert total["All"] == 40_000 and {total[c] for c in paged.labels(7)} == {2}
+    assert P.paged_pivot(df.where("false"), ["r"], "c", "c", "count").pages == 0

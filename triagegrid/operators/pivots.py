@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triagegrid.functions.scalars import as_col
+from triagegrid.operators.order_index import OrderIndex
+from triagegrid.session import stored
 
 TOTAL = "All"
 
@@ -75,7 +77,7 @@ def axis_values(df: DataFrame | Lattice, column: str, exclude: list | None = Non
         values = values.where(~F.col("v").isin(list(exclude)))
     found = [row.v for row in values.limit(most + 1).collect()]
     if len(found) > most:
-        raise ValueError(f"{column} has more than {most} values and cannot be an axis")
+        raise ValueError(f"{column} has more than {most} values; paged_pivot takes an axis of any length")
     return sorted(found)
 
 
@@ -248,3 +250,59 @@ def row_counts(datasets: dict[str, DataFrame]) -> DataFrame:
     """Rows per named dataset, counted in parallel in one job."""
     counts = [d.agg(F.count("*").alias("rows")).select(F.lit(n).alias("dataset"), "rows") for n, d in datasets.items()]
     return reduce(DataFrame.unionByName, counts)
+
+
+@dataclass(frozen=True)
+class PagedPivot:
+    """A pivot over an axis of any length: cells stay narrow, and only one page of columns at a time is laid out wide.
+
+    ``cells`` has the row keys, the number of the page, and a map from each axis value of the page that the row has to its cell. ``totals``
+    has the row keys and the total column. The driver holds the values of one page at most.
+    """
+
+    axis: OrderIndex
+    cells: DataFrame
+    totals: DataFrame
+    rows: list[str]
+    page_columns: int
+
+    @property
+    def pages(self) -> int:
+        return -(-len(self.axis) // self.page_columns)
+
+    def labels(self, page: int) -> list[str]:
+        """The axis values of a page, in order; pages are numbered from 0."""
+        return [r.value for r in self.axis.slice(self.page_columns, page * self.page_columns).collect()]
+
+    def page(self, page: int, total: str = TOTAL) -> DataFrame:
+        """Every row of the pivot, the total row included, with the columns of a page and the total column over all pages."""
+        own = self.cells.where(F.col("__page") == page).select(*[as_col(r).alias(f"__{r}") for r in self.rows], "__cells")
+        same = [as_col(r) == as_col(f"__{r}") for r in self.rows]
+        shown = [F.try_element_at("__cells", F.lit(v)).alias(v) for v in self.labels(page)]
+        return self.totals.join(own, same, "left").select(*[as_col(r) for r in self.rows], *shown, F.col("__total").alias(total))
+
+
+def paged_pivot(
+    df: DataFrame | Lattice, rows: list[str], column: str, value: str, how: str, page_columns: int = 1000, total: str = TOTAL
+) -> PagedPivot:
+    """``pivot_with_total`` for an axis that is found in the data, without a limit to its length.
+
+    The axis is sorted and numbered by ranges; its values are texts. The plan has the size of one page, however long the axis.
+    """
+    keyed = _with_keys(df, [*rows, column])
+    keys = [as_col(r).cast("string").alias(r) for r in rows]
+    parts = {n.removesuffix("_0"): p for n, p in _parts([Measure(total, how, value)], keyed).items()}
+    narrow = _frame(keyed).groupBy(*keys, as_col(column).cast("string").alias("__column")).agg(*[p.alias(n) for n, p in parts.items()])
+    narrow = stored(narrow.where(F.col("__column") != ""), "pivot-cells")
+    axis = OrderIndex(narrow.select(F.col("__column").alias("value")).distinct(), ["value"])
+    names = [as_col(r) for r in rows]
+    every = [F.lit(total if i == 0 else "").alias(r) for i, r in enumerate(rows)]
+    added = [F.sum(n).alias(n) for n in parts]
+    whole = narrow.groupBy("__column").agg(*added).select(*every, "__column", *parts)
+    cells = narrow.union(whole.select(*narrow.columns))
+    cell = F.when(F.col("__count") > 0, F.col("__sum") / F.col("__count")) if how == "mean" else F.col("__count")
+    place = axis.numbered("__place").select(F.floor(F.col("__place") / page_columns).cast("int").alias("__page"), F.col("value").alias("__value"))
+    paged = cells.join(place, F.col("__column") == F.col("__value")).where(cell.isNotNull())
+    paged = paged.groupBy(*names, "__page").agg(F.map_from_entries(F.collect_list(F.struct("__value", cell.alias("cell")))).alias("__cells"))
+    totals = cells.groupBy(*names).agg(*added).select(*names, cell.alias("__total")).where(F.col("__total").isNotNull())
+    return PagedPivot(axis, stored(paged, "pivot-pages"), stored(totals, "pivot-totals"), rows, page_columns)
