@@ -517,3 +517,18 @@ def test_token_rows(spark):
     back = pieces.decode_documents(pieces.encode_documents(docs_of(spark, ODD))).collect()
     assert [r.text for r in back] == [t or "" for _, t in ODD] and back[0].score == "a"
     assert all(r.round_trip for r in pieces.token_digests(docs_of(spark, ODD)).collect())
+
+
+def test_empty_tables_and_other_columns(spark):
+    none = docs_of(spark, [])
+    assert secret_scan.scan_secrets(none).count() == 0 and pieces.token_digests(none).count() == 0
+    assert pseudo_likelihood.score_documents(none).count() == 0
+    assert quality.score_documents(none, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
+    items = spark.createDataFrame([(1, "a benchmark item of more than five words")], "item_id long, text string")
+    assert decontaminate.contaminated(none, items).count() == 0
+    vectors = spark.createDataFrame([(0, [0.5], "x", 1), (1, [0.25], "y", 2), (2, [0.5, 0.5], "z", 3)], "vec_id long, embedding array<double>, score string, rank int")
+    assert [tuple(r) for r in topk.top_k(vectors).collect()] == [(0, 1, 1, 128 * 64)]
+    pages = spark.createDataFrame([(1, "http://h.org/" + "a/" * 20_000, "x", "y")], "page_id long, url string, host string, verdict string")
+    assert [(r.host, r.rule) for r in url_templates.judge_urls(pages).collect()] == [("h.org", "org/")]
+    tied = url_templates.judge_urls(spark.createDataFrame([(1, "x://a.b/p")], "page_id long, url string"), [("b", "/p", "allow"), ("a.b", "/", "block"), ("b", "/", "block")])
+    assert [(r.rule, r.verdict) for r in tied.collect()] == [("a.b/", "block")]

@@ -109,7 +109,10 @@ def linear_trees(conversations: DataFrame) -> DataFrame:
 
 
 def chat_texts(nodes: DataFrame, keep: int = 1) -> DataFrame:
-    """The chosen paths of reply trees (conv_id, node_id, parent_id, score, role, text) as texts with their loss masks."""
+    """The chosen paths of reply trees (conv_id, node_id, parent_id, score, role, text) as texts with their loss masks.
+
+    No nodes give no texts. A conversation is one text, however long its messages. Other columns are not looked at.
+    """
     nodes = stored(nodes, "nodes")
     path = best_paths(nodes, keep)
     return formatted(path.join(nodes.select("conv_id", "node_id", "role", "text"), ["conv_id", "node_id"]))

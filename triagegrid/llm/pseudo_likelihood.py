@@ -228,7 +228,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, log_likelihood (sum over all words), per_word for every row of ``docs``.
 
     A text without words, or a null one, has the sum 0 and no mean. Repeated rows are scored each and all count in training. Ids
-    are passed through as they are. No rows give no rows.
+    are passed through as they are. No rows give no rows. Texts are read whole, however long. Columns other than doc_id and text are
+    not looked at.
     """
     spark = docs.sparkSession
     texts = docs.select("text")

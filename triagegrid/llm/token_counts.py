@@ -34,7 +34,10 @@ def _encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
 
 
 def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """``length`` of every row's whole text in tokens; null and empty texts have none. Special tokens in a text are ordinary text."""
+    """``length`` of every row's whole text in tokens, however long; null and empty texts have none, rows given twice count twice.
+
+    Special tokens in a text are ordinary text. No rows give no rows. Columns other than the text are not looked at.
+    """
     with open(vocabulary, "rb") as file:
         held = docs.sparkSession.sparkContext.broadcast(file.read())
 

@@ -67,7 +67,8 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """A verdict for every row of ``pages`` (page_id, url): page_id, host, path, rule, verdict, template, blocked_share.
 
     A null url, or one without ``://``, has an empty host and path. Repeated rows are judged each and all count. Segments
-    are cut at ``/``; an empty one is a segment too. Other columns are not looked at.
+    are cut at ``/``; an empty one is a segment too. Urls are read whole, however long; what lies deeper than LEVELS segments shares one
+    template. No rows give no rows. Other columns are not looked at.
     """
     host, path = host_and_path(F.col("url"))
     judged = pages.select("page_id", host.alias("host"), path.alias("path"))
