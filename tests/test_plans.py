@@ -71,6 +71,15 @@ def test_hot_keys_can_be_split(spark, no_broadcast):
     assert len(re.findall(r"Exchange hashpartitioning\(__dim_key#\d+L?, __dim_spread#\d+L", text)) == 1
 
 
+def test_a_table_of_many_hot_keys_is_not_broadcast(spark, no_broadcast):
+    """With few rows per part there may be as many hot keys as rows; with a million there are few."""
+    tables = Tables(spark, FOLDER)
+    sides = tables["trouble_ticket"].select("ticketid", "orderid"), "ticketid", tables["ticket_associate"], "associateticketid"
+    for hot_rows, joins in ((1, 0), (lookups.HOT_ROWS, 2)):
+        df = lookups.fan_out_left(*sides, {"sourceticketid": "source"}, ["orderid"], hot_rows)
+        assert plan(df, "simple").count("BroadcastHashJoin") == joins
+
+
 def test_joins_on_the_own_id_share_a_partitioning(spark, no_broadcast):
     """Child lists and processors are both attached by ticket id: the tickets are shuffled once."""
     tables = Tables(spark, FOLDER)

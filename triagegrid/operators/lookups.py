@@ -66,7 +66,8 @@ def fan_out_left(
     matches are dealt over numbered parts and its left rows are repeated once per part; a repeated row that meets no
     match in its part is dropped, as the key has matches in others. Copies of a match travel once, with their number.
     Rows without a key are spread by a hash of ``spread_by``.
-    There are at most rows / ``hot_rows`` hot keys, so their table is small enough to broadcast.
+    There are at most rows / ``hot_rows`` hot keys. From ``HOT_ROWS`` on their table is small enough to broadcast; below, it may grow
+    with the rows and is joined by key, which shuffles the left rows once more.
     """
     names = {c: f"__take_{i}" for i, c in enumerate(take)}
     pairs = (
@@ -82,14 +83,22 @@ def fan_out_left(
     def counted(parts) -> Column:
         return F.explode(F.sequence(zero, parts - 1))
 
-    left = df.withColumn("__key", as_col(key)).join(F.broadcast(hot), F.col("__key") == F.col("__hot"), "left")
+    few = hot_rows >= HOT_ROWS
+
+    def with_parts(rows: DataFrame, on: str, out: str, aside: list[str]) -> DataFrame:
+        """Adds the number of parts of a row's key, null for keys that are not hot."""
+        if not few:
+            return left_by_key(rows, on, hot, "__hot", {"__parts": out}, aside)
+        found = F.broadcast(hot.withColumnsRenamed({"__parts": out}))
+        return rows.join(found, as_col(on) == F.col("__hot"), "left").drop("__hot")
+
+    left = with_parts(df.withColumn("__on", as_col(key)), "__on", "__parts", spread_by).withColumnRenamed("__on", "__key")
     left = left.withColumn("__part", counted(F.coalesce("__parts", F.lit(1))))
     aside = F.xxhash64(*[as_col(c) for c in spread_by])
     left = left.withColumn("__part", F.when(F.col("__key").isNull(), aside).otherwise(F.col("__part")))
-    runs = pairs.withColumn("__run", counted(F.ceil(F.col("__copies") / hot_rows)))
+    right = with_parts(pairs, "__many", "__of", list(names.values()))
+    right = right.withColumn("__run", counted(F.ceil(F.col("__copies") / hot_rows)))
     size = F.least(F.lit(hot_rows), F.col("__copies") - F.col("__run") * hot_rows)
-    of = hot.withColumnsRenamed({"__hot": "__of_key", "__parts": "__of"})
-    right = runs.join(F.broadcast(of), F.col("__many") == F.col("__of_key"), "left")
     dealt = F.pmod(F.xxhash64(*names.values(), "__run"), F.col("__of"))
     right = right.select(
         "__many",
@@ -98,9 +107,9 @@ def fan_out_left(
         *names.values(),
     )
     joined = left.join(right, (F.col("__key") == F.col("__many")) & (F.col("__part") == F.col("__to")), "left")
-    kept = joined.where(F.col("__hot").isNull() | F.col("__many").isNotNull())
+    kept = joined.where(F.col("__parts").isNull() | F.col("__many").isNotNull())
     copied = kept.withColumn("__copy", counted(F.coalesce("__size", F.lit(1))))
-    helpers = ["__key", "__hot", "__parts", "__part", "__many", "__to", "__size", "__copy"]
+    helpers = ["__key", "__parts", "__part", "__many", "__to", "__size", "__copy"]
     return copied.drop(*helpers).withColumnsRenamed({n: take[c] for c, n in names.items()})
 
 
