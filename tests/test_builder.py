@@ -11,7 +11,7 @@ from tests.conftest import rows_of
 from triagegrid.operators import edits
 from triagegrid.operators.builder import TableQuery, TicketFrame, listed
 from triagegrid.operators.predicates import literal
-from triagegrid.operators.range_join import range_join
+from triagegrid.operators.range_join import ROWS, Buckets, bucketed, range_join
 
 
 @pytest.fixture
@@ -147,6 +147,30 @@ def test_range_joins_equal_all_pairs_tested(spark, how, ops):
     assert rows_of(out) == sorted(want, key=repr)
 
 
+def test_tests_of_a_range_join_grow_with_its_rows(spark):
+    """Half of the left rows are one value, the others lie in two blocks; most ranges are in the gap, beyond the ends or beside the hot value."""
+    n = 40_000
+    v = F.when(F.col("id") % 2 == 0, 5.5).when(F.col("id") % 4 == 1, F.col("id") / n).otherwise(100 + F.col("id") / n)
+    a = spark.range(n).select("id", v.alias("v"))
+    b = spark.range(n).select(F.col("id").alias("j"), F.when(F.col("id") % 2 == 0, F.col("id") / 100 - 150).otherwise(5.6 + F.col("id") / n).alias("p"))
+    b = b.withColumn("q", F.col("p") + 0.01)
+    ranges = [(a["v"], ">=", b["p"]), (a["v"], "<", b["q"])]
+    placed, reached = bucketed(a, b, ranges)
+    of = reached.groupBy("__of").count()
+    tests = placed.groupBy("__bucket").count().withColumnRenamed("count", "n").join(of, F.col("__bucket") == F.col("__of")).agg(F.sum(F.col("n") * F.col("count"))).first()[0]
+    got = range_join(a, b, ranges).select("id", "j")
+    every = a.hint("broadcast").join(b, (a["v"] >= b["p"]) & (a["v"] < b["q"])).select("id", "j")
+    assert got.exceptAll(every).isEmpty() and every.exceptAll(got).isEmpty() and got.count() > n // 2
+    assert reached.count() < n // 10 and tests <= got.count() + 2 * ROWS * reached.select("j").distinct().count()
+
+
+def test_a_hot_value_has_a_bucket_of_its_own(spark):
+    df = spark.range(8000).select(F.when(F.col("id") < 4000, 7.0).otherwise(F.col("id") / 1000).alias("v"))
+    made = Buckets(df, F.col("v"), 4, 500)
+    at = made.lows.index(7.0)
+    assert made.highs[at] == 7.0 and made.lows == sorted(made.lows) and len(made) >= 8 and made.highs[at + 1] > made.lows[at + 1] > 7.0
+
+
 def test_buckets_of_texts_and_empty_sides(spark):
     a = spark.createDataFrame([("b",), ("d",), (None,)], "v STRING")
     b = spark.createDataFrame([("a", "c"), ("c", "e")], "p STRING, q STRING")
