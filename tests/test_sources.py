@@ -126,6 +126,24 @@ def test_history_of_changes_gives_every_day(spark, tmp_path):
         history.write_day(spark.range(1).withColumnRenamed("id", "asof"), path, "5")
 
 
+def test_a_task_of_a_history_takes_one_partition(spark, tmp_path):
+    """What a task holds is bounded by the number of shuffle partitions, not by the cores, for a day, its changes and the day after."""
+    path, rows = str(tmp_path / "changes"), spark.range(5000).selectExpr("concat('r', id) AS r", "id % 6 AS k")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        for day, part in (("1", rows), ("3", rows.where("k % 2 = 0")), ("2", rows.where("k % 3 = 0"))):
+            history.write_day(part, path, day)
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    for day in "123":
+        assert sum(n.endswith(".parquet") for n in os.listdir(f"{path}/asof={day}")) == 40
+    assert rows_of(history.as_of(spark, path, "3")) == rows_of(rows.where("k % 2 = 0"))
+
+
 def test_rows_are_counted_while_they_are_written(spark, tmp_path):
     rows = spark.range(30).repartition(3)
     paths, counts = sinks.write_counted({"one": rows, "none": rows.where("id < 0"), "table": spark.createDataFrame([(1,)], "a INT")}, str(tmp_path))

@@ -33,10 +33,9 @@ def _summed(changes: DataFrame, columns: list[str]) -> DataFrame:
     return total.where(F.col(COPIES) != 0)
 
 
-def _difference(now: DataFrame, before: DataFrame | None, columns: list[str]) -> DataFrame:
-    if before is None:
-        return now
-    return _summed(now.unionByName(before.withColumn(COPIES, -F.col(COPIES))), columns)
+def _difference(more: DataFrame, less: DataFrame | None, columns: list[str]) -> DataFrame:
+    """Copies of each row in one frame beyond those in another, in one aggregation; both may hold a row several times."""
+    return _summed(more if less is None else more.unionByName(less.withColumn(COPIES, -F.col(COPIES))), columns)
 
 
 def days(spark: SparkSession, path: str) -> list[str]:
@@ -55,27 +54,25 @@ def write_day(df: DataFrame, path: str, day: str) -> str:
     spark, columns = df.sparkSession, df.columns
     if clash := {DAY, COPIES} & {c.lower() for c in columns}:
         raise ValueError(f"columns of the history itself: {sorted(clash)}")
-    now = df.groupBy(*[as_col(c) for c in columns]).agg(F.count("*").alias(COPIES))
+    kept = [*[as_col(c) for c in columns], COPIES]
+    now = df.withColumn(COPIES, F.lit(1).cast("long"))
     changes, known = _changes(spark, path), days(spark, path)
     earlier, later = [d for d in known if d < day], [d for d in known if d > day]
-    before = _summed(changes.where(F.col(DAY) < day), columns) if earlier else None
+    before = changes.where(F.col(DAY) < day).select(*kept) if earlier else None
     swaps = [(os.path.join(path, f"{DAY}={day}"), _difference(now, before, columns))]
     if later:
-        next_rows = _summed(changes.where(F.col(DAY) <= later[0]), columns)
+        next_rows = changes.where(F.col(DAY) <= later[0]).select(*kept)
         swaps.append((os.path.join(path, f"{DAY}={later[0]}"), _difference(next_rows, now, columns)))
     # Both are written before either is put in its place, as both are made from what is there.
     written = [(target, beside(target), rows) for target, rows in swaps]
     for _, new, rows in written:
-        rows.coalesce(_files(spark)).write.parquet(new)
+        # A task takes one partition of the shuffle, so that its memory does not grow with the day; small partitions are united by AQE.
+        rows.write.parquet(new)
     for target, new, _ in written:
         swap_in(spark, new, target)
     return path
 
 
-def _files(spark: SparkSession) -> int:
-    return 2 * spark.sparkContext.defaultParallelism
-
-
 def as_of(spark: SparkSession, path: str, day: str) -> DataFrame:
     """The table as it was on a day: that of the last day written up to it."""
     changes = _changes(spark, path)
