@@ -80,6 +80,22 @@ def test_rows_given_twice_count_once_in_overlaps(spark):
     assert sorted((r.doc_id, r.component_id) for r in got) == sorted([*group.items()] * 2)
 
 
+def test_frequencies_come_from_all_classes(spark):
+    """Passages of 15, 16, 17 and 70 texts; copies of a text that are read together are one class."""
+    passages = {held: [f"p{held}x{i}" for i in range(12)] for held in (15, 16, 17, 70)}
+    texts = [" ".join([f"t{i}w{j}" for j in range(20)] + [w for held, words in passages.items() if i < held for w in words]) for i in range(70)]
+    order = ngram_join.Order(ngram_join.frequent_cells(docs_of(spark, list(enumerate([*texts, *texts, None, ""]))).coalesce(1), 5))
+    for held, words in passages.items():
+        shingles = next(ngram_join.sets_of([" ".join(words)], 5))
+        assert len(shingles) == 8 and set(order.level(shingles).tolist()) == {int(8 * math.log2(held)) if held > 15 else 0}
+    own = next(ngram_join.sets_of([" ".join(f"t3w{j}" for j in range(20))], 5))
+    assert not order.level(own).any()
+    # Read in several tasks, digests meet by their upper bits.
+    rare = [next(ngram_join.sets_of([" ".join(words)], 5)) for words in passages.values()]
+    order = ngram_join.Order(ngram_join.frequent_cells(docs_of(spark, list(enumerate(texts))).repartition(7), 5))
+    assert [set(order.level(x).tolist()) for x in rare] == [{0}, {32}, {32}, {49}]
+
+
 def test_marks_bound_overlaps_from_above():
     random = np.random.default_rng(7)
     for n, m, shared in ((1, 1, 0), (40, 50, 30), (900, 1000, 700), (5000, 5000, 4900)):

@@ -1,8 +1,8 @@
 """N-gram Jaccard join by vertical partitioning.
 
-The global order of shingles puts light ones first, by hash, and those that many texts hold last, by how many do. How many is estimated
-from the classes whose hash falls into a fixed share, which covers all data and every frequency alike, and kept as a sketch of logarithms of
-fixed size; an estimate that is off only moves a shingle within the order. The order is cut into fragments: light shingles by hash
+The global order of shingles puts light ones first, by hash, and those that many texts hold last, by how many do. All shingles of all
+texts are counted, packed into arrays of digests that are dealt over the tasks by their upper bits, and the counts are kept as a sketch of
+logarithms of fixed size; what shares a cell there only moves a shingle within the order. The order is cut into fragments: light shingles by hash
 range, and the rest. Two texts that link must share one of the first shingles of their sets in this order, so candidates
 come from those; the overlap of a candidate pair is counted in every fragment separately and summed per pair.
 
@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,10 +34,12 @@ from triagegrid.llm.common import id_filter, map_slices, mix, passes, shingle_se
 
 SIZE = 5
 SHARE = 75
-#: Of this many classes one counts for the order, and shingles that fewer of those hold are light.
-ONE_IN, REPEATED = 8, 2
+#: Shingles that fewer classes hold are light.
+REPEATED = 16
 #: Cells of the sketch of frequencies, a byte each.
 SKETCH = 1 << 21
+#: Shingles are counted by this many low bits, of which those above the first 32 say with which others; the cell is part of them.
+DIGEST = 42
 LIGHT_FRAGMENTS = 4
 #: Rounds in which classes outside the largest component of a shingle try one of its members each go on while pairs across components
 #: would be more than so many per row, and the last round has left at most this part of them. They change the work, not the result.
@@ -78,47 +81,91 @@ def sets_of(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
 
 
 def _read_sets(size: int) -> Callable:
-    """Rows for each text (id, set size, class, parities) and for each shingle of the classes that count for the order (hash, classes)."""
+    """Rows for each text: id, set size, class, parities."""
 
-    def counted(pool: list[np.ndarray]) -> Iterator[pd.DataFrame]:
-        x, n = np.unique(np.concatenate(pool), return_counts=True)
-        for a in range(0, len(x), 100_000):
-            b = slice(a, a + 100_000)
-            yield pd.DataFrame({"doc_id": signed(x[b]), "n": n[b].astype(np.int64), "cls": 0, "kind": 1, "marks": None})
+    def run(batches):
+        for df in batches:
+            sets = [(len(x), signature(x), marks_of(x)) for x in sets_of(df["text"].tolist(), size)]
+            n, cls, marks = zip(*sets) if sets else ((), (), ())
+            yield pd.DataFrame({"doc_id": df["doc_id"], "n": n, "cls": cls, "marks": marks})
+
+    return run
+
+
+def _packed(size: int) -> Callable:
+    """The digests of all shingles by their upper bits: those that one class of a pool holds, and the others with how many do."""
+
+    def packed(pool: list[np.ndarray]) -> pd.DataFrame:
+        x, n = np.unique(np.concatenate(pool) & np.uint64((1 << DIGEST) - 1), return_counts=True)
+        low, n = x.astype(np.uint32), n.astype(np.uint32)
+        pieces, starts = np.unique((x >> np.uint64(32)).astype(np.int32), return_index=True)
+        rows = []
+        for piece, a, b in zip(pieces.tolist(), starts.tolist(), [*starts[1:].tolist(), len(x)]):
+            several = n[a:b] > 1
+            rows.append((piece, low[a:b][~several].tobytes(), low[a:b][several].tobytes(), n[a:b][several].tobytes()))
+        return pd.DataFrame(rows, columns=["piece", "once", "often", "n"])
 
     def run(batches):
         pool, pooled, seen = [], 0, set()
         for df in batches:
-            n, cls, marks = [], [], []
             for x in sets_of(df["text"].tolist(), size):
-                n.append(len(x))
-                cls.append(signature(x))
-                marks.append(marks_of(x))
-                if cls[-1] % ONE_IN == 0 and cls[-1] not in seen:
+                cls = signature(x)
+                if len(x) and cls not in seen:
                     pool.append(x)
                     pooled += len(x)
-                    seen.add(cls[-1])
+                    seen.add(cls)
                 if pooled > _POOL:
-                    yield from counted(pool)
+                    yield packed(pool)
                     pool, pooled, seen = [], 0, set()
-            yield pd.DataFrame({"doc_id": df["doc_id"], "n": n, "cls": cls, "kind": 0, "marks": marks})
         if pooled:
-            yield from counted(pool)
+            yield packed(pool)
 
     return run
 
 
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells and levels of the shingles that are not light, from packed digests that come in the order of their pieces."""
+
+    def counted(piece: int, values: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        x, at = np.unique(np.concatenate(values), return_inverse=True)
+        n = np.bincount(at, np.concatenate(counts))
+        cell = (x[n >= REPEATED].astype(np.int64) | (piece << 32)) % SKETCH
+        level = np.minimum(255, np.floor(8 * np.log2(n[n >= REPEATED]))).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(level)], ["cell", "level"])
+
+    now, values, counts = None, [], []
+    for batch in batches:
+        for piece, once, often, n in zip(*(c.to_pylist() for c in batch.columns)):
+            if piece != now and values:
+                yield counted(now, values, counts)
+                values, counts = [], []
+            now = piece
+            single = np.frombuffer(once, np.uint32)
+            values += [single, np.frombuffer(often, np.uint32)]
+            counts += [np.ones(len(single), np.uint32), np.frombuffer(n, np.uint32)]
+    if values:
+        yield counted(now, values, counts)
+
+
+def frequent_cells(texts: DataFrame, size: int) -> DataFrame:
+    """(cell, level) of each cell of the sketch that holds a shingle of at least REPEATED classes, from all texts.
+
+    The level is the logarithm of how many hold the most frequent one. Copies that are read apart count each.
+    """
+    dealt = map_slices(texts, _packed(size), "piece int, once binary, often binary, n binary").repartition("piece")
+    levels = dealt.sortWithinPartitions("piece").mapInArrow(_levels, "cell int, level int")
+    return levels.groupBy("cell").agg(F.max("level").alias("level"))
+
+
 class Order:
     """The global order: by level, which is 0 for light shingles and grows with the logarithm of the frequency, then by hash."""
 
-    def __init__(self, counted: DataFrame):
-        """``counted`` has shingles and how many classes of the share hold them; SKETCH bytes reach the driver."""
-        often = counted.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= REPEATED)
-        level = F.least(F.lit(255), F.floor(8 * F.log2("n"))).cast("int")
-        cells = often.groupBy(F.pmod("shingle", F.lit(SKETCH)).cast("int").alias("cell")).agg(F.max(level).alias("level")).toArrow()
-        levels = np.zeros(SKETCH, np.uint8)
-        levels[cells["cell"].to_numpy()] = cells["level"].to_numpy().astype(np.uint8)
-        self.held = counted.sparkSession.sparkContext.broadcast(levels)
+    def __init__(self, levels: DataFrame):
+        """``levels`` has the cells whose level is not 0; SKETCH bytes are held by the driver and each executor."""
+        cells = levels.toArrow()
+        held = np.zeros(SKETCH, np.uint8)
+        held[cells["cell"].to_numpy()] = cells["level"].to_numpy().astype(np.uint8)
+        self.held = levels.sparkSession.sparkContext.broadcast(held)
 
     def level(self, shingles: np.ndarray) -> np.ndarray:
         return self.held.value[(shingles % np.uint64(SKETCH)).astype(np.int64)]
@@ -271,10 +318,10 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: int = SHARE) ->
     are dropped; a row given twice comes out twice. No rows give no rows. Other columns are not looked at.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    first = stored(map_slices(texts, _read_sets(size), "doc_id long, n long, cls long, kind int, marks array<long>"), "sets")
-    sets = first.filter("kind = 0").select("doc_id", "n", "cls")
-    order = Order(first.filter("kind = 1").select(F.col("doc_id").alias("shingle"), "n"))
-    of_set = first.filter("kind = 0 AND n > 0").groupBy("cls", "n")
+    first = stored(map_slices(texts, _read_sets(size), "doc_id long, n long, cls long, marks array<long>"), "sets")
+    sets = first.select("doc_id", "n", "cls")
+    order = Order(frequent_cells(texts, size))
+    of_set = first.filter("n > 0").groupBy("cls", "n")
     classes = stored(of_set.agg(F.min("doc_id").alias("doc_id"), F.any_value("marks").alias("marks")), "classes")
     marks = classes.select("doc_id", "n", "marks")
 
