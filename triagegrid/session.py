@@ -65,12 +65,13 @@ def materialise(df: DataFrame) -> DataFrame:
 FILES_PER_CORE = 6
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """Rows written below the shared folder and read back: cut lineage, columnar, and prunable by each reader.
 
     Partitions beyond a few per core are written by one task after the other, as every small file costs calls to the file system.
+    ``options`` are the writer's.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
+    df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism).write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
